@@ -8,7 +8,7 @@ distance. The search is exact: every occurrence within the budget is found.
 
 Items are shared in blocks of at most about `block_chars` characters (checked), one scan of the
 texts each; a larger benchmark means more blocks, not a larger broadcast. Matching is a narrow
-pass; only with several blocks are the matches of a document joined.
+pass without a shuffle.
 
 Edge cases: null and empty texts match nothing; null, empty and blank items match nothing;
 repeated items with one id count once; repeated documents are answered each; empty tables give
@@ -106,21 +106,18 @@ class Matcher:
         return sorted(found.items())
 
 
-def matches(docs: DataFrame, items: DataFrame, error_rate: float = 0.05, block_chars: int = 2_000_000, id_col: str = "doc_id", columns: tuple[str, ...] | None = None, clean_only: bool = False) -> DataFrame:
-    """Each row's `columns` (its id by default) with item_ids and distances of the items found.
+def matches(docs: DataFrame, items: DataFrame, error_rate: float = 0.05, block_chars: int = 2_000_000, columns: tuple[str, ...] = ("doc_id",), clean_only: bool = False) -> DataFrame:
+    """Each row's `columns` with item_ids and distances of the items found in its text.
 
-    clean_only: give the rows without any item instead, with no more columns; for several item
-    blocks the scans follow each other.
+    clean_only: give the rows without any item instead, and no more columns. With several item
+    blocks the narrow scans follow each other.
     """
     spark = docs.sparkSession
     items = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 if total <= block_chars else -(-2 * total // block_chars)
-    asked = list(dict.fromkeys([*(columns or (id_col,)), "text"]))
-    given = list(columns or (id_col,))
-    schema = docs.select(*given).schema
-    full = schema if clean_only else docs.select(*given).schema.add("item_ids", "array<long>").add("distances", "array<int>")
-    out, now = [], docs
+    given, extra = list(columns), ["#text", "#items", "#distances"]
+    now = docs.select(*given, F.col("text").alias(extra[0]), F.array().cast("array<long>").alias(extra[1]), F.array().cast("array<int>").alias(extra[2]))
     for block in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         shared = spark.sparkContext.broadcast(sorted((r.item_id, r.text) for r in own.collect()))
@@ -128,22 +125,12 @@ def matches(docs: DataFrame, items: DataFrame, error_rate: float = 0.05, block_c
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, error_rate)
             for b in batches:
-                found = [matcher.find(t.as_py()) for t in b.column("text")]
-                if clean_only:
-                    yield b.select(given).filter(pa.array([not f for f in found], pa.bool_()))
-                else:
-                    yield pa.RecordBatch.from_arrays([*(b.column(c) for c in given), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[d for _, d in f] for f in found], pa.list_(pa.int32()))], [*given, "item_ids", "distances"])
+                found = [dict(zip(i, d, strict=True)) | dict(matcher.find(t.as_py())) for t, i, d in zip(b.column(extra[0]), b.column(extra[1]).to_pylist(), b.column(extra[2]).to_pylist(), strict=True)]
+                ids = [sorted(f) for f in found]
+                out = pa.RecordBatch.from_arrays([*(b.column(c) for c in [*given, extra[0]]), pa.array(ids, pa.list_(pa.int64())), pa.array([[f[i] for i in own] for f, own in zip(found, ids, strict=True)], pa.list_(pa.int32()))], [*given, *extra])
+                yield out.filter(pa.array([not f for f in found], pa.bool_())) if clean_only else out
 
-        if clean_only:
-            now = now.select(*asked).mapInArrow(run, schema)
-        else:
-            out.append(docs.select(*asked).mapInArrow(run, full))
+        now = now.mapInArrow(run, now.schema)
     if clean_only:
-        return now
-    if blocks == 1:
-        return out[0]
-    both = out[0]
-    for more in out[1:]:
-        both = both.unionByName(more)
-    # a row's blocks are brought together by its columns; repeated rows give one row
-    return both.groupBy(*given).agg(F.array_sort(F.flatten(F.collect_set(F.arrays_zip("item_ids", "distances")))).alias("m")).select(*given, F.col("m.item_ids").alias("item_ids"), F.col("m.distances").alias("distances"))
+        return now.select(*given)
+    return now.select(*given, F.col(extra[1]).alias("item_ids"), F.col(extra[2]).alias("distances"))
