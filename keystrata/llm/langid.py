@@ -95,10 +95,10 @@ def learn(docs: DataFrame, sample_rows: int = 8_000, least_docs: int = 5) -> tup
 
 
 def text_evidence(rows: DataFrame, table: np.ndarray, strength: float, markup: bool) -> DataFrame:
-    """rows (kind, id, text, and more) with log likelihoods `text_ll` in place of the text."""
+    """rows with the log likelihoods `text_ll` of their text, and these as shares `p`, in its place."""
     shared = rows.sparkSession.sparkContext.broadcast(table.astype(np.float32))
     rest = [c for c in rows.columns if c != "text"]
-    schema = rows.select(*rest).schema.add("text_ll", T.ArrayType(T.DoubleType()))
+    schema = rows.select(*rest).schema.add("text_ll", T.ArrayType(T.DoubleType())).add("p", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = shared.value
@@ -119,18 +119,14 @@ def text_evidence(rows: DataFrame, table: np.ndarray, strength: float, markup: b
                     sums = np.zeros(j - i)
                     sums[full] = np.add.reduceat(scores[k][key], own[:-1][full], dtype=np.float64)
                     out[i:j, k] = sums * weight
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(list(out), pa.list_(pa.float64()))], [*rest, "text_ll"])
+            p = np.exp(out - out.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            lists = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(list(out), lists), pa.array(list(p), lists)], [*rest, "text_ll", "p"])
 
     return rows.mapInArrow(run, schema)
 
 
-def normalised(ll: Column) -> Column:
-    """exp(ll) scaled to sum 1."""
-    lifted = F.transform(ll, lambda x: F.exp(x - F.array_max(ll)))
-    total = F.aggregate(lifted, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(lifted, lambda x: x / total)
-
-
 def _summed(p: str, n: int) -> list[Column]:
     # rounded, so that the order of a sum can't change a result
     return [F.sum(F.round(F.col(p)[i] * 1_000_000).cast("long")).alias(f"s{i}") for i in range(n)]
@@ -153,7 +149,7 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = 60.0, host_wei
     domain = F.regexp_replace(site, r"^(?:www|m|blog)\.", "")
     web = pages.select(F.lit("page").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), F.nullif(declared, F.lit("")).alias("declared"), suffix.alias("suffix"), site.alias("host"), domain.alias("domain"), F.col("html").alias("text"))
     own = docs.select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("suffix"), F.concat(F.lit("source:"), F.col("source")).alias("host"), F.concat(F.lit("source:"), F.col("source")).alias("domain"), "text")
-    rows = cut(text_evidence(web, table, strength, True).unionByName(text_evidence(own, table, strength, False)).withColumn("p", normalised(F.col("text_ll"))))
+    rows = cut(text_evidence(web, table, strength, True).unionByName(text_evidence(own, table, strength, False)))
     hosts = rows.where("host is not null").groupBy("host", "domain").agg(*_summed("p", n), F.count("*").alias("rows")).select(F.concat("host", F.lit("")).alias("h"), F.col("domain").alias("d"), _array(n).alias("host_sum"), "rows")
     domains = hosts.groupBy("d").agg(*(F.sum(F.round(F.col("host_sum")[i] * 1_000_000).cast("long")).alias(f"s{i}") for i in range(n)), F.sum("rows").alias("domain_rows")).select(F.col("d").alias("dd"), _array(n).alias("domain_sum"), "domain_rows")
     whole = rows.agg(*_summed("p", n), F.count("*").alias("all_rows")).select(_array(n).alias("all_sum"), "all_rows").first()
@@ -167,7 +163,6 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = 60.0, host_wei
         sums = [x or 0.0 for x in total.t]
         return per.select(F.concat(given, F.lit("")).alias(given), F.array(*(F.ln((F.col("v")[i] + 1.0) / F.lit(sums[i] + total.k)) for i in range(n))).alias(f"{given}_ll"))
 
-    none = F.array(*(F.lit(0.0) for _ in range(n)))
     joined = rows.join(sites, F.concat("host", F.lit("")) == F.col("h"), "left").join(likelihoods("declared", "by_markup"), F.concat("declared", F.lit("")) == F.col("by_markup"), "left").join(likelihoods("suffix", "by_suffix"), F.concat("suffix", F.lit("")) == F.col("by_suffix"), "left")
 
     def prior(i: int) -> Column:
@@ -176,7 +171,13 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = 60.0, host_wei
         wide = (F.greatest(F.col("domain_sum")[i] - here, F.lit(0.0)) + domain_weight * base[i]) / (F.col("domain_rows") - 1 + domain_weight)
         return F.when(F.col("rows").isNull(), F.lit(base[i])).otherwise((F.greatest(F.col("host_sum")[i] - here, F.lit(0.0)) + host_weight * wide) / (F.col("rows") - 1 + host_weight))
 
-    total = F.array(*(F.col("text_ll")[i] + F.coalesce(F.col("by_markup_ll"), none)[i] + F.coalesce(F.col("by_suffix_ll"), none)[i] + F.ln(prior(i)) for i in range(n)))
-    fused = joined.withColumn("posterior", normalised(total))
-    label = lambda p: F.nullif(F.array(*map(F.lit, names))[F.array_position(p, F.array_max(p)).cast("int") - 1], F.lit(""))
-    return fused.select("kind", "doc_id", "page_id", label(F.col("posterior")).alias("lang_pred"), F.array_max("posterior").alias("confidence"), F.when(F.array_max("p") > F.array_min("p"), label(F.col("p"))).alias("text_lang"), "declared", "suffix", "host")
+    def most(prefix: str) -> Column:
+        return F.greatest(*(F.col(f"{prefix}{i}") for i in range(n))) if n > 1 else F.col(f"{prefix}0")
+
+    def label(prefix: str) -> Column:
+        return F.nullif(F.coalesce(*(F.when(F.col(f"{prefix}{i}") == F.col(f"{prefix}m"), names[i]) for i in range(n))), F.lit(""))
+
+    zero = F.lit(0.0)
+    fused = joined.select("kind", "doc_id", "page_id", "declared", "suffix", "host", *(F.col("text_ll")[i].alias(f"t{i}") for i in range(n)), *((F.col("text_ll")[i] + F.coalesce(F.col("by_markup_ll")[i], zero) + F.coalesce(F.col("by_suffix_ll")[i], zero) + F.ln(prior(i))).alias(f"a{i}") for i in range(n)))
+    fused = fused.withColumn("am", most("a")).withColumn("tm", most("t")).withColumn("share", sum((F.exp(F.col(f"a{i}") - F.col("am")) for i in range(n)), zero))
+    return fused.select("kind", "doc_id", "page_id", label("a").alias("lang_pred"), (1 / F.col("share")).alias("confidence"), F.when(F.col("t0") != F.col(f"t{n - 1}"), label("t")).alias("text_lang"), "declared", "suffix", "host")
