@@ -1,0 +1 @@
+"""Keyed-catalogue and inventory analytics on PySpark DataFrames."""
