@@ -8,12 +8,14 @@ become likelier with similarity (locality-sensitive). The steps:
 1. One narrow pass sketches every row. Rows of one set (equal size and 128-bit digest) collapse
    to the one with the smallest id; copies are never expanded into pairs.
 2. Registers are cut into bands; sets agreeing in a band share a bucket. Each bucket first links
-   its members to its smallest member only, a count linear in the bucket.
-3. Buckets whose members aren't yet in one component are compared in tiles of bounded size: a
-   joint likelihood of the similarity, from registers above, below and equal and both set
-   sizes, picks pairs of different components worth verifying. No bucket is capped.
-4. Both times candidates are confirmed on the full shingle sets, and confirmed links are joined
-   into components.
+   its members to two of them only (smallest id and smallest hash), a count linear in the bucket.
+3. Where a bucket's members aren't in one component then, pairs of different components are
+   judged by a joint likelihood of the similarity, from registers above, below and equal and
+   both set sizes. Buckets of up to `SMALL` members are paired by a join; larger ones are
+   compared in tiles of bounded size that hold the full sets, verify there, and give only the
+   links that join components, so their output is linear too. No bucket is capped.
+4. Candidates are confirmed on the full shingle sets, and confirmed links are joined into
+   components.
 
 With the default 160 registers in 32 bands of 5, two sets of similarity 0.8 fail to share a
 bucket with probability 3e-6, and the likelihood's margin is about four standard deviations.
@@ -38,7 +40,7 @@ from .common import buffers, cut, mix64, runs, shingles, stream64
 from .components import components
 
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-TILE = 1_024
+TILE, SMALL = 512, 32
 
 
 def registers(sets: np.ndarray, first: np.ndarray, m: int) -> np.ndarray:
@@ -57,31 +59,36 @@ def registers(sets: np.ndarray, first: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
-def likeliest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood similarity of aligned register rows, given both set sizes."""
-    above, below = (x > y).sum(1), (x < y).sum(1)
-    same = x.shape[1] - above - below
-    return _maximum(above, below, same, nx, ny)
+def _log_likelihood(j, above, below, same, u):
+    v = 1 - u
+    p = -np.log1p(-np.clip(u - v * j, 1e-12, 1) * (BASE - 1) / BASE) / np.log(BASE)
+    q = -np.log1p(-np.clip(v - u * j, 1e-12, 1) * (BASE - 1) / BASE) / np.log(BASE)
+    return above * np.log(p) + below * np.log(q) + same * np.log(np.clip(1 - p - q, 1e-12, 1))
 
 
-def _maximum(above, below, same, nx, ny):
-    u = nx / (nx + ny)
-    v = 1 - u
-    most = np.minimum(u / v, v / u)
-    low, high = np.zeros_like(u), most.copy()
+def _counts(x: np.ndarray, y: np.ndarray):
+    above, below = (x > y).sum(-1), (x < y).sum(-1)
+    return above, below, x.shape[-1] - above - below
 
-    def value(j):
-        p = -np.log1p(-np.clip(u - v * j, 1e-12, 1) * (BASE - 1) / BASE) / np.log(BASE)
-        q = -np.log1p(-np.clip(v - u * j, 1e-12, 1) * (BASE - 1) / BASE) / np.log(BASE)
-        return above * np.log(p) + below * np.log(q) + same * np.log(np.clip(1 - p - q, 1e-12, 1))
 
+def likeliest(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """Maximum-likelihood similarity of aligned register rows, given both set sizes."""
+    counts, u = _counts(x, y), nx / (nx + ny)
+    low, high = np.zeros_like(u), np.minimum(u / (1 - u), (1 - u) / u)
     for _ in range(24):  # the likelihood is concave in the similarity
         a, b = low + (high - low) / 3, high - (high - low) / 3
-        left = value(a) > value(b)
+        left = _log_likelihood(a, *counts, u) > _log_likelihood(b, *counts, u)
         high, low = np.where(left, b, high), np.where(left, low, a)
     return (low + high) / 2
 
 
+def reaches(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float) -> np.ndarray:
+    """Whether the likeliest similarity is `least` at least: the likelihood still rises there."""
+    counts, u = _counts(x, y), nx / (nx + ny)
+    rises = _log_likelihood(least + 1e-4, *counts, u) >= _log_likelihood(least, *counts, u)
+    return rises & (np.minimum(nx, ny) >= least * np.maximum(nx, ny))
+
+
 def sketch(docs: DataFrame, width: int = 2, bands: int = 32, rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, digest (null for an empty set), registers (binary), bands (array of long)."""
     m, factor = bands * rows, stream64(rows, 23) | np.uint64(1)
@@ -149,25 +156,50 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _tiles(group: pd.DataFrame, least: float, m: int) -> pd.DataFrame:
-    """Pairs of a tile, of different components, whose likeliest similarity reaches least."""
+def likely(pairs: DataFrame, reps: DataFrame, least: float, m: int) -> DataFrame:
+    """Those pairs (a, b) whose likeliest similarity reaches least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, m) for c in ("x", "y"))
+            nx, ny = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("nx", "ny"))
+            yield batch.select(["a", "b"]).filter(pa.array(reaches(x, y, nx, ny, least)))
+
+    left = reps.select(F.col("rep").alias("a"), F.col("registers").alias("x"), F.col("n_shingles").alias("nx"))
+    right = reps.select(F.col("rep").alias("b"), F.col("registers").alias("y"), F.col("n_shingles").alias("ny"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(run, "a long, b long")
+
+
+def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFrame:
+    """Verified links between a tile's components, one for each two components joined."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
     group = group.sort_values(["block", "id"], kind="stable")
     k = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), m)
-    n, part, ids = group["n_shingles"].to_numpy(float), group["component"].to_numpy(), group["id"].to_numpy()
-    block = group["block"].to_numpy()
-    right = np.flatnonzero(block == j)
-    found_a, found_b = [], []
+    n, ids, block = group["n_shingles"].to_numpy(), group["id"].to_numpy(), group["block"].to_numpy()
+    first = np.concatenate([[0], np.cumsum(n)])
+    names, member = np.unique(np.frombuffer(b"".join(group["members"]), np.uint64), return_inverse=True)
+    held = np.zeros(len(names), bool)
+    labels, part = np.unique(group["component"].to_numpy(), return_inverse=True)
+    joined = np.arange(len(labels))
+    found = []
     for x in np.flatnonzero(block == i):
-        others = right[part[right] != part[x]]
-        if i == j:
-            others = others[others > x]
-        others = others[(np.minimum(n[others], n[x]) >= least * np.maximum(n[others], n[x]))]
-        if len(others):
-            near = others[likeliest(np.broadcast_to(k[x], (len(others), m)), k[others], np.full(len(others), n[x]), n[others]) >= least]
-            found_a += [ids[x]] * len(near)
-            found_b += ids[near].tolist()
-    return pd.DataFrame({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
+        now = joined[part]
+        others = np.flatnonzero((block == j) & (now != now[x]) & ((np.arange(len(ids)) > x) | (i != j)))
+        if not len(others):
+            continue
+        others = others[reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)]
+        if not len(others):
+            continue
+        held[member[first[x] : first[x + 1]]] = True
+        both = np.array([np.count_nonzero(held[member[first[y] : first[y + 1]]]) for y in others])
+        held[member[first[x] : first[x + 1]]] = False
+        for y in others[(100 * both >= percent * (n[x] + n[others] - both)) & (both > 0)]:
+            if joined[part[x]] != joined[part[y]]:
+                found.append((ids[x], ids[y]))
+                joined[joined == joined[part[y]]] = joined[part[x]]
+    return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, margin: float = 0.12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,27 +213,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     classes = filled.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("registers", "id").alias("registers"), F.min_by("bands", "id").alias("bands"), F.min("n_shingles").alias("n_shingles"))
     reps = cut(classes.where("rep is not null"))
     buckets = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("id"))
-    shared = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    shared = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.min_by("id", F.xxhash64("id")).alias("hub2"), F.count("*").alias("n")).where("n > 1")
     # both sides are dealt anew by a key of their own, so a hot bucket can be split
-    members = cut(buckets.join(shared.select(F.concat(F.col("band").cast("string"), F.lit("")).alias("key"), "hub"), F.concat(F.col("band").cast("string"), F.lit("")) == F.col("key")).select("band", "id", "hub"))
+    members = cut(buckets.join(shared.select(F.concat(F.col("band").cast("string"), F.lit("")).alias("key"), "hub", "hub2"), F.concat(F.col("band").cast("string"), F.lit("")) == F.col("key")).select("band", "id", "hub", "hub2"))
     involved = members.select("id").distinct()
-    sets = full_sets(docs.select(id_col, text_col).join(involved.select(F.col("id").alias(id_col)).join(reps.select(F.col("rep").alias(id_col)), id_col, "left_semi"), id_col, "left_semi"), width, id_col, text_col)
+    sets = full_sets(docs.select(id_col, text_col).join(involved.select(F.col("id").alias(id_col)), id_col, "left_semi"), width, id_col, text_col)
     sets = cut(sets.groupBy("id").agg(F.min("members").alias("members")))
-    first = cut(verified(members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets, percent))
+    pair = lambda a, b: F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+    stars = members.select(F.explode(F.array(pair("id", "hub"), pair("id", "hub2"))).alias("p")).select("p.a", "p.b").where("a <> b").distinct()
+    first = cut(verified(stars, sets, percent))
     known = components(first)
-    placed = members.join(known, members.id == known.node, "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high")
-    tiles = (F.col("n") / TILE).cast("int") + 1
-    todo = (
-        placed.join(open_.select("band", tiles.alias("tiles")), "band")
+    placed = cut(members.join(known, members.id == known.node, "left").select("band", "id", F.coalesce("component", "id").alias("component")))
+    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("band", "n")
+    few = placed.join(open_.where(F.col("n") <= SMALL).select("band"), "band")
+    few = few.alias("l").join(few.alias("r"), F.expr("l.band = r.band and l.component < r.component")).select(pair("l.id", "r.id").alias("p")).select("p.a", "p.b").distinct()
+    second = verified(likely(few.join(stars, ["a", "b"], "left_anti"), reps, percent / 100 - margin, m), sets, percent)
+    many = (
+        placed.join(open_.where(F.col("n") > SMALL).select("band", (F.floor(F.col("n") / TILE) + 1).cast("int").alias("tiles")), "band")
         .join(reps.select(F.col("rep").alias("id"), "registers", "n_shingles"), "id")
+        .join(sets, "id")
         .withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), "tiles").cast("int"))
         .withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("block")).alias("i"), F.greatest(t, F.col("block")).alias("j")))))
-        .select("band", "pair.i", "pair.j", "block", "id", "component", "registers", "n_shingles")
+        .select("band", "pair.i", "pair.j", "block", "id", "component", "registers", "n_shingles", "members")
     )
-    more = todo.groupBy("band", "i", "j").applyInPandas(lambda g: _tiles(g, percent / 100 - margin, m), "a long, b long").distinct()
-    second = verified(more, sets, percent)
-    linked = cut(components(first.unionByName(second)))
+    third = many.groupBy("band", "i", "j").applyInPandas(lambda g: _tile(g, percent, percent / 100 - margin, m), "a long, b long")
+    linked = cut(components(first.unionByName(second).unionByName(third)))
     named = reps.join(linked, reps.rep == linked.node, "left").select(F.concat(F.hex("digest"), F.lit("")).alias("key"), F.coalesce("component", "rep").alias("component_id"))
     # ids shared by rows of different sets: their classes are one
     return rowwise.join(named, F.concat(F.hex("digest"), F.lit("")) == F.col("key"), "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
