@@ -13,9 +13,14 @@ def axis_swap(ring: Column, order: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Shoelace area of an open ring, in square units; null under one point, 0 under three."""
-    n = F.size(ring)
-    steps = F.transform(F.sequence(F.lit(0), n - 1), lambda i: ring[i][0] * ring[(i + 1) % n][1] - ring[(i + 1) % n][0] * ring[i][1])
-    return F.when(n > 0, F.abs(F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)) / 2)
+
+    def area(r: Column) -> Column:
+        n = F.size(r)
+        steps = F.transform(F.sequence(F.lit(0), n - 1), lambda i: r[i][0] * r[(i + 1) % n][1] - r[(i + 1) % n][0] * r[i][1])
+        return F.when(n > 0, F.abs(F.aggregate(steps, F.lit(0.0), lambda x, y: x + y)) / 2)
+
+    # bound once: a computed ring would be made anew at every point
+    return F.transform(F.array(ring), area)[0]
 
 
 def ring_area_dka(ring: Column) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 def throttled(stream: DataFrame, key: str, ts: str, width: str = "40 milliseconds", late: str = "10 minutes") -> DataFrame:
     """First row time of each key and bucket; state is dropped once the watermark has passed it."""
-    timed = stream.withColumn("#ts", F.col(ts).cast("timestamp")).withWatermark("#ts", late)
-    return timed.groupBy(F.window("#ts", width), key).agg(F.min("#ts").alias("first_ts"), F.count("*").alias("n")).select(F.col("window.start").alias("bucket"), key, "first_ts", "n")
+    timed = stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late)
+    return timed.groupBy(F.window("event_time", width), key).agg(F.min("event_time").alias("first_ts"), F.count("*").alias("n")).select(F.col("window.start").alias("bucket"), key, "first_ts", "n")
 
 
 def bind_once(stream: DataFrame, key: str, ts: str, late: str = "10 minutes") -> DataFrame:
     """Rows whose key wasn't seen within the watermark."""
-    return stream.withColumn("#ts", F.col(ts).cast("timestamp")).withWatermark("#ts", late).dropDuplicatesWithinWatermark([key]).drop("#ts")
+    return stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late).dropDuplicatesWithinWatermark([key]).drop("event_time")
