@@ -41,7 +41,7 @@ def query_string(pairs: list[tuple[str, Column]]) -> Column:
     for key, value in pairs:
         as_text = value.cast("string")
         items.append(F.when(value.isNull() | (as_text == "") | (as_text == "false"), None).otherwise(F.concat(encode_component(F.lit(key)), F.lit("="), encode_component(as_text))))
-    return F.concat(F.lit("?"), F.array_join(F.array_compact(F.array(*items)), "&"))
+    return F.concat(F.lit("?"), F.concat_ws("&", *items))
 
 
 def query_of(url: Column) -> Column:
