@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,25 @@ s AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_NEAR = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM w
+), c AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT rep, n, unnest(s) AS shingle FROM c),
+p AS (
+  SELECT x.rep AS a, y.rep AS b FROM e x JOIN e y
+  ON x.shingle = y.shingle AND x.rep < y.rep AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.rep, y.rep, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach AS (SELECT rep AS node, rep AS low FROM c UNION SELECT l.b, low FROM reach JOIN l ON l.a = node WHERE low < l.b),
+k AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
+SELECT doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id, doc_id = coalesce(low, doc_id) AS kept
+FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN k ON c.rep = k.node
+"""
+
 _CHAT = f"""
 WITH a AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -151,4 +172,4 @@ SELECT doc_id, size, source_size, target, (epochs * size + least(size, greatest(
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": _TOPK, "op8_chat": _CHAT, "op9_line_dedup": _LINES, "op10_mixing": _MIX}
+    return {"op1_topk": _TOPK, "op7_near_duplicates": _NEAR, "op8_chat": _CHAT, "op9_line_dedup": _LINES, "op10_mixing": _MIX}
