@@ -12,8 +12,13 @@ before are repeated if they begin within `history` tokens of the window's start.
 come first, are counted in `n_repeated` and masked: only the texts of new assistant turns are in
 `loss` (character ranges of the window's text), each exactly once over all windows.
 
-Windows are made of window functions and groups no larger than a budget, however long a
-conversation is. Edge cases: null text and role are empty; turns are ordered by turn (null
+No step needs a conversation in one task: turns are dealt by range of (conversation, turn, role,
+text), each range's part of a conversation (a cell) is summed apart, and the cells' sums, one row
+a cell, are prefix-summed for the places where cells begin. Windows are groups no larger than a
+budget, and a system turn is joined to its windows cell by cell. Only `digest`, whose hash is of a
+whole conversation by definition, gathers one.
+
+Edge cases: null text and role are empty; turns are ordered by turn (null
 first), role and text; repeated rows are turns each; a null conv_id is a conversation of its
 own; a conversation of only a system turn gives one window; empty tables give empty results;
 extra columns are ignored.
@@ -24,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -47,28 +54,71 @@ def token_cost(text: Column) -> Column:
     return F.ceil(F.char_length(text) / F.lit(4)).cast("long") + 4
 
 
+CELL = ["#conv", "#absent", "cell"]
+
+
+def _cells(turns: DataFrame, cost) -> DataFrame:
+    """Turns with their cell, and place, cost and prefix sum of costs within it; written once.
+
+    Ranges are cut at beginnings of texts, so what the driver samples stays small; turns alike
+    to there share a cell. Cells must not move between the passes over them, so they are written.
+    """
+    t = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("#conv"), F.col("conv_id").isNull().alias("#absent"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    begins = F.when(F.char_length("role") <= 64, F.substring("text", 1, 64))
+    dealt = t.repartitionByRange("conv_id", F.asc_nulls_first("turn"), F.substring("role", 1, 64), F.asc_nulls_last(begins)).withColumn("cell", F.spark_partition_id())
+    own = Window.partitionBy(*CELL).orderBy(F.asc_nulls_first("turn"), "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    return cut(dealt.withColumn("no", F.row_number().over(own)).withColumn("full", cost(F.col("text"))).withColumn("upto", F.sum("full").over(own)).drop("turn"))
+
+
+def _placed(cells: DataFrame, begins: DataFrame, width: int) -> DataFrame:
+    """cells with pos, leads, cost, end, slot, and whether a turn opens a slot."""
+    t = cells.join(begins, CELL)
+    t = t.withColumn("pos", F.col("no") + F.col("rows_before"))
+    t = t.withColumn("leads", F.col("system") & (F.col("pos") == 1))
+    t = t.withColumn("cost", F.when(F.col("leads"), F.lit(0).cast("long")).otherwise(F.col("full")))
+    t = t.withColumn("end", F.col("size_before") + F.col("upto") - F.col("room"))
+
+    def slot(end: Column) -> Column:
+        return F.floor((F.greatest(end, F.lit(1)) - 1) / F.greatest(F.lit(1), F.floor((F.lit(width) - F.col("room")) / 2)))
+
+    # the turn before ends where this one's cost begins
+    opens = ~F.col("leads") & ((F.col("pos") == F.when(F.col("system"), 2).otherwise(1)) | (slot(F.col("end")) != slot(F.col("end") - F.col("cost"))))
+    return t.withColumn("slot", slot(F.col("end"))).withColumn("opens", opens.cast("int"))
+
+
 def windows(turns: DataFrame, budget: int = 1_024, history: int = 128, cost=token_cost) -> DataFrame:
     """conv_id, window, text, n_turns, n_repeated, loss of each window."""
-    conv = Window.partitionBy("conv_id")
-    t = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    t = t.withColumn("pos", F.row_number().over(conv.orderBy(F.asc_nulls_first("turn"), "role", "text")))
-    t = t.withColumn("leads", (F.col("pos") == 1) & (F.col("role") == "system"))
-    t = t.withColumn("cost", F.when(F.col("leads"), F.lit(0).cast("long")).otherwise(cost(F.col("text"))))
-    ordered = conv.orderBy("pos")
-    t = t.withColumn("end", F.sum("cost").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    t = t.withColumn("room", F.max(F.when(F.col("leads"), cost(F.col("text"))).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    t = t.withColumn("slot", F.floor((F.greatest(F.col("end"), F.lit(1)) - 1) / F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("room")) / 2))))
-    # the system turn joins the first slot in use
-    t = t.withColumn("slot", F.when(F.col("leads"), F.coalesce(F.lead("slot").over(ordered), F.lit(0))).otherwise(F.col("slot")))
-    t = t.withColumn("window", F.dense_rank().over(conv.orderBy("slot")) - 1)
-    t = t.withColumn("last", F.max("window").over(conv)).withColumn("next_start", F.max("end").over(Window.partitionBy("conv_id", "slot")))
-    place = lambda w, new: F.struct(w.cast("int").alias("window"), new.alias("new"))
+    t, width = _cells(turns, cost), budget - history
+    conv = Window.partitionBy("#conv", "#absent")
+    before = conv.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    upto = conv.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    leading = F.max(F.when(F.col("no") == 1, F.struct(F.col("role") == "system", "full"))).alias("first")
+    sums = t.groupBy(*CELL).agg(F.count("*").alias("n"), F.sum("full").alias("size"), leading).withColumn("first", F.first("first").over(upto))
+    begins = sums.select(
+        *CELL,
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("size_before"),
+        F.col("first.col1").alias("system"),
+        F.when(F.col("first.col1"), F.col("first.full")).otherwise(0).alias("room"),
+    )
+    opened = _placed(t.drop("role", "text", "conv_id"), begins, width).groupBy(*CELL, "rows_before", "size_before", "system", "room").agg(F.sum("opens").alias("opened"))
+    begins = cut(opened.withColumn("opened_before", F.coalesce(F.sum("opened").over(before), F.lit(0))).withColumn("last", F.greatest(F.sum("opened").over(conv), F.lit(1)) - 1))
+    t = _placed(t, begins, width)
+    t = t.withColumn("window", F.col("opened_before") + F.sum("opens").over(Window.partitionBy(*CELL).orderBy("no").rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    turn_of = [F.col("conv_id"), F.col("pos"), F.col("role"), F.col("text")]
+    heads = t.where("leads").select("#conv", "#absent", *turn_of)
+    # a cell repeats the system turn for the windows it opens; of no others, there is window 0
+    opening = begins.where("system and (opened > 0 or (last = 0 and rows_before = 0))").select(*CELL, F.col("opened_before").alias("low"), F.greatest(F.col("opened_before") + F.col("opened") - 1, F.col("opened_before")).alias("high"))
+    leading = opening.join(heads, ["#conv", "#absent"]).repartition(*CELL).select(*turn_of, F.explode(F.sequence("low", "high")).alias("window"))
+    leading = leading.withColumn("new", F.col("window") == 0)
+    t = t.where("not leads").withColumn("next_start", F.max("end").over(Window.partitionBy("#conv", "#absent", "slot")))
     again = (F.col("window") < F.col("last")) & (F.col("next_start") - F.col("end") + F.col("cost") <= history)
-    body = F.when(again, F.array(place(F.col("window"), F.lit(True)), place(F.col("window") + 1, F.lit(False)))).otherwise(F.array(place(F.col("window"), F.lit(True))))
-    everywhere = F.transform(F.sequence(F.lit(0), F.col("last")), lambda w: place(w, w == 0))
+    place = lambda w, new: F.struct(w.alias("window"), F.lit(new).alias("new"))
+    own, repeated = place(F.col("window"), True), place(F.col("window") + 1, False)
+    body = t.select(*turn_of, F.explode(F.when(again, F.array(own, repeated)).otherwise(F.array(own))).alias("place"))
+    placed = body.select(*turn_of, "place.window", "place.new").unionByName(leading)
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    placed = t.select("conv_id", "pos", "role", head.alias("head"), escape(F.col("text")).alias("body"), F.explode(F.when(F.col("leads"), everywhere).otherwise(body)).alias("place"))
-    placed = placed.select("conv_id", F.col("place.window").alias("window"), F.col("place.new").alias("new"), "pos", "role", "body", "head", F.concat("head", "body", F.lit(END + "\n")).alias("whole"))
+    placed = placed.select("conv_id", F.col("window").cast("int").alias("window"), "new", "pos", "role", escape(F.col("text")).alias("body"), head.alias("head")).withColumn("whole", F.concat("head", "body", F.lit(END + "\n")))
     before = Window.partitionBy("conv_id", "window").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("at", F.coalesce(F.sum(F.char_length("whole")).over(before), F.lit(0)) + F.char_length("head"))
     part = F.struct("pos", "whole", "new", (F.col("new") & (F.col("role") == "assistant")).alias("learnt"), F.col("at").alias("start"), (F.col("at") + F.char_length("body")).alias("end"))

@@ -237,6 +237,47 @@ def test_chat_reads_back_tricky_turns(spark):
     assert chat.digest(chat.windows(turns.where("false"))).count() == 0
 
 
+def plain_windows(turns, budget, history):
+    """Texts of the windows of one conversation, one turn after another."""
+    cost = lambda t: -(-len(t) // 4) + 4
+    write = lambda r, t: "<|im_start|>" + r.replace("&", "&amp;").replace("\n", "&#10;") + "\n" + t.replace("&", "&amp;") + "<|im_end|>\n"
+    turns = sorted(((t is not None, t or 0, r or "", x or "") for t, r, x in turns))
+    system = [t for t in turns[:1] if t[2] == "system"]
+    room, end, slots = sum(cost(t[3]) for t in system), 0, {}
+    for _, _, role, text in turns[len(system) :]:
+        end += cost(text)
+        slots.setdefault((end - 1) // max(1, (budget - history - room) // 2), []).append((end - cost(text), end, role, text))
+    groups = list(slots.values()) or [[]]
+    out = []
+    for i, group in enumerate(groups):
+        again = [g for g in groups[i - 1] if groups[i - 1][-1][1] - g[0] <= history] if i else []
+        out.append("".join(write(r, x) for r, x in [(t[2], t[3]) for t in system] + [g[2:] for g in again + group]))
+    return out
+
+
+def test_chat_splits_a_long_conversation(spark):
+    rng = random.Random(4)
+    long_role = "r" * 70
+    rows = [(7, 0, "system", "be & good")] + [(7, i // 2 + 1, rng.choice(["user", "assistant", long_role + "a", long_role]), "w" * rng.randint(0, 300) + str(rng.randint(0, 9))) for i in range(1500)]
+    rows += [(8, None, "user", f"same beginning of a text that is longer than the sixty-four letters cut {i}") for i in range(300)]
+    rows += [(9, None, "user", "all alike")] * 50 + [(10, 0, "system", "alone"), (11, 0, "user", "x"), (11, 1, "system", "not first")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    parts, merge = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cells = chat._cells(turns, chat.token_cost)
+        assert cells.where("conv_id = 7").select("cell").distinct().count() > 4
+        got = {}
+        for r in sorted(chat.windows(turns, 400, 60).collect(), key=lambda r: r.window):
+            got.setdefault(r.conv_id, []).append(r.text)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+    for conv in (7, 8, 9, 10, 11):
+        assert got[conv] == plain_windows([r[1:] for r in rows if r[0] == conv], 400, 60)
+
+
 def test_line_dedup_of_odd_pages(spark):
     menu = "<nav>Menu</nav><script>x</script>"
     rows = [(i, "http://u@Site.example:80/x", f"<p>{menu}<b>own</b> {i}</p>") for i in range(10)] + [(10, None, "<p>Menu</p>"), (11, "odd", None), (12, "http://site.example/", "<p>other</p>")]
