@@ -58,7 +58,7 @@ CELL = ["#conv", "#absent", "cell"]
 
 
 def _cells(turns: DataFrame, cost) -> DataFrame:
-    """Turns with their cell, and place, cost and prefix sum of costs within it; written once.
+    """Turns with their cell, a number `at` in the order of turns, and their cost; written once.
 
     Ranges are cut at beginnings of texts, so what the driver samples stays small; turns alike
     to there share a cell. Cells must not move between the passes over them, so they are written.
@@ -66,15 +66,15 @@ def _cells(turns: DataFrame, cost) -> DataFrame:
     t = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("#conv"), F.col("conv_id").isNull().alias("#absent"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     begins = F.when(F.char_length("role") <= 64, F.substring("text", 1, 64))
     dealt = t.repartitionByRange("conv_id", F.asc_nulls_first("turn"), F.substring("role", 1, 64), F.asc_nulls_last(begins)).withColumn("cell", F.spark_partition_id())
-    own = Window.partitionBy(*CELL).orderBy(F.asc_nulls_first("turn"), "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    return cut(dealt.withColumn("no", F.row_number().over(own)).withColumn("full", cost(F.col("text"))).withColumn("upto", F.sum("full").over(own)).drop("turn"))
+    ordered = dealt.sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "role", "text").withColumn("at", F.monotonically_increasing_id())
+    return cut(ordered.withColumn("full", cost(F.col("text"))).drop("turn"))
 
 
 def _placed(cells: DataFrame, begins: DataFrame, width: int) -> DataFrame:
     """cells with pos, leads, cost, end, slot, and whether a turn opens a slot."""
     t = cells.join(begins, CELL)
     t = t.withColumn("pos", F.col("no") + F.col("rows_before"))
-    t = t.withColumn("leads", F.col("system") & (F.col("pos") == 1))
+    t = t.withColumn("leads", F.col("led") & (F.col("pos") == 1))
     t = t.withColumn("cost", F.when(F.col("leads"), F.lit(0).cast("long")).otherwise(F.col("full")))
     t = t.withColumn("end", F.col("size_before") + F.col("upto") - F.col("room"))
 
@@ -82,41 +82,45 @@ def _placed(cells: DataFrame, begins: DataFrame, width: int) -> DataFrame:
         return F.floor((F.greatest(end, F.lit(1)) - 1) / F.greatest(F.lit(1), F.floor((F.lit(width) - F.col("room")) / 2)))
 
     # the turn before ends where this one's cost begins
-    opens = ~F.col("leads") & ((F.col("pos") == F.when(F.col("system"), 2).otherwise(1)) | (slot(F.col("end")) != slot(F.col("end") - F.col("cost"))))
+    opens = ~F.col("leads") & ((F.col("pos") == F.when(F.col("led"), 2).otherwise(1)) | (slot(F.col("end")) != slot(F.col("end") - F.col("cost"))))
     return t.withColumn("slot", slot(F.col("end"))).withColumn("opens", opens.cast("int"))
 
 
 def windows(turns: DataFrame, budget: int = 1_024, history: int = 128, cost=token_cost) -> DataFrame:
     """conv_id, window, text, n_turns, n_repeated, loss of each window."""
     t, width = _cells(turns, cost), budget - history
+    # places are planned without texts
+    own = Window.partitionBy(*CELL).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    lean = t.select(*CELL, "at", "full", (F.col("role") == "system").alias("system")).withColumn("no", F.row_number().over(own)).withColumn("upto", F.sum("full").over(own))
     conv = Window.partitionBy("#conv", "#absent")
     before = conv.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     upto = conv.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    leading = F.max(F.when(F.col("no") == 1, F.struct(F.col("role") == "system", "full"))).alias("first")
-    sums = t.groupBy(*CELL).agg(F.count("*").alias("n"), F.sum("full").alias("size"), leading).withColumn("first", F.first("first").over(upto))
+    leading = [F.max(F.when(F.col("no") == 1, F.col(c))).alias(c) for c in ("system", "full")]
+    sums = lean.groupBy(*CELL).agg(F.count("*").alias("n"), F.sum("full").alias("size"), *leading)
+    led = F.first("system").over(upto)
     begins = sums.select(
         *CELL,
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum("size").over(before), F.lit(0)).alias("size_before"),
-        F.col("first.col1").alias("system"),
-        F.when(F.col("first.col1"), F.col("first.full")).otherwise(0).alias("room"),
+        led.alias("led"),
+        F.when(led, F.first("full").over(upto)).otherwise(0).alias("room"),
     )
-    opened = _placed(t.drop("role", "text", "conv_id"), begins, width).groupBy(*CELL, "rows_before", "size_before", "system", "room").agg(F.sum("opens").alias("opened"))
+    opened = _placed(lean, begins, width).groupBy(*CELL, "rows_before", "size_before", "led", "room").agg(F.sum("opens").alias("opened"))
     begins = cut(opened.withColumn("opened_before", F.coalesce(F.sum("opened").over(before), F.lit(0))).withColumn("last", F.greatest(F.sum("opened").over(conv), F.lit(1)) - 1))
-    t = _placed(t, begins, width)
-    t = t.withColumn("window", F.col("opened_before") + F.sum("opens").over(Window.partitionBy(*CELL).orderBy("no").rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    turn_of = [F.col("conv_id"), F.col("pos"), F.col("role"), F.col("text")]
-    heads = t.where("leads").select("#conv", "#absent", *turn_of)
+    plan = _placed(lean, begins, width)
+    plan = plan.withColumn("window", F.col("opened_before") + F.sum("opens").over(own) - 1)
+    turn_of = ["conv_id", "pos", "role", "text"]
     # a cell repeats the system turn for the windows it opens; of no others, there is window 0
-    opening = begins.where("system and (opened > 0 or (last = 0 and rows_before = 0))").select(*CELL, F.col("opened_before").alias("low"), F.greatest(F.col("opened_before") + F.col("opened") - 1, F.col("opened_before")).alias("high"))
-    leading = opening.join(heads, ["#conv", "#absent"]).repartition(*CELL).select(*turn_of, F.explode(F.sequence("low", "high")).alias("window"))
-    leading = leading.withColumn("new", F.col("window") == 0)
-    t = t.where("not leads").withColumn("next_start", F.max("end").over(Window.partitionBy("#conv", "#absent", "slot")))
+    opening = begins.where("led and (opened > 0 or (last = 0 and rows_before = 0))").select(*CELL, F.col("opened_before").alias("low"), F.greatest(F.col("opened_before") + F.col("opened") - 1, F.col("opened_before")).alias("high"))
+    heads = t.where("role = 'system'").join(plan.where("leads").select("at", "pos"), "at").select("#conv", "#absent", *turn_of)
+    everywhere = opening.join(heads, ["#conv", "#absent"]).repartition(*CELL).select(*turn_of, F.explode(F.sequence("low", "high")).alias("window")).withColumn("new", F.col("window") == 0)
+    plan = plan.where("not leads").withColumn("next_start", F.max("end").over(Window.partitionBy("#conv", "#absent", "slot")))
     again = (F.col("window") < F.col("last")) & (F.col("next_start") - F.col("end") + F.col("cost") <= history)
+    body = t.select("at", "conv_id", "role", "text").join(plan.select("at", "pos", F.col("window").alias("first"), again.alias("again")), "at")
     place = lambda w, new: F.struct(w.alias("window"), F.lit(new).alias("new"))
-    own, repeated = place(F.col("window"), True), place(F.col("window") + 1, False)
-    body = t.select(*turn_of, F.explode(F.when(again, F.array(own, repeated)).otherwise(F.array(own))).alias("place"))
-    placed = body.select(*turn_of, "place.window", "place.new").unionByName(leading)
+    once, repeated = place(F.col("first"), True), place(F.col("first") + 1, False)
+    body = body.select(*turn_of, F.explode(F.when(F.col("again"), F.array(once, repeated)).otherwise(F.array(once))).alias("place"))
+    placed = body.select(*turn_of, "place.window", "place.new").unionByName(everywhere)
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     placed = placed.select("conv_id", F.col("window").cast("int").alias("window"), "new", "pos", "role", escape(F.col("text")).alias("body"), head.alias("head")).withColumn("whole", F.concat("head", "body", F.lit(END + "\n")))
     before = Window.partitionBy("conv_id", "window").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
