@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Labels spread through joins and grouped minima only; no list of neighbours is ever built, so
-a hub with very many links costs no more memory than any other row.
+Labels spread through joins and grouped minima only; no list of neighbours is ever built, and a
+hub's links are dealt over many tasks, so a hub costs no task more than any other row.
 """
 
 from __future__ import annotations
@@ -9,16 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spread_join
 
 
 def _star(edges: DataFrame) -> DataFrame:
     """One large star over both directions, then one small star; edges (a, b) with a > b."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("hub"), F.least("a", "low").alias("low"))
-    large = both.join(least, F.col("a") == F.col("hub")).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-    down = large.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("hub"), "low")
-    joined = large.join(down, F.col("a") == F.col("hub"))
+    least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+    large = spread_join(both, least, "a", "b").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    joined = spread_join(large, large.groupBy("a").agg(F.min("b").alias("low")), "a", "b")
     small = joined.select(F.explode(F.array(F.struct(F.col("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b")
     return small.where("a > b").distinct()
 

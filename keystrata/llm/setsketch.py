@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, cut, mix64, runs, shingles, stream64
+from .common import buffers, cut, mix64, runs, shingles, spread_join, stream64
 from .components import components
 
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
@@ -138,7 +138,10 @@ def full_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) with 100 * intersection >= percent * union on their full sets."""
+    """Those pairs (a, b) with 100 * intersection >= percent * union on their full sets.
+
+    A hub of many pairs is dealt over many tasks; pairs are read several times.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +156,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = sets.select(F.col("id").alias("a"), F.col("members").alias("x")), sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return spread_join(spread_join(pairs, left, "a", "b"), right, "b", "a", pairs).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def likely(pairs: DataFrame, reps: DataFrame, least: float, m: int) -> DataFrame:
@@ -220,14 +223,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     sets = full_sets(docs.select(id_col, text_col).join(involved.select(F.col("id").alias(id_col)), id_col, "left_semi"), width, id_col, text_col)
     sets = cut(sets.groupBy("id").agg(F.min("members").alias("members")))
     pair = lambda a, b: F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-    stars = members.select(F.explode(F.array(pair("id", "hub"), pair("id", "hub2"))).alias("p")).select("p.a", "p.b").where("a <> b").distinct()
+    stars = cut(members.select(F.explode(F.array(pair("id", "hub"), pair("id", "hub2"))).alias("p")).select("p.a", "p.b").where("a <> b").distinct())
     first = cut(verified(stars, sets, percent))
     known = components(first)
     placed = cut(members.join(known, members.id == known.node, "left").select("band", "id", F.coalesce("component", "id").alias("component")))
     open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("band", "n")
     few = placed.join(open_.where(F.col("n") <= SMALL).select("band"), "band")
     few = few.alias("l").join(few.alias("r"), F.expr("l.band = r.band and l.component < r.component")).select(pair("l.id", "r.id").alias("p")).select("p.a", "p.b").distinct()
-    second = verified(likely(few.join(stars, ["a", "b"], "left_anti"), reps, percent / 100 - margin, m), sets, percent)
+    second = verified(cut(likely(few.join(stars, ["a", "b"], "left_anti"), reps, percent / 100 - margin, m)), sets, percent)
     many = (
         placed.join(open_.where(F.col("n") > SMALL).select("band", (F.floor(F.col("n") / TILE) + 1).cast("int").alias("tiles")), "band")
         .join(reps.select(F.col("rep").alias("id"), "registers", "n_shingles"), "id")
