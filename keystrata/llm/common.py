@@ -33,24 +33,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, counted: DataFrame | None = None) -> DataFrame:
-    """Inner join of left and right on key, of which right holds one row each.
-
-    Rows of left with a common key are dealt over about the square root of their number of tasks
-    by a hash of column `by`, each with its copy of right's row, so no task gets them all. Only
-    the 1,000 commonest keys and their counts are broadcast; any other key holds less than a
-    thousandth of the rows. They are counted in `counted`, or in left. Null keys match nothing.
-    """
-    counts = (left if counted is None else counted).groupBy(F.col(key).alias("#key")).agg(F.count("*").alias("#n")).where("`#key` is not null and `#n` > 256")
-    top = counts.orderBy(F.desc("#n"), "#key").limit(1_000).select("#key", F.ceil(F.sqrt("#n")).cast("int").alias("#salts"))
-    hot, same = F.broadcast(top), F.col(key) == F.col("#key")
-    salt = F.when(F.col("#key").isNotNull(), F.pmod(F.xxhash64(by), F.col("#salts")).cast("int")).otherwise(0)
-    salts = F.when(F.col("#key").isNotNull(), F.sequence(F.lit(0), F.col("#salts") - 1)).otherwise(F.array(F.lit(0)))
-    dealt = left.join(hot, same, "left").withColumn("#salt", salt).drop("#key", "#salts")
-    copied = right.join(hot, same, "left").withColumn("#salt", F.explode(salts)).drop("#key", "#salts")
-    return dealt.join(copied, [key, "#salt"]).drop("#salt")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

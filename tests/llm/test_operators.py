@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keystrata.llm import attribution, chat, decontaminate, langid, linededup, mixing, packing, queries, setsketch, tokenizing, topk, toxicity
-from keystrata.llm.common import spread_join
 from keystrata.llm.components import components
 from tests.test_queries import FOLDER, connection, same
 
@@ -221,15 +220,6 @@ def test_components(spark):
     assert got == part
 
 
-def test_spread_join_keeps_every_row(spark):
-    left = spark.createDataFrame([(i % 3 if i < 2000 else i, i) for i in range(2100)] + [(None, -1), (1, 5), (1, 5)], "k long, v long")
-    right = spark.createDataFrame([(k, f"r{k}") for k in [0, 1, 2050, 9999]] + [(None, "null")], "k long, r string")
-    got = spread_join(left, right, "k", "v")
-    assert got.columns == ["k", "v", "r"]
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
-    assert spread_join(left.where("false"), right, "k", "v").count() == 0
-
-
 def test_components_of_a_hub(spark):
     edges = [(5, i) for i in range(6, 1500)] + [(3, 1400)] + [(i, 4000) for i in range(2000, 3000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
