@@ -131,6 +131,11 @@ def test_language_fuses_evidence(spark):
     truth = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
     right = got.where("kind = 'document'").join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert right > 0.95 and got.count() == 250
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").dropDuplicates(["text"])
+    unseen = docs.where("doc_id % 5 = 0 and text is not null").select("doc_id", F.col("lang").alias("truth"))
+    masked = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    held = langid.identify(spark.read.parquet(f"{FOLDER}/pages.parquet"), masked).where("kind = 'document'").join(unseen, "doc_id")
+    assert held.count() > 20 and held.agg(F.avg((F.col("truth") == F.col("lang_pred")).cast("double"))).first()[0] > 0.9
     pages = spark.createDataFrame([(None, None, None), (1, "http://h.example.de/x", ""), (2, "odd", "<html lang=EN>")], "page_id long, url string, html string")
     assert langid.identify(pages, odd_docs(spark)).count() == 10
     assert langid.identify(pages.where("false"), odd_docs(spark).where("false")).count() == 0
