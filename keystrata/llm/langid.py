@@ -1,8 +1,8 @@
 """Language identification (operator 5): Bayesian fusion of four kinds of evidence.
 
 1. Text: log likelihoods of hashed byte trigrams under each language, learnt from a bounded
-   sample of documents with a known language; trigrams overlap, so a text counts as at most
-   `strength` independent observations.
+   sample of documents with a known language, dealt evenly over the languages; trigrams overlap,
+   so a text counts as at most `strength` independent observations.
 2. Declared markup language (html lang) and 3. address suffix: P(value | language), estimated
    by grouped sums of the text posteriors over all rows, so a site-wide wrong declaration is
    learnt to be weak evidence.
@@ -15,8 +15,8 @@ partial sums before the shuffle; tables of hosts and suffixes are joined back by
 the engine where hot, and never collected.
 
 Edge cases: null and empty texts have no text evidence; an unknown or null declaration, suffix
-or host adds nothing; languages are those with `least_docs` sampled documents, ties go to the
-first by name; without any language the result has null language. Repeated rows count each;
+or host adds nothing; languages are those with `least_docs` documents in the whole table, ties go
+to the first by name; without any language the result has null language. Repeated rows count each;
 null ids are kept; empty tables give empty results; extra columns are ignored.
 """
 
@@ -35,6 +35,7 @@ from .common import buffers, cut, runs
 from .linededup import host
 
 BITS = 14
+LEAST_SAMPLE = 25
 _CODE = np.zeros(256, np.uint32)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[65:91] = np.arange(1, 27)
@@ -59,12 +60,33 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return key, np.diff(seen[offsets])
 
 
+def _even(counts: list[int], total: int) -> float:
+    """The most rows of each group so that about total rows are taken in all; what small groups leave goes to the others."""
+    left, groups = total, len(counts)
+    for c in sorted(counts):
+        if c * groups > left:
+            return left / groups
+        left, groups = left - c, groups - 1
+    return float("inf")
+
+
 def learn(docs: DataFrame, sample_rows: int = 8_000, least_docs: int = 5) -> tuple[list[str], np.ndarray]:
-    """Languages and their trigrams' log probabilities, from about sample_rows documents."""
-    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    total = known.count()
-    share = min(1.0, sample_rows / max(1, total))
-    sample = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
+    """Languages and their trigrams' log probabilities.
+
+    The languages are those of least_docs documents in the whole table; about sample_rows
+    documents are learnt from, dealt evenly over the languages (LEAST_SAMPLE each at least).
+    """
+    # by id and text: null and repeated ids don't go together
+    known = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id", "text", F.lit(9)).alias("at"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("at").alias("kinds")).where(F.col("n") >= least_docs).collect()
+    names = sorted(r.lang for r in counts)
+    if not names:
+        return [], np.zeros((0, (1 << BITS) + 1))
+    most = max(LEAST_SAMPLE, _even([r.kinds for r in counts], sample_rows))
+    below = [(r.lang, int(min(1.0, most / max(1, r.kinds)) * (2**64 - 2**12)) - 2**63) for r in counts]
+    # one row a language, of which the driver holds the table anyway
+    taken = F.broadcast(docs.sparkSession.createDataFrame(below, "lang string, below long"))
+    sample = known.join(taken, "lang").where((F.col("at") < F.col("below")) | (F.col("below") >= 2**63 - 2**12)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: dict[str, np.ndarray] = {}
@@ -75,19 +97,17 @@ def learn(docs: DataFrame, sample_rows: int = 8_000, least_docs: int = 5) -> tup
                 key, _ = trigrams(data[at[i] : at[j]], at[i : j + 1] - at[i])
                 for name in set(lang[i:j]):
                     own = np.repeat(lang[i:j] == name, np.diff(at[i : j + 1]))
-                    t = tally.setdefault(name, np.zeros((1 << BITS) + 1, np.int64))
-                    t += np.bincount(key[own], minlength=(1 << BITS) + 1)
-                    t[-1] += int((lang[i:j] == name).sum()) - int((key[own] == 1 << BITS).sum())
+                    t = tally.setdefault(name, np.zeros(1 << BITS, np.int64))
+                    t += np.bincount(key[own], minlength=(1 << BITS) + 1)[:-1]
         for name, t in tally.items():
             at = np.flatnonzero(t)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(t[at])], ["lang", "bucket", "n"])
 
     rows = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     lang, bucket, n = np.array(rows.column("lang").to_pylist(), object), np.asarray(rows.column("bucket"), np.int64), np.asarray(rows.column("n"), np.int64)
-    names = sorted(str(x) for x in lang[(bucket == 1 << BITS) & (n >= least_docs)])
     table = np.zeros((len(names), (1 << BITS) + 1))
     for k, name in enumerate(names):
-        own = (lang == name) & (bucket < 1 << BITS)
+        own = lang == name
         counts = np.full(1 << BITS, 0.1)
         counts[bucket[own]] += n[own]
         table[k, :-1] = np.log(counts / counts.sum())

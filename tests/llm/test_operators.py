@@ -141,6 +141,22 @@ def test_language_fuses_evidence(spark):
     assert langid.identify(pages.where("false"), odd_docs(spark).where("false")).count() == 0
 
 
+def test_language_knows_a_rare_one(spark):
+    """A language far rarer than one sampled document is a candidate, whatever the input's size."""
+    rng = random.Random(4)
+    words = {"en": "the of and house water with from tree over under".split(), "de": "der und haus wasser mit von baum unter nicht auch".split(), "fi": "talo vesi kanssa puu alla mutta joka ovat yksi sitten".split()}
+    made = [(i if i % 7 else None, " ".join(rng.choices(words[lang], k=40)), lang, lang, 1) for i, lang in enumerate(["en", "de"] * 1_500 + ["fi"] * 8)]
+    made += [(9, "seltene worte", "xx", "x", 1)] * 4
+    docs = spark.createDataFrame(made, DOCS)
+    pages = spark.createDataFrame([(1, "http://h.example/x", f"<p>{made[3001][1]}</p>")], "page_id long, url string, html string")
+    names, table = langid.learn(docs, sample_rows=150)
+    assert names == ["de", "en", "fi"] and (table[:, :-1].max(1) > table[:, :-1].min(1) + 1).all()
+    got = langid.identify(pages, docs, sample_rows=150)
+    assert got.where("kind = 'page'").first().lang_pred == "fi"
+    assert got.where("host = 'source:fi' and lang_pred = 'fi'").count() == 8
+    assert got.where("host = 'source:en' and lang_pred = 'en'").count() == 1_500
+
+
 def test_toxicity_learns_a_pair(spark):
     row, term, label = [], [], []
     for i in range(400):
