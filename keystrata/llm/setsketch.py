@@ -10,15 +10,17 @@ become likelier with similarity (locality-sensitive). The steps:
 2. Registers are cut into bands; sets agreeing in a band share a bucket. Each bucket first links
    its members to two of them only (smallest id and smallest hash), a count linear in the bucket.
 3. Where a bucket's members aren't in one component then, pairs of different components are
-   judged by a joint likelihood of the similarity, from registers above, below and equal and
-   both set sizes. Buckets of up to `SMALL` members are paired by a join; larger ones are
-   compared in tiles of bounded size that hold the full sets, verify there, and give only the
-   links that join components, so their output is linear too. No bucket is capped.
+   compared. Buckets of up to `SMALL` members are paired by a join; larger ones are compared in
+   tiles of bounded size that hold the full sets, verify there, and give only the links that join
+   components, so their output is linear too. In a tile a joint likelihood of the similarity,
+   from registers above, below and equal and both set sizes, only says which pairs come first;
+   the others follow where they could still join components. No bucket is capped.
 4. Candidates are confirmed on the full shingle sets, and confirmed links are joined into
    components.
 
 With the default 160 registers in 32 bands of 5, two sets of similarity 0.8 fail to share a
-bucket with probability 3e-6, and the likelihood's margin is about four standard deviations.
+bucket with probability 3e-6. Nothing else is missed: all pairs of a bucket that could join
+components are compared on their full sets.
 
 Edge cases: null or empty texts and texts without words have empty sets, which are linked with
 nothing; fewer words than a shingle count as one shingle; rows with null id form classes only
@@ -156,22 +158,6 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def likely(pairs: DataFrame, reps: DataFrame, least: float, m: int) -> DataFrame:
-    """Those pairs (a, b) whose likeliest similarity reaches least."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, m) for c in ("x", "y"))
-            nx, ny = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("nx", "ny"))
-            yield batch.select(["a", "b"]).filter(pa.array(reaches(x, y, nx, ny, least)))
-
-    left = reps.select(F.col("rep").alias("a"), F.col("registers").alias("x"), F.col("n_shingles").alias("nx"))
-    right = reps.select(F.col("rep").alias("b"), F.col("registers").alias("y"), F.col("n_shingles").alias("ny"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "nx", "ny").mapInArrow(run, "a long, b long")
-
-
 def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFrame:
     """Verified links between a tile's components, one for each two components joined."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
@@ -189,23 +175,28 @@ def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFra
         others = np.flatnonzero((block == j) & (now != now[x]) & ((np.arange(len(ids)) > x) | (i != j)))
         if not len(others):
             continue
-        others = others[reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)]
+        # sizes too far apart can't reach the similarity
+        others = others[100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others])]
         if not len(others):
             continue
+        first_ones = reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)
         held[member[first[x] : first[x + 1]]] = True
-        both = np.array([np.count_nonzero(held[member[first[y] : first[y + 1]]]) for y in others])
+        for now in (others[first_ones], others[~first_ones]):
+            now = now[joined[part[now]] != joined[part[x]]]
+            both = np.array([np.count_nonzero(held[member[first[y] : first[y + 1]]]) for y in now], np.int64)
+            for y in now[(100 * both >= percent * (n[x] + n[now] - both)) & (both > 0)]:
+                if joined[part[x]] != joined[part[y]]:
+                    found.append((ids[x], ids[y]))
+                    joined[joined == joined[part[y]]] = joined[part[x]]
         held[member[first[x] : first[x + 1]]] = False
-        for y in others[(100 * both >= percent * (n[x] + n[others] - both)) & (both > 0)]:
-            if joined[part[x]] != joined[part[y]]:
-                found.append((ids[x], ids[y]))
-                joined[joined == joined[part[y]]] = joined[part[x]]
     return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, margin: float = 0.12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links) and kept for each row.
 
-    Two rows are linked if 100 * intersection >= percent * union of their shingle sets.
+    Two rows are linked if 100 * intersection >= percent * union of their shingle sets. margin
+    orders the comparisons of a tile and changes no result.
     """
     m = bands * rows
     rowwise = cut(sketch(docs, width, bands, rows, id_col, text_col))
@@ -227,7 +218,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("band", "n")
     few = placed.join(open_.where(F.col("n") <= SMALL).select("band"), "band")
     few = few.alias("l").join(few.alias("r"), F.expr("l.band = r.band and l.component < r.component")).select(pair("l.id", "r.id").alias("p")).select("p.a", "p.b").distinct()
-    second = verified(likely(few.join(stars, ["a", "b"], "left_anti"), reps, percent / 100 - margin, m), sets, percent)
+    second = verified(few.join(stars, ["a", "b"], "left_anti"), sets, percent)
     many = (
         placed.join(open_.where(F.col("n") > SMALL).select("band", (F.floor(F.col("n") / TILE) + 1).cast("int").alias("tiles")), "band")
         .join(reps.select(F.col("rep").alias("id"), "registers", "n_shingles"), "id")

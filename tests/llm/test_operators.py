@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,6 +215,22 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, small):
     assert [got[i].n_shingles for i in range(len(texts))] == sizes
 
 
+def test_near_duplicates_whatever_the_likelihood_says(spark, monkeypatch):
+    """A similarity that is estimated too low loses no link, be it in a pair or in a tile."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join([*base[:at], "other", *base[at + 1 :]]) for at in rng.sample(range(300), 6)]
+    real, calls = setsketch.verified, []
+    # the first call's stars find nothing, so the pairs besides them are left to the step after
+    monkeypatch.setattr(setsketch, "verified", lambda pairs, *more: real(pairs if calls else pairs.where("false"), *more, *calls.append(1) or ()))
+    got = [r.component_id for r in setsketch.near_duplicates(docs_of(spark, texts), width=2, bands=1, margin=-1.0).collect()]
+    assert max(got.count(c) for c in got) == 4
+    sets = [np.arange(at, at + 100, dtype=np.uint64) for at in (0, 3, 500)]
+    k = setsketch.registers(np.concatenate(sets), np.array([0, 100, 200, 300]), 160)
+    tile = pd.DataFrame({"i": 0, "j": 0, "block": 0, "id": [1, 2, 3], "component": [1, 2, 3], "n_shingles": 100, "registers": [x.tobytes() for x in k], "members": [x.tobytes() for x in sets]})
+    assert setsketch._tile(tile, 80, 1.8, 160).to_numpy().tolist() == [[1, 2]]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = setsketch.near_duplicates(odd_docs(spark)).collect()
     assert len(got) == 7 and all(r.component_id == r.id for r in got)
