@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .keyed import first_per_key
+
 
 def inline(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
     """A small fixed table as literals of the plan."""
@@ -12,15 +14,21 @@ def inline(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFram
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def lookup(rows: DataFrame, rules: DataFrame, selector: str, key: str) -> DataFrame:
-    """rows with the first rule of their selector; rows that find none are left out (no write)."""
-    return rows.join(rules, F.col(selector) == F.col(key)).drop(key)
+def _first_rules(rules: DataFrame, key: str, order: list[str] | None) -> DataFrame:
+    """The first rule of each key by order, then by the other columns."""
+    values = [c for c in rules.columns if c != key]
+    return first_per_key(rules, [key], [*(order or []), *values], values) if values else rules.distinct()
+
+
+def lookup(rows: DataFrame, rules: DataFrame, selector: str, key: str, order: list[str] | None = None) -> DataFrame:
+    """rows with the first rule of their selector, by order and then the rules' other columns; rows that find none are left out (no write)."""
+    return rows.join(_first_rules(rules, key, order), F.col(selector) == F.col(key)).drop(key)
 
 
-def decision_overlay(rows: DataFrame, rules: DataFrame, selector: str, key: str, default: str) -> DataFrame:
+def decision_overlay(rows: DataFrame, rules: DataFrame, selector: str, key: str, default: str, order: list[str] | None = None) -> DataFrame:
     """As lookup, but a null or empty selector takes the default rule."""
     chosen = F.coalesce(F.nullif(F.col(selector), F.lit("")), F.lit(default))
-    return rows.withColumn("#chosen", chosen).join(rules, F.col("#chosen") == F.col(key)).drop("#chosen", key)
+    return rows.withColumn("#chosen", chosen).join(_first_rules(rules, key, order), F.col("#chosen") == F.col(key)).drop("#chosen", key)
 
 
 def unpivot(rows: DataFrame, pairs: list[tuple[Column, Column]], *keep: str) -> DataFrame:

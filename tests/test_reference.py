@@ -166,3 +166,11 @@ def test_streaming_bind_once(spark, tmp_path):
     q = hits.bind_once(stream, "k", "ts").writeStream.format("memory").queryName("bound").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("bound").count() == 3
+
+
+def test_lookup_takes_the_first_rule_of_a_repeated_key(spark):
+    rules_table = spark.createDataFrame([("k", 2, "late"), ("k", 1, "soon"), ("<default>", 2, "a"), ("<default>", 1, "z")], "k string, at int, url string")
+    rows = spark.createDataFrame([(1, "k"), (2, None), (3, "none")], "id int, sel string")
+    assert [(r.id, r.url) for r in lookup.lookup(rows, rules_table, "sel", "k", ["at"]).collect()] == [(1, "soon")]
+    assert {(r.id, r.url) for r in lookup.decision_overlay(rows, rules_table, "sel", "k", "<default>").collect()} == {(1, "soon"), (2, "z")}
+    assert lookup.decision_overlay(rows, rules_table, "sel", "k", "<default>", ["url"]).where("id = 2").first().url == "a"
