@@ -1,4 +1,4 @@
-"""Shared parts of the training-data operators: checkpoints and byte-level text hashing.
+"""Shared parts of the training-data operators: written tables, joins of hot keys and byte-level text hashing.
 
 The hashing helpers work on the UTF-8 buffers that Arrow hands over, a bounded run of
 bytes at a time, so memory doesn't depend on how many rows an Arrow batch holds.
@@ -7,6 +7,7 @@ bytes at a time, so memory doesn't depend on how many rows an Arrow batch holds.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,17 +21,58 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 20
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the reliable checkpoint folder once and read it from there.
-
-    The folder is the session's spark.checkpoint.dir; one of our own is set only where that
-    is unset (local runs and tests).
-    """
-    context = df.sparkSession.sparkContext
+def _shared_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         configured = context.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="keystrata-"))
-    return df.checkpoint(eager=True)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write df once, as a Parquet table in the session's spark.checkpoint.dir, and read it from there.
+
+    Lineage ends there, later steps read only the columns they need, and the planner knows the
+    table's true size. Only a local session (as in tests) gets a folder of its own where none is
+    set; a cluster's executors share no temporary folder, so there an unset folder is an error.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the tables of frames made by cut that nothing will read any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(many: DataFrame, one: DataFrame, key: str, by: Column, counts: DataFrame | None = None, total: int | None = None, how: str = "inner", least: int = 1_024, hot_keys: int = 4_096) -> DataFrame:
+    """many joined to one (a row a key) on key, the rows of a hot key dealt over several tasks.
+
+    Hot are keys with more than `least` and more than total / hot_keys rows of many. There are
+    fewer than hot_keys of these, which bounds what the driver holds and sends; the row of a hot
+    key is repeated once for each part, so at most total / least times in all. by tells rows of a
+    key apart. counts (key, n) and total are those of many, if known already.
+    """
+    total = many.count() if total is None else total
+    most = max(least, -(-total // hot_keys))
+    if counts is None:
+        counts = many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    hot = counts.where(F.col("n") > most).select(F.xxhash64(key).alias("h"), F.ceil(F.col("n") / most).cast("int").alias("p")).collect()
+    if not hot:
+        return many.join(one, key, how)
+    # fewer than hot_keys rows of two numbers
+    parts = F.broadcast(many.sparkSession.createDataFrame([(r.h, r.p) for r in hot], "`#h` long, `#p` int").groupBy("#h").agg(F.max("#p").alias("#p")))
+    dealt = many.withColumn("#by", F.xxhash64(by)).join(parts, F.xxhash64(key) == F.col("#h"), "left").withColumn("#part", F.coalesce(F.pmod("#by", F.col("#p")).cast("int"), F.lit(0)))
+    repeated = one.join(parts, F.xxhash64(key) == F.col("#h"), "left").withColumn("#part", F.explode(F.sequence(F.lit(0), F.coalesce("#p", F.lit(1)) - 1)))
+    return dealt.drop("#h", "#p", "#by").join(repeated.drop("#h", "#p"), [key, "#part"], how).drop("#part")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Labels spread through joins and grouped minima only; no list of neighbours is ever built, so
-a hub with very many links costs no more memory than any other row.
+a hub with very many links costs no more memory than any other row, and its links are dealt over
+several tasks where they are joined to its label.
 """
 
 from __future__ import annotations
@@ -9,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release, spread
 
 
 def _star(edges: DataFrame) -> DataFrame:
     """One large star over both directions, then one small star; edges (a, b) with a > b."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("hub"), F.least("a", "low").alias("low"))
-    large = both.join(least, F.col("a") == F.col("hub")).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+    total = 2 * edges.count()
+    large = spread(both, least.select("a", F.least("a", "low").alias("low")), "a", F.col("b"), least, total).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    # after a large star a node has few links, to the least of each of its neighbourhoods
     down = large.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("hub"), "low")
     joined = large.join(down, F.col("a") == F.col("hub"))
     small = joined.select(F.explode(F.array(F.struct(F.col("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b")
@@ -35,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
         found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if found.n == 0 or (found.n, found.s) == mark:
             break
-        mark = (found.n, found.s)
-        now = cut(_star(now))
+        mark, before = (found.n, found.s), now
+        now = cut(_star(before))
+        release(before)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

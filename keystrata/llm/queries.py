@@ -42,7 +42,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), width=2).withColumnRenamed("id", "doc_id")
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), width=2).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 #: The conversation that every run of op8 formats besides the table's.
@@ -93,11 +93,12 @@ p AS (
   SELECT x.rep AS a, y.rep AS b FROM e x JOIN e y
   ON x.shingle = y.shingle AND x.rep < y.rep AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
   GROUP BY x.rep, y.rep, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+  UNION SELECT s.doc_id, c.rep FROM s JOIN c ON s.s = c.s WHERE s.doc_id <> c.rep
 ), l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
-reach AS (SELECT rep AS node, rep AS low FROM c UNION SELECT l.b, low FROM reach JOIN l ON l.a = node WHERE low < l.b),
+reach AS (SELECT DISTINCT doc_id AS node, doc_id AS low FROM s UNION SELECT l.b, low FROM reach JOIN l ON l.a = node WHERE low < l.b),
 k AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
-SELECT doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id, doc_id = coalesce(low, doc_id) AS kept
-FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN k ON c.rep = k.node
+SELECT doc_id, len(s.s)::BIGINT AS n_shingles, low AS component_id, doc_id = low AS kept
+FROM s JOIN k ON s.doc_id = k.node
 """
 
 _CHAT = f"""

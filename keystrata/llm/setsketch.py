@@ -6,26 +6,31 @@ registers of a union are the register-wise maxima of the parts (mergeable), and
 become likelier with similarity (locality-sensitive). The steps:
 
 1. One narrow pass sketches every row. Rows of one set (equal size and 128-bit digest) collapse
-   to the one with the smallest id; copies are never expanded into pairs.
-2. Registers are cut into bands; sets agreeing in a band share a bucket. Each bucket first links
-   its members to two of them only (smallest id and smallest hash), a count linear in the bucket.
-3. Where a bucket's members aren't in one component then, pairs of different components are
-   compared. Buckets of up to `SMALL` members are paired by a join; larger ones are compared in
-   tiles of bounded size that hold the full sets, verify there, and give only the links that join
-   components, so their output is linear too. In a tile a joint likelihood of the similarity,
-   from registers above, below and equal and both set sizes, only says which pairs come first;
-   the others follow where they could still join components. No bucket is capped.
-4. Candidates are confirmed on the full shingle sets, and confirmed links are joined into
-   components.
-
-With the default 160 registers in 32 bands of 5, two sets of similarity 0.8 fail to share a
-bucket with probability 3e-6. Nothing else is missed: all pairs of a bucket that could join
-components are compared on their full sets.
+   to a class with a number of its own; copies are never expanded into pairs.
+2. Registers are cut into bands; classes agreeing in a band share a bucket. Each bucket first
+   links its members to two of them only (smallest number and smallest hash), a count linear in
+   the bucket. The joint likelihood of the similarity, from registers above, below and equal and
+   both set sizes, says which of these stars can reach the similarity at all.
+3. Full sets are made for the classes of likely stars only. A class is compared with its likeliest
+   centre first, with the others where they would still join components.
+4. Where a bucket's members aren't in one component then, pairs of different components are
+   left. Buckets of up to `SMALL` members are paired by a join, again on registers first; larger
+   ones are first narrowed in tiles of registers to the members with a likely partner elsewhere,
+   and those compared in tiles of full sets, bounded by rows and by bytes, which give only the
+   links that join components. Every join with a centre or a bucket deals hot keys over several
+   tasks. No bucket is capped.
+5. Every link is confirmed on the full sets; links are joined into components.
+
+Misses: with the default 160 registers in 32 bands of 5, two sets of similarity 0.8 fail to share
+a bucket with probability 3e-6; the likelihood falls short by `margin` (0.2, six standard deviations
+of the estimate) with less than 1e-6. Both hit only links that no other path joins.
 
 Edge cases: null or empty texts and texts without words have empty sets, which are linked with
-nothing; fewer words than a shingle count as one shingle; rows with null id form classes only
-by equal sets and are otherwise not linked; repeated rows and rows sharing an id share a class.
-Empty tables give empty results. Extra columns of docs are ignored.
+nothing; fewer words than a shingle count as one shingle. Rows that share an id are one document:
+all that is linked with any of them is reachable from it. Rows with null id are classed like others
+by their text, and never give a component its name: a class reachable from no id has a null
+component_id (and is kept). Repeated rows share a class. Empty tables give empty results. Extra
+columns of docs are ignored.
 """
 
 from __future__ import annotations
@@ -38,11 +43,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, cut, mix64, runs, shingles, stream64
+from .common import buffers, cut, mix64, release, runs, shingles, spread, stream64
 from .components import components
 
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-TILE, SMALL = 512, 32
+TILE, SMALL, TILE_BYTES = 512, 32, 8 << 20
+FEW = 1_000_000
 
 
 def registers(sets: np.ndarray, first: np.ndarray, m: int) -> np.ndarray:
@@ -91,8 +97,8 @@ def reaches(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least:
     return rises & (np.minimum(nx, ny) >= least * np.maximum(nx, ny))
 
 
-def sketch(docs: DataFrame, width: int = 2, bands: int = 32, rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, digest (null for an empty set), registers (binary), bands (array of long)."""
+def sketch(given: DataFrame, width: int = 2, bands: int = 32, rows: int = 5) -> DataFrame:
+    """id, mark, n_shingles, digest (null for an empty set), registers (binary), bands (array of long); given: id, mark, text."""
     m, factor = bands * rows, stream64(rows, 23) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,19 +119,20 @@ def sketch(docs: DataFrame, width: int = 2, bands: int = 32, rows: int = 5, id_c
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("id").slice(i, j - i),
+                        b.column("mark").slice(i, j - i),
                         pa.array(size),
                         pa.array([None if e else d.tobytes() for e, d in zip(empty, digest, strict=True)], pa.binary()),
                         pa.array([None if e else r.tobytes() for e, r in zip(empty, k, strict=True)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i) * bands + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64))),
                     ],
-                    ["id", "n_shingles", "digest", "registers", "bands"],
+                    ["id", "mark", "n_shingles", "digest", "registers", "bands"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n_shingles long, digest binary, registers binary, bands array<long>")
+    return given.select("id", "mark", "text").mapInArrow(run, "id long, mark long, n_shingles long, digest binary, registers binary, bands array<long>")
 
 
-def full_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id and its sorted distinct shingle hashes as packed bytes."""
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """c and the sorted distinct shingle hashes of its text as packed bytes; texts: c, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -134,13 +141,33 @@ def full_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
                 sets, first = shingles(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 raw = pa.py_buffer(sets.tobytes())
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer((first * 8).tobytes()), raw]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), packed], ["id", "members"])
+                yield pa.RecordBatch.from_arrays([b.column("c").slice(i, j - i), packed], ["c", "members"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, members binary")
+    return texts.select("c", "text").mapInArrow(run, "c long, members binary")
+
+
+def scored(pairs: DataFrame, facts: DataFrame, least: float, m: int) -> DataFrame:
+    """Those pairs (a, b) whose likeliest similarity is `least` at least, with it as `near`; b may be hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, m) for c in ("x", "y"))
+            nx, ny = (batch.column(c).to_numpy().astype(float) for c in ("nx", "ny"))
+            able = np.flatnonzero(reaches(x, y, nx, ny, least)) if len(x) else np.zeros(0, int)
+            near = likeliest(x[able], y[able], nx[able], ny[able])
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(able)), batch.column("b").take(pa.array(able)), pa.array(near)], ["a", "b", "near"])
+
+    left = facts.select(F.col("c").alias("a"), F.col("registers").alias("x"), F.col("n_shingles").alias("nx"))
+    right = facts.select(F.col("c").alias("b"), F.col("registers").alias("y"), F.col("n_shingles").alias("ny"))
+    return spread(pairs.join(left, "a"), right, "b", F.col("a"), *_tally(pairs)).select("a", "b", "x", "y", "nx", "ny").mapInArrow(run, "a long, b long, near double")
+
+
+def _tally(pairs: DataFrame) -> tuple[DataFrame, int]:
+    return pairs.groupBy("b").agg(F.count("*").alias("n")), pairs.count()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) with 100 * intersection >= percent * union on their full sets."""
+    """Those pairs (a, b) with 100 * intersection >= percent * union on their full sets; b may be hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,16 +181,39 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = sets.select(F.col("id").alias("a"), F.col("members").alias("x")), sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    left, right = sets.select(F.col("c").alias("a"), F.col("members").alias("x")), sets.select(F.col("c").alias("b"), F.col("members").alias("y"))
+    pairs = pairs.select("a", "b")
+    return spread(pairs.join(left, "a"), right, "b", F.col("a"), *_tally(pairs)).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those pairs that known components (node, component) don't join yet."""
+    a, b = known.select(F.col("node").alias("a"), F.col("component").alias("ca")), known.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    left = pairs.join(a, "a", "left")
+    return spread(left, b, "b", F.col("a"), *_tally(pairs), how="left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
+
+
+def _narrow(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFrame:
+    """Members of a tile that have a likely partner in another component."""
+    i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
+    k = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), m)
+    n, block, part = group["n_shingles"].to_numpy(), group["block"].to_numpy(), group["component"].to_numpy()
+    wanted = np.zeros(len(group), bool)
+    for x in np.flatnonzero(block == i):
+        others = np.flatnonzero((block == j) & (part != part[x]) & (100 * np.minimum(n[x], n) >= percent * np.maximum(n[x], n)))
+        if len(others):
+            near = others[reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)]
+            wanted[near] = True
+            wanted[x] |= len(near) > 0
+    return group.loc[wanted, ["band", "c"]]
 
 
 def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFrame:
     """Verified links between a tile's components, one for each two components joined."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-    group = group.sort_values(["block", "id"], kind="stable")
+    group = group.sort_values(["block", "c"], kind="stable")
     k = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), m)
-    n, ids, block = group["n_shingles"].to_numpy(), group["id"].to_numpy(), group["block"].to_numpy()
+    n, ids, block = group["n_shingles"].to_numpy(), group["c"].to_numpy(), group["block"].to_numpy()
     first = np.concatenate([[0], np.cumsum(n)])
     names, member = np.unique(np.frombuffer(b"".join(group["members"]), np.uint64), return_inverse=True)
     held = np.zeros(len(names), bool)
@@ -173,62 +223,105 @@ def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFra
     for x in np.flatnonzero(block == i):
         now = joined[part]
         others = np.flatnonzero((block == j) & (now != now[x]) & ((np.arange(len(ids)) > x) | (i != j)))
-        if not len(others):
-            continue
         # sizes too far apart can't reach the similarity
         others = others[100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others])]
+        if len(others):
+            others = others[reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)]
         if not len(others):
             continue
-        first_ones = reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)
         held[member[first[x] : first[x + 1]]] = True
-        for now in (others[first_ones], others[~first_ones]):
-            now = now[joined[part[now]] != joined[part[x]]]
-            both = np.array([np.count_nonzero(held[member[first[y] : first[y + 1]]]) for y in now], np.int64)
-            for y in now[(100 * both >= percent * (n[x] + n[now] - both)) & (both > 0)]:
-                if joined[part[x]] != joined[part[y]]:
-                    found.append((ids[x], ids[y]))
-                    joined[joined == joined[part[y]]] = joined[part[x]]
+        both = np.array([np.count_nonzero(held[member[first[y] : first[y + 1]]]) for y in others], np.int64)
+        for y in others[(100 * both >= percent * (n[x] + n[others] - both)) & (both > 0)]:
+            if joined[part[x]] != joined[part[y]]:
+                found.append((ids[x], ids[y]))
+                joined[joined == joined[part[y]]] = joined[part[x]]
         held[member[first[x] : first[x + 1]]] = False
     return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, margin: float = 0.12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id (smallest id reachable over links) and kept for each row.
+def _tiled(rows: DataFrame, tiles: DataFrame) -> DataFrame:
+    """rows (band, c, ...) in every tile (i, j) of their bucket that they are part of; tiles: band, tiles, n."""
+    placed = spread(rows, tiles.select("band", "tiles"), "band", F.col("c"), tiles.select("band", "n"), None)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("c", F.lit(3)), "tiles").cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("block")).alias("i"), F.greatest(t, F.col("block")).alias("j")))
+    return placed.withColumn("pair", F.explode(pair)).select("*", "pair.i", "pair.j").drop("pair", "tiles")
+
+
+def _from_large(placed: DataFrame, large: DataFrame, facts: DataFrame, sets_of, percent: int, least: float, m: int) -> DataFrame:
+    """Links between components that share a large bucket; large: band, n of each."""
+    tiles = large.select("band", "n", (F.floor(F.col("n") / TILE) + 1).cast("int").alias("tiles"))
+    known = _tiled(placed.select("band", "c", "component"), tiles).join(facts, "c")
+    wanted = cut(known.groupBy("band", "i", "j").applyInPandas(lambda g: _narrow(g, percent, least, m), "band long, c long").distinct())
+    sized = wanted.join(facts.select("c", "n_shingles"), "c").groupBy("band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    tiles = cut(sized.select("band", "n", (F.greatest(F.floor(F.col("n") / TILE), F.floor(F.col("size") * 8 / TILE_BYTES)) + 1).cast("int").alias("tiles")))
+    rows = wanted.join(placed.select("band", "c", "component"), ["band", "c"])
+    whole = _tiled(rows, tiles).join(facts, "c").join(sets_of(wanted.select("c").distinct()), "c")
+    links = cut(whole.groupBy("band", "i", "j").applyInPandas(lambda g: _tile(g, percent, least, m), "a long, b long"))
+    release(wanted, tiles)
+    return links
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, margin: float = 0.2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_shingles, component_id (smallest id reachable over links), kept, mark and group of each row.
 
-    Two rows are linked if 100 * intersection >= percent * union of their shingle sets. margin
-    orders the comparisons of a tile and changes no result.
+    Two rows are linked if 100 * intersection >= percent * union of their shingle sets. mark is
+    xxhash64(text, 7); group numbers what texts alone link, without shared ids, null for empty sets.
     """
-    m = bands * rows
-    rowwise = cut(sketch(docs, width, bands, rows, id_col, text_col))
+    m, least = bands * rows, percent / 100 - margin
+    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("mark", F.xxhash64("text", F.lit(7)))
+    rowwise = cut(sketch(given, width, bands, rows))
     filled = rowwise.where("digest is not null")
-    classes = filled.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("registers", "id").alias("registers"), F.min_by("bands", "id").alias("bands"), F.min("n_shingles").alias("n_shingles"))
-    reps = cut(classes.where("rep is not null"))
-    buckets = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("id"))
-    shared = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.min_by("id", F.xxhash64("id")).alias("hub2"), F.count("*").alias("n")).where("n > 1")
-    # both sides are dealt anew by a key of their own, so a hot bucket can be split
-    members = cut(buckets.join(shared.select(F.concat(F.col("band").cast("string"), F.lit("")).alias("key"), "hub", "hub2"), F.concat(F.col("band").cast("string"), F.lit("")) == F.col("key")).select("band", "id", "hub", "hub2"))
-    involved = members.select("id").distinct()
-    sets = full_sets(docs.select(id_col, text_col).join(involved.select(F.col("id").alias(id_col)), id_col, "left_semi"), width, id_col, text_col)
-    sets = cut(sets.groupBy("id").agg(F.min("members").alias("members")))
-    pair = lambda a, b: F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-    stars = members.select(F.explode(F.array(pair("id", "hub"), pair("id", "hub2"))).alias("p")).select("p.a", "p.b").where("a <> b").distinct()
-    first = cut(verified(stars, sets, percent))
-    known = components(first)
-    placed = cut(members.join(known, members.id == known.node, "left").select("band", "id", F.coalesce("component", "id").alias("component")))
-    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("band", "n")
+    named = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "mark")).alias("rep")
+    classes = filled.groupBy("digest").agg(named, F.first("registers").alias("registers"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("rows"))
+    # numbered as written: the number is the same for all that read it
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("c"), "digest", "rep.id", "rep.mark", "registers", "bands", "n_shingles", "rows"))
+    facts = classes.select("c", "registers", "n_shingles")
+    buckets = classes.select(F.explode("bands").alias("band"), "c")
+    shared = cut(buckets.groupBy("band").agg(F.min("c").alias("hub"), F.min_by("c", F.xxhash64("c")).alias("hub2"), F.count("*").alias("n")).where("n > 1"))
+    members = cut(spread(buckets, shared, "band", F.col("c"), shared.select("band", "n"), classes.count() * bands))
+    stars = cut(members.select("c", F.explode(F.array("hub", "hub2")).alias("b")).where("c <> b").select(F.col("c").alias("a"), "b").distinct())
+    likely = cut(scored(stars, facts, least, m))
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """Full sets of the classes wanted (c), each from one row of its class."""
+        wanted = cut(wanted.join(classes.select("c", "id", "mark"), "c").select("c", F.col("id").alias("#id"), F.col("mark").alias("#mark")))
+        named = F.broadcast(wanted) if wanted.count() <= FEW else wanted  # three numbers a row
+        texts = given.join(named, given.id.eqNullSafe(F.col("#id")) & (given.mark == F.col("#mark")))
+        return full_sets(texts, width).groupBy("c").agg(F.first("members").alias("members"))
+
+    sets = cut(sets_of(likely.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
+    best = cut(likely.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")))
+    first = cut(verified(best, sets, percent))
+    rest = cut(apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), components(first)))
+    second = cut(verified(rest, sets, percent))
+    links = first.unionByName(second)
+    known = components(links)
+    placed = cut(members.select("band", "c", "n").join(known, F.col("c") == F.col("node"), "left").select("band", "c", "n", F.coalesce("component", "c").alias("component")))
+    open_ = cut(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("n").alias("n")).where("low <> high").select("band", "n"))
     few = placed.join(open_.where(F.col("n") <= SMALL).select("band"), "band")
-    few = few.alias("l").join(few.alias("r"), F.expr("l.band = r.band and l.component < r.component")).select(pair("l.id", "r.id").alias("p")).select("p.a", "p.b").distinct()
-    second = verified(few.join(stars, ["a", "b"], "left_anti"), sets, percent)
-    many = (
-        placed.join(open_.where(F.col("n") > SMALL).select("band", (F.floor(F.col("n") / TILE) + 1).cast("int").alias("tiles")), "band")
-        .join(reps.select(F.col("rep").alias("id"), "registers", "n_shingles"), "id")
-        .join(sets, "id")
-        .withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), "tiles").cast("int"))
-        .withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("block")).alias("i"), F.greatest(t, F.col("block")).alias("j")))))
-        .select("band", "pair.i", "pair.j", "block", "id", "component", "registers", "n_shingles", "members")
-    )
-    third = many.groupBy("band", "i", "j").applyInPandas(lambda g: _tile(g, percent, percent / 100 - margin, m), "a long, b long")
-    linked = cut(components(first.unionByName(second).unionByName(third)))
-    named = reps.join(linked, reps.rep == linked.node, "left").select(F.concat(F.hex("digest"), F.lit("")).alias("key"), F.coalesce("component", "rep").alias("component_id"))
-    # ids shared by rows of different sets: their classes are one
-    return rowwise.join(named, F.concat(F.hex("digest"), F.lit("")) == F.col("key"), "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    few = few.alias("l").join(few.alias("r"), F.expr("l.band = r.band and l.component < r.component")).select(F.greatest("l.c", "r.c").alias("a"), F.least("l.c", "r.c").alias("b")).distinct()
+    seen = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    few = cut(scored(cut(few.join(seen, ["a", "b"], "left_anti")), facts, least, m).select("a", "b"))
+    if not few.isEmpty():
+        links = links.unionByName(verified(few, cut(sets_of(few.select(F.explode(F.array("a", "b")).alias("c")).distinct())), percent))
+    large = open_.where(F.col("n") > SMALL)
+    if not large.isEmpty():
+        links = links.unionByName(_from_large(placed, large, facts, sets_of, percent, least, m))
+    linked = cut(components(links))
+    groups = cut(classes.join(linked, F.col("c") == F.col("node"), "left").select("digest", "id", "rows", F.coalesce("component", "c").alias("group")))
+    release(shared, members, stars, likely, sets, best, first, rest, second, placed, open_, few)
+    # rows of one id with different texts are one document, so they join their groups
+    several = cut(filled.where("id is not null").groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("id"))
+    if several.isEmpty():
+        whole = groups.withColumn("root", F.col("group"))
+    else:
+        own = filled.join(several, "id").select("id", "digest").distinct().join(groups.select("digest", "group"), "digest")
+        own = cut(own.select("id", "group").distinct())
+        joins = own.join(own.groupBy("id").agg(F.min("group").alias("b")), "id").select(F.col("group").alias("a"), "b")
+        whole = groups.join(components(joins), F.col("group") == F.col("node"), "left").withColumn("root", F.coalesce("component", "group"))
+    names = whole.groupBy("root").agg(F.min("id").alias("component_id"))
+    by_digest = cut(spread(whole.select("root", "digest", "group", "rows"), names, "root", F.col("digest")).select("digest", "group", "component_id", "rows"))
+    plain = rowwise.select("id", "mark", "n_shingles", "digest")
+    joined = spread(plain, by_digest.drop("rows"), "digest", F.monotonically_increasing_id(), by_digest.select("digest", F.col("rows").alias("n")), plain.count(), how="left")
+    named = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return joined.select("id", "n_shingles", named.alias("component_id"), "mark", "group").withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))

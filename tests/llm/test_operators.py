@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keystrata.llm import attribution, chat, decontaminate, langid, linededup, mixing, packing, queries, setsketch, tokenizing, topk, toxicity
+from keystrata.llm.common import spread
 from keystrata.llm.components import components
 from tests.test_queries import FOLDER, connection, same
 
@@ -215,20 +216,40 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, small):
     assert [got[i].n_shingles for i in range(len(texts))] == sizes
 
 
-def test_near_duplicates_whatever_the_likelihood_says(spark, monkeypatch):
-    """A similarity that is estimated too low loses no link, be it in a pair or in a tile."""
-    rng = random.Random(8)
-    base = [f"w{i}" for i in range(300)]
-    texts = [" ".join([*base[:at], "other", *base[at + 1 :]]) for at in rng.sample(range(300), 6)]
-    real, calls = setsketch.verified, []
-    # the first call's stars find nothing, so the pairs besides them are left to the step after
-    monkeypatch.setattr(setsketch, "verified", lambda pairs, *more: real(pairs if calls else pairs.where("false"), *more, *calls.append(1) or ()))
-    got = [r.component_id for r in setsketch.near_duplicates(docs_of(spark, texts), width=2, bands=1, margin=-1.0).collect()]
-    assert max(got.count(c) for c in got) == 4
-    sets = [np.arange(at, at + 100, dtype=np.uint64) for at in (0, 3, 500)]
-    k = setsketch.registers(np.concatenate(sets), np.array([0, 100, 200, 300]), 160)
-    tile = pd.DataFrame({"i": 0, "j": 0, "block": 0, "id": [1, 2, 3], "component": [1, 2, 3], "n_shingles": 100, "registers": [x.tobytes() for x in k], "members": [x.tobytes() for x in sets]})
-    assert setsketch._tile(tile, 80, 1.8, 160).to_numpy().tolist() == [[1, 2]]
+def test_near_duplicates_of_shared_ids(spark):
+    """Rows of one id are one document; each of their texts keeps its own links."""
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    near = lambda x: " ".join([*x[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(b)), (3, near(a)), (5, "x y z"), (5, "p q r"), (7, "x y z"), (6, "p q r"), (9, "else where now"), (None, "else where now")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = setsketch.near_duplicates(docs, width=2).collect()
+    assert sorted((r.id or 0, r.component_id, r.kept) for r in got) == [(0, 9, False), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (9, 9, True)]
+    assert len({r.group for r in got}) == 5
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, 5, 5, 9]
+
+
+def test_likelihood_margin_loses_no_link_at_the_threshold():
+    rng = np.random.default_rng(3)
+    for size, both in ((9, 8), (90, 80)):
+        n, x, y = 4_000, [], []
+        for _ in range(n):
+            names = rng.integers(0, 1 << 63, 2 * size - both).astype(np.uint64)
+            x.append(names[:size])
+            y.append(names[size - both :])
+        first = np.arange(n + 1) * size
+        kx, ky = (setsketch.registers(np.concatenate(z), first, 160) for z in (x, y))
+        sizes = np.full(n, float(size))
+        assert setsketch.reaches(kx, ky, sizes, sizes, 0.6).all()
+
+
+def test_spread_join_of_a_hot_key(spark):
+    many = spark.range(3_000).select(F.when(F.col("id") < 2_000, 1).otherwise(F.col("id") % 50).alias("k"), "id")
+    many = many.unionByName(spark.sql("select cast(null as long) as k, id from range(5)"))
+    one = spark.sql("select id as k, concat('v', id) as v from range(60) where id <> 7")
+    for how in ("inner", "left"):
+        got = spread(many, one, "k", F.col("id"), how=how, least=10, hot_keys=20)
+        assert sorted(map(str, got.select("k", "id", "v").collect())) == sorted(map(str, many.join(one, "k", how).select("k", "id", "v").collect()))
 
 
 def test_near_duplicates_of_odd_rows(spark):
