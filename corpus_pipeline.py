@@ -6,7 +6,7 @@ and read again. All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystrata.llm import decontaminate, mixing, packing, setsketch, toxicity
@@ -22,18 +22,23 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each class: five-word shingles, similarity 0.8.
+    """Keep one row of each group of near copies: five-word shingles, similarity 0.8.
 
-    Documents without id form classes by nothing and stay; of rows sharing an id one stays.
+    It is the row of smallest id (null last). Rows without words are in no group and stay; rows
+    of one id with different texts are grouped by text, so those not linked stay, too. Rows
+    alike in id and text are one group, of which the smallest in all columns stays.
     """
-    found = cut(setsketch.near_duplicates(docs, width=5).groupBy("id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")))
-    gone = found.where("id is not null and not kept").select(F.col("id").alias("doc_id"))
-    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    twice = found.where("id is not null and kept and rows > 1").select(F.col("id").alias("doc_id"))
+    found = cut(setsketch.near_duplicates(docs, width=5).where("group is not null").groupBy("id", "mark").agg(F.min("group").alias("group"), F.count("*").alias("rows")))
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "mark")).alias("first")).select("group", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
+    judged = cut(found.join(first, "group").select(F.col("id").alias("#id"), F.col("mark").alias("#mark"), "rows", (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).alias("#stays")))
+    marked = docs.select(*COLUMNS).withColumn("#own", F.xxhash64("text", F.lit(7)))
+    same = F.col("doc_id").eqNullSafe(F.col("#id")) & (F.col("#own") == F.col("#mark"))
+    left = marked.join(judged.where("not `#stays`").select("#id", "#mark"), same, "left_anti")
+    twice = judged.where("`#stays` and rows > 1").select("#id", "#mark")
     if twice.isEmpty():
-        return left
-    repeated = left.join(twice, "doc_id", "left_semi").withColumn("#no", F.row_number().over(Window.partitionBy("doc_id").orderBy(*COLUMNS[1:]))).where(F.col("#no") == 1)
-    return left.join(twice, "doc_id", "left_anti").unionByName(repeated.select(*COLUMNS))
+        return left.select(*COLUMNS)
+    repeated = left.join(twice, same, "left_semi").groupBy("doc_id", "#own").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return left.join(twice, same, "left_anti").select(*COLUMNS).unionByName(repeated)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
