@@ -47,7 +47,7 @@ from .common import buffers, cut, mix64, release, runs, shingles, spread, stream
 from .components import components
 
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-TILE, SMALL, TILE_BYTES = 512, 32, 8 << 20
+TILE, SMALL, TILE_BYTES = 4_096, 32, 8 << 20
 FEW = 1_000_000
 
 
