@@ -5,15 +5,20 @@ and their leading 5 to 8 bytes, hashed to 2**20 buckets and counted as present o
 machine adds a linear weight per term and the inner products of latent vectors of all pairs of
 terms that occur together, so an insult beside a group mention can weigh more than both alone.
 
-Training uses a bounded sample of the labelled rows (`sample_rows`, the rows of smallest hash
-of doc_id), in three bounded steps: grouped counts of every bucket by label, the `terms`
-buckets whose split by label is least likely by chance, and gradient descent on the driver
-over those buckets alone. Scoring is one narrow pass over whole texts without a shuffle.
+Training uses a bounded sample of the labelled documents (at most `sample_rows`, those of smallest
+hash of doc_id, and at most `sample_pairs` distinct terms of documents in all), on the driver, in
+three steps. First a machine over all terms that two sampled documents share is trained by
+stochastic gradients, so a term can be found that says nothing alone. Then terms are chosen:
+the `terms_kept` whose own split by label is least likely by chance, and the `pairs_kept` whose
+latent vectors the first machine grew most. Last a machine over the chosen terms is fitted on the
+whole sample, with or without the latter and with the ridge that does best on a quarter of it. Scoring is one narrow pass over
+whole texts without a shuffle.
 
 Edge cases: null and empty texts score the model's bias; labels that are null or have no
-document take no part; repeated label rows each count; with no labels, or labels of one kind
-only, every score is that kind's share (0 without labels). Rows with null doc_id are scored and
-never learnt from. Extra columns are ignored.
+document take no part; of labels that share a doc_id the majority counts (toxic if even), of documents that
+do one text is learnt from (that of smallest hash); with no labels, or labels of one kind only,
+every score is that kind's share (0 without labels). Rows with null doc_id are scored and never
+learnt from. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _SPACE, _VALUES, _power_table, buffers, mix64, runs
+from .common import _SPACE, _VALUES, _power_table, buffers, cut, mix64, release, runs
 
 BITS = 20
 PREFIXES = (5, 6, 7, 8)
@@ -96,82 +102,150 @@ def _margins(row, term, rows, bias, weight, latent):
     return bias + linear + 0.5 * ((sums**2).sum(1) - squares), sums
 
 
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows of values that begin at first (and end at the next); 0 for empty runs."""
+    filled = np.flatnonzero(np.diff(first))
+    out = np.zeros((len(first) - 1, *values.shape[1:]), values.dtype)
+    if len(filled):
+        out[filled] = np.add.reduceat(values, first[filled], axis=0)
+    return out
+
+
+def _gaps(held: np.ndarray, first: np.ndarray, bias: float, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Score minus label of each row, and its latent sums; held: the parameters of each pair, rows in order."""
+    sums, squares = _sums(held, first), _sums((held[:, 1:] ** 2).sum(1), first)
+    margin = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(1) - squares)
+    return (_sigmoid(margin) - label).astype(np.float32), sums
+
+
+def explore(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, factors: int = 4, epochs: int = 4, batch: int = 512, rate: float = 0.05, ridge: float = 1e-4, seed: int = 7) -> np.ndarray:
+    """Parameters (size x (1 + factors)) of a machine over all terms, by adaptive stochastic gradients; rows in order."""
+    n, rng = len(label), np.random.default_rng(seed)
+    first = np.searchsorted(row, np.arange(n + 1))
+    bias = float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
+    params = np.concatenate([np.zeros((size, 1)), rng.normal(0, 0.05, (size, factors))], 1).astype(np.float32)
+    past = np.full(params.shape, 1e-6, np.float32)
+    for _ in range(epochs):
+        for a in range(0, n, batch):
+            b = min(n, a + batch)
+            at = slice(first[a], first[b])
+            own, place = np.unique(term[at], return_inverse=True)
+            held = params[own][place]
+            gap, sums = _gaps(held, first[a : b + 1] - first[a], bias, label[a:b])
+            r = row[at] - a
+            pull = gap[r]
+            each = np.concatenate([pull[:, None], pull[:, None] * (sums[r, 1:] - held[:, 1:])], 1)
+            grad = np.stack([np.bincount(place, each[:, f], len(own)) for f in range(1 + factors)], 1).astype(np.float32) / (b - a) + ridge * params[own]
+            past[own] += grad**2
+            params[own] -= rate * grad / np.sqrt(past[own])
+            bias -= rate * float(gap.mean())
+    return params
+
+
 def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, factors: int = 4, steps: int = 150, ridge: float = 2e-4, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
-    """Adam on the mean log loss of all given rows; (row, term) pairs of presence."""
-    rng, rate, n = np.random.default_rng(seed), 0.05, len(label)
+    """Adam on the mean log loss of all given rows; (row, term) pairs of presence, rows in order."""
+    n, rate = len(label), 0.05
+    first = np.searchsorted(row, np.arange(n + 1))
+    by_term = np.argsort(term, kind="stable")
+    term_first, row_of = np.searchsorted(term[by_term], np.arange(size + 1)), row[by_term]
     bias = float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
-    params = [np.array([bias]), np.zeros(size), rng.normal(0, 0.02, (size, factors))]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    params = np.concatenate([np.zeros((size, 1)), np.random.default_rng(seed).normal(0, 0.02, (size, factors))], 1).astype(np.float32)
+    one, two, b_one, b_two = np.zeros_like(params), np.zeros_like(params), 0.0, 0.0
     for step in range(1, steps + 1):
-        margin, sums = _margins(row, term, n, params[0][0], params[1], params[2])
-        gap = (_sigmoid(margin) - label) / n
-        pulled = gap[row]
-        pair = pulled[:, None] * (sums[row] - params[2][term])
-        grads = [np.array([gap.sum()]), np.bincount(term, pulled, size) + ridge * params[1], np.stack([np.bincount(term, pair[:, f], size) for f in range(factors)], 1) + ridge * params[2]]
-        for p, g, a, b in zip(params, grads, first, second, strict=True):
-            a += 0.1 * (g - a)
-            b += 0.001 * (g * g - b)
-            p -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
-    return float(params[0][0]), params[1], params[2]
-
-
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, terms_kept: int = 2_048, least: float = 12.0) -> Model:
-    """Fit on at most about sample_rows labelled rows; documented bounds keep the driver's part small."""
-    spark = docs.sparkSession
-    own = labels.where("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+        gap, sums = _gaps(params[term], first, bias, label)
+        gap, mean = gap / n, float(gap.mean())
+        # the sum of gap * (row's sum - own vector) over a term's rows
+        pulled = _sums(np.concatenate([gap[:, None], gap[:, None] * sums[:, 1:]], 1)[row_of], term_first)
+        pulled[:, 1:] -= pulled[:, :1] * params[:, 1:]
+        grad = pulled + ridge * params
+        one += 0.1 * (grad - one)
+        two += 0.001 * (grad * grad - two)
+        params -= rate * (one / (1 - 0.9**step)) / (np.sqrt(two / (1 - 0.999**step)) + 1e-8)
+        b_one += 0.1 * (mean - b_one)
+        b_two += 0.001 * (mean * mean - b_two)
+        bias -= rate * (b_one / (1 - 0.9**step)) / (np.sqrt(b_two / (1 - 0.999**step)) + 1e-8)
+    return bias, params[:, 0].astype(float), params[:, 1:].astype(float)
+
+
+def _loss(margin: np.ndarray, label: np.ndarray) -> float:
+    p = np.clip(_sigmoid(margin), 1e-6, 1 - 1e-6)
+    return float(-(label * np.log(p) + (1 - label) * np.log(1 - p)).mean())
+
+
+def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: int = 2_048, pairs_kept: int = 128, least: float = 12.0, ridges: tuple[float, ...] = (2e-4, 3e-3)) -> Model:
+    """The machine of a sample in memory: distinct (row, bucket) pairs, rows in order, and both kinds of labels."""
+    seen = np.bincount(bucket, minlength=1 << BITS)
+    slot = np.where(seen >= 2, np.cumsum(seen >= 2) - 1, -1).astype(np.int32)
+    names = np.flatnonzero(seen >= 2)
+    size, seen, n = len(names), seen[names], len(label)
+    shared = slot[bucket] >= 0
+    row, term = row[shared], slot[bucket[shared]]
+    grown = np.sqrt((explore(row, term, label, size)[:, 1:] ** 2).sum(1) * seen) if size else np.zeros(0)
+    toxic = np.bincount(term, label[row], size)
+    n1 = label.sum()
+    split = n * (toxic * (n - n1 - seen + toxic) - (seen - toxic) * (n1 - toxic)) ** 2 / (seen * (n - seen + 0.5) * (n - n1) * n1)
+    alone = np.argsort(-split, kind="stable")[: min(terms_kept, int((split >= least).sum()))]
+    both = np.union1d(alone, np.argsort(-grown, kind="stable")[:pairs_kept])
+    judged = np.arange(n) % 4 == 0
+    new = np.cumsum(~judged) - 1
+
+    def of(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        place = np.full(size, -1, np.int32)
+        place[chosen] = np.arange(len(chosen))
+        held = place[term] >= 0
+        return row[held], place[term[held]], max(1, len(chosen))
+
+    best = None
+    for chosen in (alone, both):
+        r, t, most = of(chosen)
+        mine = ~judged[r]
+        for ridge in ridges:
+            trial = fit(new[r[mine]], t[mine], label[~judged], most, ridge=ridge)
+            found = _loss(_margins(r, t, n, *trial)[0][judged], label[judged])
+            if best is None or found < best[0]:
+                best = found, chosen, ridge
+    _, chosen, ridge = best
+    slot = np.full(1 << BITS, -1, np.int32)
+    slot[names[chosen]] = np.arange(len(chosen))
+    return Model(slot, *fit(*of(chosen)[:2], label, max(1, len(chosen)), ridge=ridge))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, sample_pairs: int = 12_000_000) -> Model:
+    """Fit on at most sample_rows labelled documents and sample_pairs pairs of a document and a term."""
+    counted = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.avg((F.col("toxic") != 0).cast("int")).alias("share"))
+    own = counted.select("doc_id", (F.col("share") >= 0.5).cast("int").alias("toxic"), F.xxhash64("doc_id", F.lit(5)).alias("at"))
     total = own.count()
-    empty = Model(np.full(1 << BITS, -1), -30.0, np.zeros(1), np.zeros((1, 1)))
+    empty = Model(np.full(1 << BITS, -1, np.int32), -30.0, np.zeros(1), np.zeros((1, 1)))
     if not total:
         return empty
-    share = min(1.0, sample_rows / total)
-    own = own.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
-    # at most about sample_rows rows of two numbers, whatever the input's size
-    sample = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = np.zeros((2, (1 << BITS) + 1), np.int32)
-        for b in batches:
-            data, at = buffers(b.column("text"))
-            toxic = b.column("toxic").to_numpy(zero_copy_only=False) != 0
-            for i, j in runs(at):
-                row, bucket = present(data[at[i] : at[j]], at[i : j + 1] - at[i])
-                for k in (0, 1):
-                    tally[k] += np.bincount(bucket[toxic[i:j][row] == k], minlength=(1 << BITS) + 1).astype(np.int32)
-            for k in (0, 1):
-                tally[k, -1] += int((toxic == k).sum())
-        seen = np.flatnonzero(tally.sum(0))
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(tally[0, seen].astype(np.int64)), pa.array(tally[1, seen].astype(np.int64))], ["bucket", "clean", "toxic"])
-
-    counts = sample.select("text", "toxic").mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).persist()
-    whole = counts.where(F.col("bucket") == 1 << BITS).first()
-    if whole is None or not whole.clean or not whole.toxic:
-        counts.unpersist()
-        if whole is None:
-            return empty
-        return Model(empty.slot, 30.0 if whole.toxic else -30.0, np.zeros(1), np.zeros((1, 1)))
-    a, b, n1, n0 = F.col("toxic"), F.col("clean"), F.lit(float(whole.toxic)), F.lit(float(whole.clean))
-    n, seen = n0 + n1, F.col("toxic") + F.col("clean")
-    split = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / (seen * (n - seen + F.lit(0.5)) * n0 * n1)
-    chosen = [r.bucket for r in counts.where((F.col("bucket") < 1 << BITS) & (seen >= 4)).select("bucket", split.alias("chi")).where(F.col("chi") >= least).orderBy(F.desc("chi"), "bucket").limit(terms_kept).collect()]
-    counts.unpersist()
-    slot = np.full(1 << BITS, -1)
-    slot[chosen] = np.arange(len(chosen))
-    shared = spark.sparkContext.broadcast(slot)
+    # about sample_rows of them (a little more) by 64 bits of hash, then exactly the smallest
+    share = (sample_rows + 5 * sample_rows**0.5 + 100) / total
+    if share < 1:
+        own = own.where(F.col("at") < int(share * 2**64) - 2**63)
+    own = own.orderBy("at", "doc_id").limit(sample_rows)
+    # at most sample_rows rows of three numbers
+    sample = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic"), F.first("at").alias("at"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, at = buffers(b.column("text"))
-            found: list[np.ndarray] = []
             for i, j in runs(at):
-                row, term = present(data[at[i] : at[j]], at[i : j + 1] - at[i], shared.value)
-                found += np.split(term, np.searchsorted(row, np.arange(1, j - i)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array([x.tolist() for x in found], pa.list_(pa.int32()))], ["doc_id", "toxic", "terms"])
-
-    got = sample.select("doc_id", "toxic", "text").mapInArrow(gather, "doc_id long, toxic int, terms array<int>").toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
-    term = np.asarray(got.column("terms").combine_chunks().flatten(), np.int64)
-    row = np.repeat(np.arange(len(got)), np.asarray(pa.compute.list_value_length(got.column("terms")), np.int64))
+                row, term = present(data[at[i] : at[j]], at[i : j + 1] - at[i])
+                ends = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("doc_id", "toxic", "at")), lists], ["doc_id", "toxic", "at", "terms"])
+
+    taken = cut(sample.select("doc_id", "toxic", "at", "text").mapInArrow(gather, "doc_id long, toxic int, at long, terms array<int>"))
+    sizes = taken.select("at", F.size("terms").alias("n")).toPandas().sort_values("at")
+    within = sizes["at"].to_numpy()[np.cumsum(sizes["n"].to_numpy()) <= sample_pairs]
+    got = taken.where(F.col("at") <= int(within[-1])).select("toxic", "at", "terms").toArrow().sort_by("at") if len(within) else taken.limit(0).toArrow()
+    release(taken)
     label = (np.asarray(got.column("toxic")) != 0).astype(float)
-    return Model(slot, *fit(row, term, label, max(1, len(chosen))))
+    if not len(label) or label.min() == label.max():
+        return Model(empty.slot, 30.0 if len(label) and label.max() else -30.0, np.zeros(1), np.zeros((1, 1)))
+    bucket = np.asarray(got.column("terms").combine_chunks().flatten())
+    row = np.repeat(np.arange(len(got), dtype=np.int32), np.asarray(pa.compute.list_value_length(got.column("terms")), np.int64))
+    return learn(row, bucket, label)
 
 
 def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), kept: bool = False) -> DataFrame:

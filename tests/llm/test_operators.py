@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -168,6 +169,8 @@ def test_toxicity_learns_a_pair(spark):
         label.append(float(len(own) == 2))
     bias, weight, latent = toxicity.fit(np.array(row), np.array(term), np.array(label), 2, steps=400)
     assert latent[0] @ latent[1] > 0.3
+    single = toxicity._margins(np.array(row), np.array(term), 400, bias, weight, latent)[0]
+    assert ((single > 0) == np.array(label, bool)).all()
     rng = random.Random(2)
     words = [f"w{i}" for i in range(300)]
     texts = [" ".join(rng.choices(words, k=30)) + (" vile" if i % 4 == 0 else "") for i in range(400)]
@@ -181,6 +184,41 @@ def test_toxicity_learns_a_pair(spark):
     assert toxicity.train(docs.where("false"), labels).bias <= 0
 
 
+def test_toxicity_trains_pairs_that_say_nothing_alone(spark):
+    """Toxic if exactly one of two common words is there: neither word has a split of its own."""
+    rng = random.Random(6)
+    words, rows = [f"w{i}" for i in range(300)], []
+    for i in range(2_600):
+        own = rng.choices(words, k=30)
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        own += ["red"] * a + ["blue"] * b
+        rng.shuffle(own)
+        rows.append((i, " ".join(own), int(a != b)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    # labels of one id: the majority; documents of one id: one of them
+    labels = table.where("doc_id < 2000").select("doc_id", "toxic")
+    labels = labels.unionByName(labels.where("doc_id < 50")).unionByName(labels.where("doc_id < 50").withColumn("toxic", 1 - F.col("toxic")))
+    model = toxicity.train(table.select("doc_id", "text"), labels)
+    got = {r.doc_id: r.score for r in toxicity.score(table, model).collect()}
+    right = [(got[i] >= 0.5) == bool(y) for i, _, y in rows if i >= 2_000]
+    assert sum(right) / len(right) > 0.95
+
+
+def test_toxicity_query_on_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in queries.op6_toxicity(spark, folder).collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for i, r in got.items())
+    held = [(got[r.doc_id].predicted, r.toxic) for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if got[r.doc_id].held_out]
+    assert sum(p == t for p, t in held) / len(held) > 0.9
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = docs_of(spark, [f"some words {'vile' if i % 2 else 'kind'} here" for i in range(500)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(500)], "doc_id long, toxic int")
+    for model in (toxicity.train(docs, labels, sample_rows=60), toxicity.train(docs, labels, sample_pairs=300)):
+        assert toxicity.score(docs, model).where("score >= 0.5").count() == 250
+
+
 def brute_classes(texts, width):
     sets = []
     for t in texts:
