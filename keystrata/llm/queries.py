@@ -140,7 +140,7 @@ WITH raw AS (
 ), sites AS (SELECT host, count(*) AS host_pages FROM raw WHERE host IS NOT NULL GROUP BY host),
 each AS (SELECT row, host, unnest(list_distinct(lines)) AS line FROM raw WHERE host IS NOT NULL),
 often AS (
-  SELECT host, line FROM each JOIN sites USING (host) WHERE host_pages >= 5
+  SELECT host, line FROM each JOIN sites USING (host)
   GROUP BY host, line, host_pages HAVING count(*) > 1 AND count(*) > host_pages * 0.2::DOUBLE
 ), lists AS (SELECT host, list(line) AS dropped FROM often GROUP BY host),
 kept AS (

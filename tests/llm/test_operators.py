@@ -391,6 +391,25 @@ def test_line_dedup_of_odd_pages(spark):
     assert linededup.without_boilerplate(pages.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("bytes_sent", [32 << 20, 0])
+def test_line_dedup_matches_brute_force_on_small_hosts(spark, monkeypatch, bytes_sent):
+    """Hosts of one to nine pages; the lists sent or joined, with a hot host."""
+    rng = random.Random(3)
+    rows = []
+    for n in [*range(1, 10), 40]:
+        for _ in range(n):
+            own = [rng.choice(["Menu", "Imprint", "News", "Shop", f"own {len(rows)}"]) for _ in range(rng.randint(0, 5))]
+            rows.append((len(rows), f"https://h{n}.example/x", own))
+    monkeypatch.setattr(linededup, "LISTS_BYTES", bytes_sent)
+    monkeypatch.setattr(linededup, "spread", lambda *a, **k: spread(*a, **k, least=8, hot_keys=10))
+    pages = spark.createDataFrame([(i, u, "".join(f"<p>{x}</p>" for x in own)) for i, u, own in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in linededup.without_boilerplate(pages).collect()}
+    for i, url, own in rows:
+        site = [set(x) for _, u, x in rows if u == url]
+        often = {line for line in own if (k := sum(line in s for s in site)) > 1 and k > 0.2 * len(site)}
+        assert got[i] == "\n".join(x for x in own if x not in often)
+
+
 def test_mix_meets_targets(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), "en", rng.choice(["a", "b", "c", None]), 0) for i in range(800)]
