@@ -4,13 +4,16 @@ A turn is written as `<|im_start|>` role, line feed, text, `<|im_end|>`, line fe
 and texts `&` becomes `&amp;` and `<|` becomes `&lt;|` (in roles also line feed `&#10;`), so no
 control string can arise from a text and every text is read back exactly.
 
-Prefix sums of the turns' token costs (by default characters / 4, rounded up, plus 4) place each
-turn in a slot by its end; turns of one slot form a window. Slots are half as wide as the budget
-leaves beside the system turn and the history, so a window exceeds the budget only if one turn
-is longer than a slot. A leading system turn opens every window; the last turns of the window
-before are repeated if they begin within `history` tokens of the window's start. Repeated turns
-come first, are counted in `n_repeated` and masked: only the texts of new assistant turns are in
-`loss` (character ranges of the window's text), each exactly once over all windows.
+A turn costs the tokens of all that is written for it, markers, role and escapes included: by
+default its characters / 4, rounded up; or a column of token counts of the texts, to which markers
+and role are added. Prefix sums of the costs place the turns. What the budget leaves beside the
+system turn and `history` is shared: a turn of over half of that is a window of its own; other turns
+go by their end into slots as wide as what is left less the largest of these turns, counted from the
+last turn that has its own window. So a window never exceeds the budget, unless the system turn and one
+turn alone do. A leading system turn opens every window; the last turns of the window before are
+repeated if they begin within `history` tokens of the window's start and fit the budget. Repeated
+turns come first, are counted in `n_repeated` and masked: only the texts of new assistant turns are
+in `loss` (character ranges of the window's text), each exactly once over all windows.
 
 No step needs a conversation in one task: turns are dealt by range of (conversation, turn, role,
 text), each range's part of a conversation (a cell) is summed apart, and the cells' sums, one row
@@ -50,48 +53,66 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("&#10;"), F.lit("\n")))
 
 
-def token_cost(text: Column) -> Column:
-    return F.ceil(F.char_length(text) / F.lit(4)).cast("long") + 4
+def written(role: Column, text: Column) -> Column:
+    """A turn as it stands in a window."""
+    return F.concat(F.lit(START), escape_role(role), F.lit("\n"), escape(text), F.lit(END + "\n"))
+
+
+def token_cost(whole: Column) -> Column:
+    return F.ceil(F.char_length(whole) / F.lit(4)).cast("long")
 
 
 CELL = ["#conv", "#absent", "cell"]
 
 
-def _cells(turns: DataFrame, cost) -> DataFrame:
+def _cells(turns: DataFrame, cost, tokens: str | None) -> DataFrame:
     """Turns with their cell, a number `at` in the order of turns, and their cost; written once.
 
     Ranges are cut at beginnings of texts, so what the driver samples stays small; turns alike
     to there share a cell. Cells must not move between the passes over them, so they are written.
     """
-    t = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("#conv"), F.col("conv_id").isNull().alias("#absent"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = F.col(tokens).cast("long") if tokens else F.lit(None).cast("long")
+    t = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("#conv"), F.col("conv_id").isNull().alias("#absent"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), counted.alias("#tokens"))
     begins = F.when(F.char_length("role") <= 64, F.substring("text", 1, 64))
     dealt = t.repartitionByRange("conv_id", F.asc_nulls_first("turn"), F.substring("role", 1, 64), F.asc_nulls_last(begins)).withColumn("cell", F.spark_partition_id())
     ordered = dealt.sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "role", "text").withColumn("at", F.monotonically_increasing_id())
-    return cut(ordered.withColumn("full", cost(F.col("text"))).drop("turn"))
+    full = F.coalesce(F.col("#tokens") + cost(written(F.col("role"), F.lit(""))), cost(written(F.col("role"), F.col("text"))))
+    return cut(ordered.withColumn("full", full).drop("turn", "#tokens"))
 
 
-def _placed(cells: DataFrame, begins: DataFrame, width: int) -> DataFrame:
-    """cells with pos, leads, cost, end, slot, and whether a turn opens a slot."""
-    t = cells.join(begins, CELL)
-    t = t.withColumn("pos", F.col("no") + F.col("rows_before"))
+def _placed(lean: DataFrame, cells: DataFrame) -> DataFrame:
+    """lean with pos, leads, cost, end, and big; cells: a row a cell, of what comes before it and what holds for its conversation."""
+    t = lean.join(cells, CELL).withColumn("pos", F.col("no") + F.col("rows_before"))
     t = t.withColumn("leads", F.col("led") & (F.col("pos") == 1))
     t = t.withColumn("cost", F.when(F.col("leads"), F.lit(0).cast("long")).otherwise(F.col("full")))
     t = t.withColumn("end", F.col("size_before") + F.col("upto") - F.col("room"))
+    return t.withColumn("big", ~F.col("leads") & (F.col("cost") * 2 > F.col("avail")))
+
 
-    def slot(end: Column) -> Column:
-        return F.floor((F.greatest(end, F.lit(1)) - 1) / F.greatest(F.lit(1), F.floor((F.lit(width) - F.col("room")) / 2)))
+def _opening(lean: DataFrame, cells: DataFrame) -> DataFrame:
+    """_placed, with whether a turn opens a window."""
+    earlier = Window.partitionBy(*CELL).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    t = _placed(lean, cells)
+    t = t.withColumn("base", F.greatest(F.coalesce(F.max(F.when(F.col("big"), F.col("end"))).over(earlier), F.lit(0)), F.col("base_before")))
 
-    # the turn before ends where this one's cost begins
-    opens = ~F.col("leads") & ((F.col("pos") == F.when(F.col("led"), 2).otherwise(1)) | (slot(F.col("end")) != slot(F.col("end") - F.col("cost"))))
-    return t.withColumn("slot", slot(F.col("end"))).withColumn("opens", opens.cast("int"))
+    def slot(upto: Column) -> Column:
+        return F.floor((F.greatest(upto - F.col("base"), F.lit(1)) - 1) / F.col("wide"))
 
+    begin = F.col("end") - F.col("cost")
+    opens = ~F.col("leads") & (F.col("big") | (begin == F.col("base")) | (slot(F.col("end")) != slot(begin)))
+    return t.withColumn("opens", opens.cast("int"))
 
-def windows(turns: DataFrame, budget: int = 1_024, history: int = 128, cost=token_cost) -> DataFrame:
-    """conv_id, window, text, n_turns, n_repeated, loss of each window."""
-    t, width = _cells(turns, cost), budget - history
+
+def windows(turns: DataFrame, budget: int = 1_024, history: int = 128, cost=token_cost, tokens: str | None = None) -> DataFrame:
+    """conv_id, window, text, n_turns, n_repeated, loss of each window.
+
+    cost: tokens of a piece of written text; tokens: name of a column of the texts' token counts,
+    as stand-in for the cost of their text where not null.
+    """
+    t = _cells(turns, cost, tokens)
     # places are planned without texts
     own = Window.partitionBy(*CELL).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    lean = t.select(*CELL, "at", "full", (F.col("role") == "system").alias("system")).withColumn("no", F.row_number().over(own)).withColumn("upto", F.sum("full").over(own))
+    lean = cut(t.select(*CELL, "at", "full", (F.col("role") == "system").alias("system")).withColumn("no", F.row_number().over(own)).withColumn("upto", F.sum("full").over(own)))
     conv = Window.partitionBy("#conv", "#absent")
     before = conv.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     upto = conv.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
@@ -105,25 +126,32 @@ def windows(turns: DataFrame, budget: int = 1_024, history: int = 128, cost=toke
         led.alias("led"),
         F.when(led, F.first("full").over(upto)).otherwise(0).alias("room"),
     )
-    opened = _placed(lean, begins, width).groupBy(*CELL, "rows_before", "size_before", "led", "room").agg(F.sum("opens").alias("opened"))
-    begins = cut(opened.withColumn("opened_before", F.coalesce(F.sum("opened").over(before), F.lit(0))).withColumn("last", F.greatest(F.sum("opened").over(conv), F.lit(1)) - 1))
-    plan = _placed(lean, begins, width)
-    plan = plan.withColumn("window", F.col("opened_before") + F.sum("opens").over(own) - 1)
-    turn_of = ["conv_id", "pos", "role", "text"]
+    begins = cut(begins.withColumn("avail", F.greatest(F.lit(budget - history) - F.col("room"), F.lit(1))))
+    known = ["rows_before", "size_before", "led", "room", "avail"]
+    shapes = _placed(lean, begins).groupBy(*CELL, *known).agg(F.max(F.when(~F.col("big"), F.col("cost"))).alias("small"), F.max(F.when(F.col("big"), F.col("end"))).alias("base"))
+    shapes = shapes.withColumn("wide", F.greatest(F.col("avail") - F.coalesce(F.max("small").over(conv), F.lit(0)), F.lit(1)))
+    shapes = cut(shapes.withColumn("base_before", F.coalesce(F.max("base").over(before), F.lit(0))).drop("small", "base"))
+    opened = _opening(lean, shapes).groupBy(*CELL, *known, "wide", "base_before").agg(F.sum("opens").alias("opened"))
+    whole = cut(opened.withColumn("opened_before", F.coalesce(F.sum("opened").over(before), F.lit(0))).withColumn("last", F.greatest(F.sum("opened").over(conv), F.lit(1)) - 1))
+    plan = _opening(lean, whole).withColumn("window", F.col("opened_before") + F.sum("opens").over(own) - 1)
+    turn_of = ["conv_id", "pos", "role", "text", "cost"]
     # a cell repeats the system turn for the windows it opens; of no others, there is window 0
-    opening = begins.where("led and (opened > 0 or (last = 0 and rows_before = 0))").select(*CELL, F.col("opened_before").alias("low"), F.greatest(F.col("opened_before") + F.col("opened") - 1, F.col("opened_before")).alias("high"))
-    heads = t.where("role = 'system'").join(plan.where("leads").select("at", "pos"), "at").select("#conv", "#absent", *turn_of)
-    everywhere = opening.join(heads, ["#conv", "#absent"]).repartition(*CELL).select(*turn_of, F.explode(F.sequence("low", "high")).alias("window")).withColumn("new", F.col("window") == 0)
-    plan = plan.where("not leads").withColumn("next_start", F.max("end").over(Window.partitionBy("#conv", "#absent", "slot")))
+    opening = whole.where("led and (opened > 0 or (last = 0 and rows_before = 0))").select(*CELL, F.col("opened_before").alias("low"), F.greatest(F.col("opened_before") + F.col("opened") - 1, F.col("opened_before")).alias("high"))
+    heads = t.where("role = 'system'").join(plan.where("leads").select("at", "pos", F.col("full").alias("cost")), "at").select("#conv", "#absent", *turn_of)
+    everywhere = opening.join(heads, ["#conv", "#absent"]).repartition(*CELL).select(*turn_of, F.explode(F.sequence("low", "high")).alias("window")).withColumn("new", F.col("window") == 0).withColumn("again", F.lit(False))
+    plan = plan.where("not leads").withColumn("next_start", F.max("end").over(Window.partitionBy("#conv", "#absent", "window")))
     again = (F.col("window") < F.col("last")) & (F.col("next_start") - F.col("end") + F.col("cost") <= history)
-    body = t.select("at", "conv_id", "role", "text").join(plan.select("at", "pos", F.col("window").alias("first"), again.alias("again")), "at")
-    place = lambda w, new: F.struct(w.alias("window"), F.lit(new).alias("new"))
+    body = t.select("at", "conv_id", "role", "text").join(plan.select("at", "pos", "cost", F.col("window").alias("first"), again.alias("repeated")), "at")
+    place = lambda w, new: F.struct(w.alias("window"), F.lit(new).alias("new"), F.lit(not new).alias("again"))
     once, repeated = place(F.col("first"), True), place(F.col("first") + 1, False)
-    body = body.select(*turn_of, F.explode(F.when(F.col("again"), F.array(once, repeated)).otherwise(F.array(once))).alias("place"))
-    placed = body.select(*turn_of, "place.window", "place.new").unionByName(everywhere)
+    body = body.select(*turn_of, F.explode(F.when(F.col("repeated"), F.array(once, repeated)).otherwise(F.array(once))).alias("place"))
+    placed = body.select(*turn_of, "place.window", "place.new", "place.again").unionByName(everywhere)
+    within = Window.partitionBy("conv_id", "window")
+    # nothing is repeated before a turn too long for it
+    placed = placed.withColumn("crowded", F.sum("cost").over(within) > budget).where("not (again and crowded)")
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     placed = placed.select("conv_id", F.col("window").cast("int").alias("window"), "new", "pos", "role", escape(F.col("text")).alias("body"), head.alias("head")).withColumn("whole", F.concat("head", "body", F.lit(END + "\n")))
-    before = Window.partitionBy("conv_id", "window").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    before = within.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("at", F.coalesce(F.sum(F.char_length("whole")).over(before), F.lit(0)) + F.char_length("head"))
     part = F.struct("pos", "whole", "new", (F.col("new") & (F.col("role") == "assistant")).alias("learnt"), F.col("at").alias("start"), (F.col("at") + F.char_length("body")).alias("end"))
     grouped = placed.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(part)).alias("parts"))

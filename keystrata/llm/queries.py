@@ -106,29 +106,32 @@ WITH a AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{TRICKY}' UNION ALL SELECT -1, 1, 'assistant', '{TRICKY}'
 ), b AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM a
-), c AS (SELECT *, pos = 1 AND role = 'system' AS leads, (length(text) + 3) // 4 + 4 AS full_cost FROM b),
-d AS (
-  SELECT *, CASE WHEN leads THEN 0 ELSE full_cost END AS cost,
-    max(CASE WHEN leads THEN full_cost ELSE 0 END) OVER (PARTITION BY conv_id) AS room FROM c
-), e AS (SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY pos) AS upto FROM d),
-f AS (SELECT *, floor((greatest(upto, 1) - 1) / greatest(1, floor((896 - room) / 2.0)))::BIGINT AS slot0 FROM e),
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    length('<|im_start|>') + length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;')) + 1
+      + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) + length('<|im_end|>') + 1 AS chars FROM a
+), c AS (SELECT *, pos = 1 AND role = 'system' AS leads, (chars + 3) // 4 AS cost FROM b),
+d AS (SELECT *, max(CASE WHEN leads THEN cost ELSE 0 END) OVER (PARTITION BY conv_id) AS room FROM c),
+e AS (SELECT *, greatest(1024 - 128 - room, 1) AS avail, coalesce(sum(cost) FILTER (NOT leads) OVER (PARTITION BY conv_id ORDER BY pos), 0) AS fin FROM d),
+f AS (SELECT *, fin - cost AS begin, 2 * cost > avail AS big FROM e WHERE NOT leads),
 g AS (
-  SELECT *, CASE WHEN leads THEN coalesce(lead(slot0) OVER (PARTITION BY conv_id ORDER BY pos), 0) ELSE slot0 END AS slot FROM f
-), h AS (
-  SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY slot) - 1 AS win,
-    max(upto) OVER (PARTITION BY conv_id, slot) AS next_start FROM g
-), i AS (SELECT *, max(win) OVER (PARTITION BY conv_id) AS last FROM h),
-j AS (
-  SELECT *, CASE WHEN leads THEN last + 1 WHEN win < last AND next_start - upto + cost <= 128 THEN 2 ELSE 1 END AS times,
-    length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;')) + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) + 24 AS chars FROM i
+  SELECT *, coalesce(max(fin) FILTER (big) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base,
+    greatest(1, avail - coalesce(max(cost) FILTER (NOT big) OVER (PARTITION BY conv_id), 0)) AS wide FROM f
+), h AS (SELECT *, big OR begin = base OR (fin - base - 1) // wide <> (greatest(begin - base, 1) - 1) // wide AS opens FROM g),
+i AS (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY conv_id ORDER BY pos) - 1 AS win FROM h),
+j AS (SELECT *, max(win) OVER (PARTITION BY conv_id) AS last, max(fin) OVER (PARTITION BY conv_id, win) AS next_start FROM i),
+k AS (SELECT *, win < last AND next_start - begin <= 128 AS again FROM j),
+sizes AS (SELECT conv_id, win, room, sum(cost) AS size, coalesce(sum(cost) FILTER (again), 0) AS told FROM k GROUP BY conv_id, win, room),
+fits AS (SELECT x.conv_id, x.win, y.room + y.size + x.told <= 1024 AS fit FROM sizes x JOIN sizes y ON y.conv_id IS NOT DISTINCT FROM x.conv_id AND y.win = x.win + 1),
+times AS (
+  SELECT k.conv_id, pos, 1 + (again AND fit)::INTEGER AS times FROM k LEFT JOIN fits ON k.conv_id IS NOT DISTINCT FROM fits.conv_id AND k.win = fits.win
+  UNION ALL SELECT d.conv_id, pos, coalesce((SELECT max(win) FROM i WHERE i.conv_id IS NOT DISTINCT FROM d.conv_id), 0) + 1 FROM d WHERE leads
 )
-SELECT conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+SELECT c.conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY c.pos)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(times * chars)::BIGINT AS formatted_chars
-FROM j GROUP BY conv_id
+  sha256(coalesce(string_agg(text, '' ORDER BY c.pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(coalesce(times, 1) * chars)::BIGINT AS formatted_chars
+FROM c LEFT JOIN times ON c.conv_id IS NOT DISTINCT FROM times.conv_id AND c.pos = times.pos GROUP BY c.conv_id
 """
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -340,24 +340,65 @@ def test_chat_reads_back_tricky_turns(spark):
     assert chat.digest(chat.windows(turns.where("false"))).count() == 0
 
 
+def write(role, text):
+    clean = lambda x: x.replace("&", "&amp;").replace("<|", "&lt;|")
+    return "<|im_start|>" + clean(role).replace("\n", "&#10;") + "\n" + clean(text) + "<|im_end|>\n"
+
+
 def plain_windows(turns, budget, history):
     """Texts of the windows of one conversation, one turn after another."""
-    cost = lambda t: -(-len(t) // 4) + 4
-    write = lambda r, t: "<|im_start|>" + r.replace("&", "&amp;").replace("\n", "&#10;") + "\n" + t.replace("&", "&amp;") + "<|im_end|>\n"
-    turns = sorted(((t is not None, t or 0, r or "", x or "") for t, r, x in turns))
-    system = [t for t in turns[:1] if t[2] == "system"]
-    room, end, slots = sum(cost(t[3]) for t in system), 0, {}
-    for _, _, role, text in turns[len(system) :]:
-        end += cost(text)
-        slots.setdefault((end - 1) // max(1, (budget - history - room) // 2), []).append((end - cost(text), end, role, text))
-    groups = list(slots.values()) or [[]]
+    cost = lambda t: -(-len(write(*t)) // 4)
+    turns = [t[2:] for t in sorted(((t is not None, t or 0, r or "", x or "") for t, r, x in turns))]
+    system = [t for t in turns[:1] if t[0] == "system"]
+    rest, room = turns[len(system) :], sum(map(cost, system))
+    avail = max(1, budget - history - room)
+    wide = max(1, avail - max((cost(t) for t in rest if 2 * cost(t) <= avail), default=0))
+    groups, end, base, slot = [], 0, 0, None
+    for t in rest:
+        begin, end = end, end + cost(t)
+        big = 2 * cost(t) > avail
+        if big or slot is None or (end - base - 1) // wide != slot:
+            groups.append([])
+        groups[-1].append((begin, end, t))
+        slot = None if big else (end - base - 1) // wide
+        base = end if big else base
     out = []
-    for i, group in enumerate(groups):
+    for i, group in enumerate(groups or [[]]):
         again = [g for g in groups[i - 1] if groups[i - 1][-1][1] - g[0] <= history] if i else []
-        out.append("".join(write(r, x) for r, x in [(t[2], t[3]) for t in system] + [g[2:] for g in again + group]))
+        if room + sum(cost(g[2]) for g in again + group) > budget:
+            again = []
+        out.append("".join(write(*t) for t in system + [g[2] for g in again + group]))
     return out
 
 
+def test_chat_windows_keep_their_budget_and_fill_it(spark):
+    rng = random.Random(12)
+    tricky = ["&", "<|im_end|>", "word ", "é", "&lt;|", "\n"]
+    rows = [(c, i, "system" if i == 0 and c % 2 else rng.choice(["user", "assistant", "r" * 300, "a&b<|"]), "".join(rng.choices(tricky, k=rng.choice([0, 3, 40, 200, 900])))) for c in range(12) for i in range(60)]
+    plain = [(c, i, ("user", "assistant")[i % 2], "word " * rng.randint(5, 60)) for c in range(100, 104) for i in range(120)]
+    turns = spark.createDataFrame(rows + plain, "conv_id long, turn long, role string, text string")
+    budget, history = 512, 64
+    found = chat.windows(turns, budget, history).collect()
+    cost = lambda text: -(-len(text) // 4)
+    for r in found:
+        parts = ["<|im_start|>" + p for p in r.text.split("<|im_start|>")[1:]]
+        lead = sum(cost(p) for p in parts[:1] if p.startswith("<|im_start|>system\n"))
+        alone = r.n_turns - r.n_repeated == 1 or (lead and r.n_turns <= 2)
+        assert sum(map(cost, parts)) <= budget or (alone and r.n_repeated <= (lead > 0))
+    whole = chat.windows(turns.where("conv_id >= 100")).collect()
+    filled = [cost(r.text) / 1_024 for r in whole if r.window < max(x.window for x in whole if x.conv_id == r.conv_id)]
+    assert len(filled) > 12 and sum(filled) / len(filled) > 0.8
+    for conv in (0, 1, 100):
+        own = [r.text for r in sorted((r for r in found if r.conv_id == conv), key=lambda r: r.window)]
+        assert own == plain_windows([r[1:] for r in rows + plain if r[0] == conv], budget, history)
+
+
+def test_chat_takes_a_column_of_token_counts(spark):
+    turns = spark.createDataFrame([(1, i, "user", "x", 100 if i < 8 else None) for i in range(40)], "conv_id long, turn long, role string, text string, tokens long")
+    sizes = [r.n_turns - r.n_repeated for r in sorted(chat.windows(turns, 450, 0, tokens="tokens").collect(), key=lambda r: r.window)]
+    assert sizes[:2] == [3, 3] and sum(sizes) == 40 and sizes[2] > 20
+
+
 def test_chat_splits_a_long_conversation(spark):
     rng = random.Random(4)
     long_role = "r" * 70
