@@ -6,13 +6,19 @@ That is one water level, found from prefix sums over the sources sorted by where
 
 Selection: complete epochs first, then a fraction by Efraimidis-Spirakis sampling: each row gets
 the exponential key -ln(u) / weight, u from a hash of its id, and rows go in key order until the
-rest of the target is met; the last row is taken in part, by words. Keys are sorted within
-`cells` ranges of the key per source, whose sums are prefix-summed apart, so no source has to
-fit one task. Weights default to the plausibility of a text's mean word length.
+rest of the target is met; the last row is taken in part, by words. Weights default to the
+plausibility of a text's mean word length. Texts are read once: what is planned from, sizes and
+keys, is written with the columns to keep.
+
+Keys are sorted within cells of a source, equal steps of log2(key), whose sums are prefix-summed
+apart, so no source has to fit one task. The steps shrink as rows grow: the logarithm of an
+exponential key has a density of at most 1 / e, whatever the weights, which bounds the share of its
+source's rows in a cell, and `CELL_ROWS` the number. Rows alike in id and text have one key and cell.
 
 Edge cases: null and empty texts have size 0 and are taken 0 times; a source whose sizes are 0
 has target 0; a null doc_id hashes as an empty one; repeated rows are rows each; empty tables
-give empty results. Columns of docs pass through; reruns agree.
+give empty results. Columns of docs pass through; those named size, source_size, target or taken
+are replaced by the results. Reruns agree.
 """
 
 from __future__ import annotations
@@ -20,9 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, word_count
+from .common import WORD, cut, word_count
 
 WEIGHTS = (5, 2, 1)
+CELL_ROWS = 2_048
+RESULTS = ("size", "source_size", "target", "taken")
 
 
 def plausibility(text: Column, size: Column) -> Column:
@@ -46,23 +54,28 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
     return levels.withColumn("target", F.least(cap, F.max("level").over(everything) * F.col("weight"))).drop("total", "level")
 
 
-def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, cells: int = 256, quality=plausibility, seed: str = "mix") -> DataFrame:
-    """docs with size, source_size, target and taken (words the mix takes of each row)."""
-    hidden = ["#name", "#absent", "#cell", "#key"]
-    sized = docs.withColumn("size", word_count(F.col("text")))
-    keyed = sized.withColumn("#key", sampling_key(F.col("doc_id"), quality(F.col("text"), F.col("size")), seed)).withColumn("#name", F.coalesce("source", F.lit(""))).withColumn("#absent", F.col("source").isNull())
-    keyed = keyed.withColumn("#cell", F.least(F.lit(cells - 1), F.floor((1 - F.exp(-F.col("#key"))) * cells)).cast("int"))
-    sums = keyed.groupBy("#name", "#absent", "#cell").agg(F.sum("size").alias("cell_size"))
-    per_source = sums.groupBy("#name", "#absent").agg(F.sum("cell_size").alias("source_size")).withColumn("source", F.when(~F.col("#absent"), F.col("#name")))
-    goal = targets(per_source, share, most, weights).select(F.col("#name").alias("n"), F.col("#absent").alias("a"), "source_size", "target")
-    begin = F.coalesce(F.sum("cell_size").over(Window.partitionBy("#name", "#absent").orderBy("#cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    plan = sums.withColumn("begin", begin).join(goal, (F.col("#name") == F.col("n")) & (F.col("#absent") == F.col("a"))).select(F.col("#name").alias("n"), F.col("#absent").alias("a"), F.col("#cell").alias("c"), "begin", "source_size", "target")
-    both = keyed.join(plan, (F.col("#name") == F.col("n")) & (F.col("#absent") == F.col("a")) & (F.col("#cell") == F.col("c")))
-    within = F.coalesce(F.sum("size").over(Window.partitionBy("#name", "#absent", "#cell").orderBy("#key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.round(F.col("target") - epochs * F.col("source_size")).cast("long")
-    taken = epochs * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("begin") - within))
-    return both.withColumn("taken", taken.cast("long")).drop(*hidden, "n", "a", "c", "begin")
+def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, quality=plausibility, seed: str = "mix", columns: tuple[str, ...] | None = None) -> DataFrame:
+    """columns (default: all) of docs with size, source_size, target and taken (words the mix takes of each row)."""
+    passed = [c for c in columns or docs.columns if c not in RESULTS]
+    size = word_count(F.col("text"))
+    keyed = docs.select(*passed, size.alias("#size"), sampling_key(F.col("doc_id"), quality(F.col("text"), size), seed).alias("#key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("#id"), F.coalesce("source", F.lit("")).alias("#name"), F.col("source").isNull().alias("#absent"))
+    keyed = cut(keyed)
+    # 1 / (e * ln 2) is about a half: rows of a cell = rows / (2 * steps) at most
+    steps = max(1, -(-keyed.count() // (2 * CELL_ROWS)))
+    place = F.floor(F.greatest(F.least(F.log2("#key"), F.lit(1e3)), F.lit(-1e3)) * steps).alias("#cell")
+    keyed = keyed.select("*", place)
+    cell = ["#name", "#absent", "#cell"]
+    sums = cut(keyed.groupBy(*cell).agg(F.sum("#size").alias("#held")))
+    per_source = sums.groupBy("#name", "#absent").agg(F.sum("#held").alias("source_size")).withColumn("source", F.when(~F.col("#absent"), F.col("#name")))
+    goal = targets(per_source, share, most, weights).select(F.col("#name"), F.col("#absent"), F.col("source_size").alias("#total"), F.col("target").alias("#target"))
+    ahead = Window.partitionBy("#name", "#absent").orderBy("#cell").rowsBetween(Window.unboundedPreceding, -1)
+    plan = sums.withColumn("#begin", F.coalesce(F.sum("#held").over(ahead), F.lit(0))).drop("#held").join(goal, ["#name", "#absent"])
+    within = F.coalesce(F.sum("#size").over(Window.partitionBy(*cell).orderBy("#key", "#id", "#size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    epochs = F.when(F.col("#total") > 0, F.floor(F.col("#target") / F.col("#total"))).otherwise(0)
+    rest = F.round(F.col("#target") - epochs * F.col("#total")).cast("long")
+    taken = epochs * F.col("#size") + F.least(F.col("#size"), F.greatest(F.lit(0), rest - F.col("#begin") - within))
+    both = keyed.join(plan, cell).withColumn("#taken", taken.cast("long"))
+    return both.select(*passed, F.col("#size").alias("size"), F.col("#total").alias("source_size"), F.col("#target").alias("target"), F.col("#taken").alias("taken"))
 
 
 def first_words(text: Column, count: Column) -> Column:

@@ -9,7 +9,8 @@ memory doesn't depend on the input; the same input partition gives the same rows
 A packed row is written as `ids` (little-endian uint16, or uint32 for larger vocabularies,
 padded to `length` with `pad`), `cu_seqlens` (0, then the end of each segment), the position
 resets (`starts`: where position ids begin at `offsets` again: 0, or the piece's place in its
-document if that was cut) and each segment's `doc_ids` and piece number.
+document if that was cut) and each segment's `doc_ids`, `texts` (a number of its own for each row
+of docs, so rows sharing an id can be told apart) and piece number.
 
 Edge cases: null and empty texts give no tokens and no segment; rows with null id are packed
 with a null id; repeated rows are packed each; empty tables give no rows; extra columns are
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .tokenizing import DEFAULT, encode, ranks
 
-SCHEMA = "row_id string, ids binary, n_tokens int, cu_seqlens array<int>, starts array<int>, offsets array<int>, doc_ids array<long>, pieces array<int>"
+SCHEMA = "row_id string, ids binary, n_tokens int, cu_seqlens array<int>, starts array<int>, offsets array<int>, doc_ids array<long>, texts array<long>, pieces array<int>"
 
 
 class Capacities:
@@ -81,12 +82,12 @@ def pack(sizes: list[int], length: int) -> list[list[int]]:
 def _emit(pieces: list, length: int, kind, pad: int, name: str) -> pa.RecordBatch:
     rows = pack([len(p[2]) for p in pieces], length)
     matrix = np.full((len(rows), length), pad, kind)
-    cols: list[list] = [[] for _ in range(6)]
+    cols: list[list] = [[] for _ in range(7)]
     for r, own in enumerate(rows):
         ends = np.cumsum([0, *(len(pieces[i][2]) for i in own)])
         for s, i in enumerate(own):
             matrix[r, ends[s] : ends[s + 1]] = pieces[i][2]
-        for c, x in zip(cols, (int(ends[-1]), ends.tolist(), ends[:-1].tolist(), [pieces[i][1] * length for i in own], [pieces[i][0] for i in own], [pieces[i][1] for i in own]), strict=True):
+        for c, x in zip(cols, (int(ends[-1]), ends.tolist(), ends[:-1].tolist(), [pieces[i][1] * length for i in own], [pieces[i][0] for i in own], [pieces[i][3] for i in own], [pieces[i][1] for i in own]), strict=True):
             c.append(x)
     ints = pa.list_(pa.int32())
     return pa.RecordBatch.from_arrays(
@@ -98,9 +99,10 @@ def _emit(pieces: list, length: int, kind, pad: int, name: str) -> pa.RecordBatc
             pa.array(cols[2], ints),
             pa.array(cols[3], ints),
             pa.array(cols[4], pa.list_(pa.int64())),
-            pa.array(cols[5], ints),
+            pa.array(cols[5], pa.list_(pa.int64())),
+            pa.array(cols[6], ints),
         ],
-        ["row_id", "ids", "n_tokens", "cu_seqlens", "starts", "offsets", "doc_ids", "pieces"],
+        ["row_id", "ids", "n_tokens", "cu_seqlens", "starts", "offsets", "doc_ids", "texts", "pieces"],
     )
 
 
@@ -111,15 +113,16 @@ def packed(docs: DataFrame, length: int = 2_048, window: int = 2_000_000, vocabu
         from pyspark import TaskContext
 
         kind = np.dtype("<u2" if max(ranks(vocabulary).values()) < 1 << 16 else "<u4")
-        task, pieces, held, windows = TaskContext.get(), [], 0, 0
-        name = f"{task.partitionId() if task else 0}"
+        part, pieces, held, windows = task.partitionId() if (task := TaskContext.get()) else 0, [], 0, 0
+        name, number = f"{part}", part << 40
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
                 text = text.as_py()
                 if not text:
                     continue
                 ids = encode(text, vocabulary).astype(kind)
-                pieces += [(doc_id, k, ids[at : at + length]) for k, at in enumerate(range(0, len(ids), length))]
+                pieces += [(doc_id, k, ids[at : at + length], number) for k, at in enumerate(range(0, len(ids), length))]
+                number += 1
                 held += len(ids)
                 if held >= window:
                     yield _emit(pieces, length, kind, pad, f"{name}-{windows}")
@@ -131,11 +134,11 @@ def packed(docs: DataFrame, length: int = 2_048, window: int = 2_000_000, vocabu
 
 
 def segments(rows: DataFrame) -> DataFrame:
-    """Read packed rows back: doc_id, piece, ids (array of int) of every segment, natively.
+    """Read packed rows back: doc_id, text, piece, ids (array of int) of every segment, natively.
 
     The hex text of a segment's bytes is cut into one number a token, for uint16 ids.
     """
-    each = rows.select("ids", F.explode(F.arrays_zip("doc_ids", "pieces", "starts", F.slice("cu_seqlens", 2, F.size("starts")).alias("ends"))).alias("s"))
+    each = rows.select("ids", F.explode(F.arrays_zip("doc_ids", "texts", "pieces", "starts", F.slice("cu_seqlens", 2, F.size("starts")).alias("ends"))).alias("s"))
     raw = F.hex(F.substring(F.col("ids"), F.col("s.starts") * 2 + 1, (F.col("s.ends") - F.col("s.starts")) * 2))
     low_first = F.transform(F.sequence(F.lit(0), F.col("s.ends") - F.col("s.starts") - 1), lambda i: F.conv(F.concat(F.substring(raw, i * 4 + 3, F.lit(2)), F.substring(raw, i * 4 + 1, F.lit(2))), 16, 10).cast("int"))
-    return each.select(F.col("s.doc_ids").alias("doc_id"), F.col("s.pieces").alias("piece"), low_first.alias("ids"))
+    return each.select(F.col("s.doc_ids").alias("doc_id"), F.col("s.texts").alias("text"), F.col("s.pieces").alias("piece"), low_first.alias("ids"))

@@ -60,8 +60,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mixed(table(spark, sf_dir, "documents"), columns=("doc_id",))
 
 
 def queries() -> dict:
@@ -167,7 +166,7 @@ l AS (
   WINDOW b AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM l),
 o AS (
-  SELECT k.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto,
+  SELECT k.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, coalesce(doc_id::VARCHAR, ''), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto,
     CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
   FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
 )

@@ -87,6 +87,44 @@ def test_packing_round_trip_and_best_fit(spark):
     assert packing.packed(docs.where("false")).count() == 0
 
 
+def test_packing_tells_rows_of_one_id_apart(spark):
+    """Two long texts of one id, and the whole and partial copies of a mix, are rebuilt each."""
+
+    def rebuilt(docs):
+        got = {}
+        for r in packing.segments(packing.packed(docs, length=16, window=400)).collect():
+            got.setdefault((r.text, r.doc_id), []).append((r.piece, r.ids))
+        assert all([p for p, _ in sorted(x)] == list(range(len(x))) for x in got.values())
+        return sorted((i, tokenizing.encoding().decode([t for _, p in sorted(x) for t in p])) for (_, i), x in got.items())
+
+    rows = [(1, " ".join(f"a{i}" for i in range(90))), (1, " ".join(f"b{i}" for i in range(70))), (2, "short"), (2, "short")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).coalesce(1)
+    assert rebuilt(docs) == sorted(rows)
+    mix = mixing.copies(mixing.mixed(docs)).select("doc_id", "text")
+    assert rebuilt(mix) == sorted((r.doc_id, r.text) for r in mix.collect())
+
+
+def test_token_counts_match_brute_force(spark):
+    """Each token, placed by decoding its bytes alone, against the sections of its characters."""
+    rng = random.Random(7)
+    pieces = ["word", " and", "\n", "é", "🙂", "ß", "\n\n", "  ", "日本", ".", " x"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 60))) for _ in range(80)]
+    words = {v: k for k, v in tokenizing.ranks().items()}
+    for rule in ("most", "first"):
+        got = {r.doc_id: r for r in attribution.token_counts(docs_of(spark, texts), rule=rule).collect()}
+        for n, text in enumerate(texts):
+            owner = [i for i, c in enumerate(text) for _ in c.encode()]
+            lines = [text.count("\n", 0, i) for i in range(len(text))]
+            counts, at, crossing = [0] * (max(lines) + 1), 0, 0
+            for t in tokenizing.encode(text).tolist():
+                chars = sorted(set(owner[at : at + len(words[t])]))
+                at += len(words[t])
+                held = [lines[c] for c in chars]
+                crossing += len(set(held)) > 1
+                counts[held[0] if rule == "first" else max(sorted(set(held)), key=held.count)] += 1
+            assert (got[n].section_tokens, got[n].n_crossing, got[n].n_tokens) == (counts, crossing, sum(counts))
+
+
 def test_token_counts_add_up(spark):
     text = "Ünïcode — first line\nsecond 🙂 line\n\nlast"
     got = {r.doc_id: r for r in attribution.token_counts(docs_of(spark, [text, None, "", "one"])).collect()}
@@ -460,8 +498,17 @@ def test_mix_meets_targets(spark):
     assert abs(sum(r.target for r in got) - 1.5 * sum(r.n for r in got)) < 1e-6
     mix = mixing.copies(mixing.mixed(docs))
     assert mix.select(mixing.word_count(F.col("text")).alias("n")).agg(F.sum("n")).first()[0] == sum(r.taken for r in got)
-    assert mixing.mixed(odd_docs(spark)).count() == 7
+    odd = mixing.mixed(odd_docs(spark))
+    assert odd.count() == 7 and dict(odd.dtypes)["size"] == "bigint" and odd.where("score = 'clash'").count() == 7
     assert mixing.mixed(docs.where("false")).count() == 0
+    names = ["n", "a", "c", "target", "begin", "cell", "source_size", "taken", "key", "weight", "level", "total", "absent", "name", "held", "words"]
+    clash = docs
+    for name in names:
+        clash = clash.withColumn(name, F.lit("clash"))
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, mixing.mixed(clash).select(*columns).collect())) == sorted(map(tuple, mixing.mixed(docs).select(*columns).collect()))
+    assert mixing.copies(mixing.mixed(clash)).count() == mix.count()
+    assert mixing.mixed(docs, columns=("doc_id",)).columns == columns
 
 
 def test_pipeline_stages(spark):
