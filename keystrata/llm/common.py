@@ -59,12 +59,16 @@ def spread(many: DataFrame, one: DataFrame, key: str, by: Column, counts: DataFr
     Hot are keys with more than `least` and more than total / hot_keys rows of many. There are
     fewer than hot_keys of these, which bounds what the driver holds and sends; the row of a hot
     key is repeated once for each part, so at most total / least times in all. by tells rows of a
-    key apart. counts (key, n) and total are those of many, if known already.
+    key apart. counts (key, n; without null) and total are those of many, if known already. Null
+    matches nothing, but its rows are dealt like those of other keys.
     """
     total = many.count() if total is None else total
     most = max(least, -(-total // hot_keys))
     if counts is None:
-        counts = many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        counts = many.groupBy(key).agg(F.count("*").alias("n"))
+    elif how == "left":
+        known = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        counts = counts.select(key, "n").unionByName(counts.sparkSession.range(1).select(F.lit(None).cast(counts.schema[key].dataType).alias(key), F.lit(total - known).alias("n")))
     hot = counts.where(F.col("n") > most).select(F.xxhash64(key).alias("h"), F.ceil(F.col("n") / most).cast("int").alias("p")).collect()
     if not hot:
         return many.join(one, key, how)

@@ -6,16 +6,19 @@
 2. Declared markup language (html lang) and 3. address suffix: P(value | language), estimated
    by grouped sums of the text posteriors over all rows, so a site-wide wrong declaration is
    learnt to be weak evidence.
-4. Host prior: the share of languages on the row's host without the row itself, smoothed
-   towards its domain's, which is smoothed towards the whole input's.
+4. Host prior: the share of languages on the row's host without the row itself, smoothed towards
+   that of its parent domain, this towards the next, label by label, and the last of two labels
+   towards the whole input's. A parent with no rows besides its child's adds no level, so nothing
+   counts twice; nor is the bare suffix a level, as it is evidence of its own.
 
 The four are added in the log domain and normalised. Documents take part beside pages with
 their source as host, and neither declaration nor suffix. All sums are grouped aggregations with
-partial sums before the shuffle; tables of hosts and suffixes are joined back by key, split by
-the engine where hot, and never collected.
+partial sums before the shuffle. What a host and its suffix say is one row a host; that table is
+sent if its measured size is under `HOSTS_BYTES`, else joined with the rows of hot hosts dealt over
+several tasks. Declarations are two or three letters, so their table has a bound.
 
 Edge cases: null and empty texts have no text evidence; an unknown or null declaration, suffix
-or host adds nothing; languages are those with `least_docs` documents in the whole table, ties go
+or host adds nothing; a host in numbers or of over 253 characters has no parents; languages are those with `least_docs` documents in the whole table, ties go
 to the first by name; without any language the result has null language. Repeated rows count each;
 null ids are kept; empty tables give empty results; extra columns are ignored.
 """
@@ -31,11 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import buffers, cut, runs
+from .common import buffers, cut, release, runs, spread
 from .linededup import host
 
 BITS = 14
 LEAST_SAMPLE = 25
+HOSTS_BYTES = 32 << 20
 _CODE = np.zeros(256, np.uint32)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[65:91] = np.arange(1, 27)
@@ -147,49 +151,79 @@ def text_evidence(rows: DataFrame, table: np.ndarray, strength: float, markup: b
     return rows.mapInArrow(run, schema)
 
 
-def _summed(p: str, n: int) -> list[Column]:
+def _summed(n: int) -> list[Column]:
     # rounded, so that the order of a sum can't change a result
-    return [F.sum(F.round(F.col(p)[i] * 1_000_000).cast("long")).alias(f"s{i}") for i in range(n)]
+    return [F.sum(F.round(F.col("p")[i] * 1_000_000).cast("long")).alias(f"s{i}") for i in range(n)]
 
 
 def _array(n: int) -> Column:
     return F.array(*(F.col(f"s{i}") / 1_000_000.0 for i in range(n)))
 
 
-def identify(pages: DataFrame, docs: DataFrame, strength: float = 60.0, host_weight: float = 4.0, domain_weight: float = 8.0, sample_rows: int = 8_000) -> DataFrame:
+def levels(host: Column) -> Column:
+    """A host and its parent domains of two labels at least, from narrow to wide."""
+    labels = F.split(host, r"\.")
+    n = F.size(labels)
+    parents = F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.array_join(F.slice(labels, i + 1, n - i), "."))
+    plain = host.startswith("source:") | (F.char_length(host) > 253) | ~host.rlike(r"\.[a-z][a-z0-9-]*$")
+    return F.when(plain, F.array(host)).otherwise(parents)
+
+
+def likelihoods(sums: DataFrame, column: str, n: int) -> DataFrame:
+    """column and log P(value | language), smoothed, of every value, as `ll`; sums: column, s0, s1, ..."""
+    whole = sums.agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(n)), F.count("*").alias("k")).first()
+    return sums.select(column, F.array(*(F.ln((F.col(f"s{i}") / 1_000_000.0 + 1.0) / F.lit((whole[f"s{i}"] or 0) / 1_000_000.0 + whole.k)) for i in range(n))).alias("ll"))
+
+
+def host_facts(rows: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """One row a host: host, rows, chain (row count and language sums of each level, narrow to wide) and by_suffix; and the bytes of all."""
+    hosts = cut(rows.where("host is not null").groupBy("host", "suffix").agg(*_summed(n), F.count("*").alias("rows")))
+    steps = hosts.select("host", "rows", *(f"s{i}" for i in range(n)), F.posexplode(levels(F.col("host"))).alias("level", "node"))
+    nodes = steps.groupBy("node").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(n)), F.sum("rows").alias("rows")).select("node", F.struct("rows", _array(n).alias("sums")).alias("held"))
+    placed = cut(steps.select("host", "level", "node"))
+    chain = spread(placed, nodes, "node", F.col("host")).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("level", "held"))).alias("chain"))
+    chain = chain.select("host", F.filter("chain", lambda x, i: (i == 0) | (x["held"]["rows"] > F.get(F.col("chain"), i - 1)["held"]["rows"])).alias("chain"))
+    by_suffix = cut(hosts.where("suffix is not null").groupBy("suffix").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(n))))
+    named = spread(hosts.select("host", "rows", "suffix"), likelihoods(by_suffix, "suffix", n).withColumnRenamed("ll", "by_suffix"), "suffix", F.col("host"), how="left")
+    facts = cut(named.join(chain, "host").select("host", "rows", F.transform("chain", lambda x: x["held"]).alias("chain"), "by_suffix"))
+    size = facts.agg(F.sum(F.octet_length("host") + 64 + F.size("chain") * (40 + 8 * n) + 8 * n)).first()[0] or 0
+    release(hosts, placed, by_suffix)
+    return facts, size
+
+
+def identify(pages: DataFrame, docs: DataFrame, strength: float = 60.0, host_weight: float = 4.0, sample_rows: int = 8_000) -> DataFrame:
     """kind ('page' or 'document'), doc_id, page_id, lang_pred, confidence, text_lang, declared, suffix, host."""
     names, table = learn(docs, sample_rows)
-    n = len(names)
-    if not n:
-        names, table, n = [""], np.zeros((1, (1 << BITS) + 1)), 1
+    if not names:
+        names, table = [""], np.zeros((1, (1 << BITS) + 1))
     declared = F.lower(F.regexp_extract(F.coalesce(F.col("html"), F.lit("")), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
     site = host(F.col("url"))
     # the last label, unless the host is an address in numbers
     suffix = F.nullif(F.regexp_extract(F.coalesce(site, F.lit("")), r"\.([a-z][a-z0-9-]*)$", 1), F.lit(""))
-    domain = F.regexp_replace(site, r"^(?:www|m|blog)\.", "")
-    web = pages.select(F.lit("page").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), F.nullif(declared, F.lit("")).alias("declared"), suffix.alias("suffix"), site.alias("host"), domain.alias("domain"), F.col("html").alias("text"))
-    own = docs.select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("suffix"), F.concat(F.lit("source:"), F.col("source")).alias("host"), F.concat(F.lit("source:"), F.col("source")).alias("domain"), "text")
-    rows = cut(text_evidence(web, table, strength, True).unionByName(text_evidence(own, table, strength, False)))
-    hosts = rows.where("host is not null").groupBy("host", "domain").agg(*_summed("p", n), F.count("*").alias("rows")).select(F.concat("host", F.lit("")).alias("h"), F.col("domain").alias("d"), _array(n).alias("host_sum"), "rows")
-    domains = hosts.groupBy("d").agg(*(F.sum(F.round(F.col("host_sum")[i] * 1_000_000).cast("long")).alias(f"s{i}") for i in range(n)), F.sum("rows").alias("domain_rows")).select(F.col("d").alias("dd"), _array(n).alias("domain_sum"), "domain_rows")
-    whole = rows.agg(*_summed("p", n), F.count("*").alias("all_rows")).select(_array(n).alias("all_sum"), "all_rows").first()
-    base = [(s + 1) / ((whole.all_rows or 0) + n) for s in (x or 0.0 for x in whole.all_sum)] if whole.all_rows else [1 / n] * n
-    sites = hosts.join(domains, F.col("d") == F.col("dd")).select("h", "host_sum", "rows", "domain_sum", "domain_rows")
-
-    def likelihoods(column: str, given: str) -> DataFrame:
-        """log P(value | language), smoothed, of every value."""
-        per = rows.where(F.col(column).isNotNull()).groupBy(column).agg(*_summed("p", n)).select(F.col(column).alias(given), _array(n).alias("v"))
-        total = rows.where(F.col(column).isNotNull()).agg(*_summed("p", n), F.approx_count_distinct(column).alias("k")).select(_array(n).alias("t"), "k").first()
-        sums = [x or 0.0 for x in total.t]
-        return per.select(F.concat(given, F.lit("")).alias(given), F.array(*(F.ln((F.col("v")[i] + 1.0) / F.lit(sums[i] + total.k)) for i in range(n))).alias(f"{given}_ll"))
-
-    joined = rows.join(sites, F.concat("host", F.lit("")) == F.col("h"), "left").join(likelihoods("declared", "by_markup"), F.concat("declared", F.lit("")) == F.col("by_markup"), "left").join(likelihoods("suffix", "by_suffix"), F.concat("suffix", F.lit("")) == F.col("by_suffix"), "left")
+    none = F.lit(None)
+    web = pages.select(F.lit("page").alias("kind"), none.cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), F.nullif(declared, F.lit("")).alias("declared"), suffix.alias("suffix"), site.alias("host"), F.col("html").alias("text"))
+    own = docs.select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("doc_id"), none.cast("long").alias("page_id"), none.cast("string").alias("declared"), none.cast("string").alias("suffix"), F.concat(F.lit("source:"), F.col("source")).alias("host"), "text")
+    return fused(cut(text_evidence(web, table, strength, True).unionByName(text_evidence(own, table, strength, False))), names, host_weight)
+
+
+def fused(rows: DataFrame, names: list[str], host_weight: float = 4.0) -> DataFrame:
+    """The language of each row of text evidence (text_ll, p), given declared, suffix and host; names: the languages in order."""
+    n = len(names)
+    whole = rows.agg(*_summed(n), F.count("*").alias("rows")).first()
+    base = [((whole[f"s{i}"] or 0) / 1_000_000 + 1) / (whole.rows + n) for i in range(n)]
+    facts, size = host_facts(rows, n)
+    # two or three letters: 18,252 rows at most
+    by_markup = likelihoods(rows.where("declared is not null").groupBy("declared").agg(*_summed(n)), "declared", n).withColumnRenamed("ll", "by_markup")
+    if size <= HOSTS_BYTES:
+        joined = rows.join(F.broadcast(facts.drop("rows")), "host", "left")
+    else:
+        joined = spread(rows, facts.drop("rows"), "host", F.monotonically_increasing_id(), facts.select("host", F.col("rows").alias("n")), whole.rows, how="left")
+    joined = joined.join(F.broadcast(by_markup), "declared", "left")
 
     def prior(i: int) -> Column:
-        """Without the row itself; host towards domain towards all."""
+        """Without the row itself; from the widest level to the host."""
         here = F.col("p")[i]
-        wide = (F.greatest(F.col("domain_sum")[i] - here, F.lit(0.0)) + domain_weight * base[i]) / (F.col("domain_rows") - 1 + domain_weight)
-        return F.when(F.col("rows").isNull(), F.lit(base[i])).otherwise((F.greatest(F.col("host_sum")[i] - here, F.lit(0.0)) + host_weight * wide) / (F.col("rows") - 1 + host_weight))
+        return F.aggregate(F.reverse(F.coalesce("chain", F.array().cast(facts.schema["chain"].dataType))), F.lit(base[i]), lambda wide, x: (F.greatest(x["sums"][i] - here, F.lit(0.0)) + host_weight * wide) / (x["rows"] - 1 + host_weight))
 
     def most(prefix: str) -> Column:
         return F.greatest(*(F.col(f"{prefix}{i}") for i in range(n))) if n > 1 else F.col(f"{prefix}0")
@@ -198,6 +232,6 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = 60.0, host_wei
         return F.nullif(F.coalesce(*(F.when(F.col(f"{prefix}{i}") == F.col(f"{prefix}m"), names[i]) for i in range(n))), F.lit(""))
 
     zero = F.lit(0.0)
-    fused = joined.select("kind", "doc_id", "page_id", "declared", "suffix", "host", *(F.col("text_ll")[i].alias(f"t{i}") for i in range(n)), *((F.col("text_ll")[i] + F.coalesce(F.col("by_markup_ll")[i], zero) + F.coalesce(F.col("by_suffix_ll")[i], zero) + F.ln(prior(i))).alias(f"a{i}") for i in range(n)))
-    fused = fused.withColumn("am", most("a")).withColumn("tm", most("t")).withColumn("share", sum((F.exp(F.col(f"a{i}") - F.col("am")) for i in range(n)), zero))
-    return fused.select("kind", "doc_id", "page_id", label("a").alias("lang_pred"), (1 / F.col("share")).alias("confidence"), F.when(F.col("t0") != F.col(f"t{n - 1}"), label("t")).alias("text_lang"), "declared", "suffix", "host")
+    logs = joined.select("kind", "doc_id", "page_id", "declared", "suffix", "host", *(F.col("text_ll")[i].alias(f"t{i}") for i in range(n)), *((F.col("text_ll")[i] + F.coalesce(F.col("by_markup")[i], zero) + F.coalesce(F.col("by_suffix")[i], zero) + F.ln(prior(i))).alias(f"a{i}") for i in range(n)))
+    logs = logs.withColumn("am", most("a")).withColumn("tm", most("t")).withColumn("share", sum((F.exp(F.col(f"a{i}") - F.col("am")) for i in range(n)), zero))
+    return logs.select("kind", "doc_id", "page_id", label("a").alias("lang_pred"), (1 / F.col("share")).alias("confidence"), F.when(F.col("t0") != F.col(f"t{n - 1}"), label("t")).alias("text_lang"), "declared", "suffix", "host")

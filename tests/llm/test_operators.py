@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -198,6 +199,63 @@ def test_language_knows_a_rare_one(spark):
     assert got.where("host = 'source:en' and lang_pred = 'en'").count() == 1_500
 
 
+EVIDENCE = "kind string, doc_id long, page_id long, declared string, suffix string, host string, text_ll array<double>, p array<double>"
+
+
+@pytest.mark.parametrize("bytes_sent", [32 << 20, 0])
+def test_language_fusion_matches_brute_force(spark, monkeypatch, bytes_sent):
+    """Sums by host, parents, suffix and declaration, and their fusion, one row after another."""
+    rng = random.Random(5)
+    sites = ["a.x.org", "b.x.org", "x.org", "deep.a.x.org", "only.de", "10.0.0.1", "localhost", "source:s", None, "y.co.fr"]
+    rows = []
+    for i in range(120):
+        h = rng.choice(sites)
+        ll = [rng.uniform(-4, 0) for _ in range(3)]
+        total = sum(map(math.exp, ll))
+        suffix = h.rsplit(".", 1)[1] if h and "." in h and not h[-1].isdigit() else None
+        rows.append(("page", None, i, rng.choice(["en", "de", "xx", None]), suffix, h, ll, [math.exp(x) / total for x in ll]))
+    monkeypatch.setattr(langid, "HOSTS_BYTES", bytes_sent)
+    monkeypatch.setattr(langid, "spread", lambda *a, **k: spread(*a, **k, least=8, hot_keys=10))
+    got = {r.page_id: r for r in langid.fused(spark.createDataFrame(rows, EVIDENCE), ["aa", "bb", "cc"], 4.0).collect()}
+
+    def held(p):
+        return [round(x * 1_000_000) / 1_000_000 for x in p]
+
+    def within(h, node):
+        return h is not None and (h == node or (h.endswith("." + node) and node.count(".") and not node[-1].isdigit()))
+
+    def likelihood(column, value, i):
+        if value is None:
+            return 0.0
+        known = [r for r in rows if r[column] is not None]
+        return math.log((sum(held(r[7])[i] for r in known if r[column] == value) + 1) / (sum(held(r[7])[i] for r in known) + len({r[column] for r in known})))
+
+    base = [(sum(held(r[7])[i] for r in rows) + 1) / (len(rows) + 3) for i in range(3)]
+    for _, _, n, declared, suffix, h, ll, p in rows:
+        nodes = [] if h is None else [h] if not suffix else [".".join(h.split(".")[k:]) for k in range(max(1, len(h.split(".")) - 1))]
+        groups = [[r for r in rows if within(r[5], node)] for node in nodes]
+        groups = [g for k, g in enumerate(groups) if k == 0 or len(g) > len(groups[k - 1])]
+        score = []
+        for i in range(3):
+            prior = base[i]
+            for g in reversed(groups):
+                prior = (max(sum(held(r[7])[i] for r in g) - p[i], 0) + 4 * prior) / (len(g) - 1 + 4)
+            score.append(ll[i] + likelihood(3, declared, i) + likelihood(4, suffix, i) + math.log(prior))
+        best = max(range(3), key=lambda i: score[i])
+        assert got[n].lang_pred == ["aa", "bb", "cc"][best]
+        assert got[n].confidence == pytest.approx(1 / sum(math.exp(x - score[best]) for x in score), rel=1e-6)
+
+
+def test_language_of_sibling_hosts(spark):
+    """A host with one row learns from others of its domain."""
+    sure, open_ = [-0.001, -7.0], [-0.7, -0.69]
+    rows = [("page", None, i, None, None, f"h{i}.x.org", sure, [0.999, 0.001]) for i in range(20)]
+    rows += [("page", None, 100, None, None, "new.x.org", open_, [0.4975, 0.5025]), ("page", None, 101, None, None, "new.y.org", open_, [0.4975, 0.5025])]
+    rows += [("page", None, 200 + i, None, None, f"g{i}.z{i}.org", sure[::-1], [0.001, 0.999]) for i in range(40)]
+    got = {r.page_id: r.lang_pred for r in langid.fused(spark.createDataFrame(rows, EVIDENCE), ["aa", "bb"]).collect()}
+    assert (got[100], got[101]) == ("aa", "bb")
+
+
 def test_toxicity_learns_a_pair(spark):
     row, term, label = [], [], []
     for i in range(400):
