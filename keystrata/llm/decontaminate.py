@@ -6,9 +6,11 @@ of any such occurrence is untouched. One automaton finds all exact hits of all p
 the stretch around each hit that could hold its item is verified with Myers' bit-parallel
 distance. The search is exact: every occurrence within the budget is found.
 
-Items are shared in blocks of at most about `block_chars` characters (checked), one scan of the
-texts each; a larger benchmark means more blocks, not a larger broadcast. Matching is a narrow
-pass without a shuffle.
+Items are shared in blocks of at most `block_chars` characters, or of one longer item: dealt by
+hash of id and text, then cut by running sums within each deal. With one block, matching is a
+narrow pass without a shuffle. With more, texts are written once with a number, blocks run one
+after another over that table, only hits are written, and a block is dropped from the driver and
+the executors before the next is read.
 
 Edge cases: null and empty texts match nothing; null, empty and blank items match nothing;
 repeated items with one id count once; repeated documents are answered each; empty tables give
@@ -17,13 +19,16 @@ empty or unmatched results; extra columns pass through untouched.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut, release
+
 
 def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
@@ -106,31 +111,85 @@ class Matcher:
         return sorted(found.items())
 
 
+_built: dict[str, Matcher] = {}
+
+
+def _matcher(name: str, shared, error_rate: float) -> Matcher:
+    """The matcher of a block, built once a Python worker; only the last is kept."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Matcher(shared.value, error_rate)
+    return _built[name]
+
+
+def _blocks(items: DataFrame, block_chars: int) -> tuple[DataFrame, list]:
+    """items with deal and part, and the distinct (deal, part) in order: blocks of bounded size."""
+    total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    deals = 1 if total <= block_chars else -(-2 * total // block_chars)
+    key = F.xxhash64("item_id", "text")
+    dealt = items.withColumn("deal", F.pmod(key, F.lit(deals)))
+    if deals == 1:
+        return dealt.withColumn("part", F.lit(0)), [(0, 0)]
+    # an item that would overstep the size begins no later than it, so a part holds a size, or one item more
+    before = Window.partitionBy("deal").orderBy("#key", "item_id", "text")
+    sized = dealt.withColumn("#key", key).withColumn("#n", F.char_length("text"))
+    cutoff = F.floor((F.sum("#n").over(before) - 1) / F.greatest(F.lit(1), F.lit(block_chars // 2)))
+    placed = cut(sized.withColumn("part", cutoff.cast("long")).drop("#key", "#n"))
+    return placed, [(r.deal, r.part) for r in placed.select("deal", "part").distinct().orderBy("deal", "part").collect()]
+
+
+def _finder(shared, error_rate: float, passed: list[str], clean_only: bool):
+    name = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = _matcher(name, shared, error_rate)
+        for b in batches:
+            found = [matcher.find(t.as_py()) for t in b.column("#text")]
+            if clean_only:
+                yield b.select(passed).filter(pa.array([not f for f in found], pa.bool_()))
+                continue
+            lists = [pa.array([[x[k] for x in f] for f in found], pa.list_(t)) for k, t in ((0, pa.int64()), (1, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in passed), *lists], [*passed, "#items", "#distances"])
+
+    return run
+
+
 def matches(docs: DataFrame, items: DataFrame, error_rate: float = 0.05, block_chars: int = 2_000_000, columns: tuple[str, ...] = ("doc_id",), clean_only: bool = False) -> DataFrame:
     """Each row's `columns` with item_ids and distances of the items found in its text.
 
-    clean_only: give the rows without any item instead, and no more columns. With several item
-    blocks the narrow scans follow each other.
+    clean_only: give the rows without any item instead, and no more columns.
     """
-    spark = docs.sparkSession
+    spark, given = docs.sparkSession, list(columns)
     items = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 if total <= block_chars else -(-2 * total // block_chars)
-    given, extra = list(columns), ["#text", "#items", "#distances"]
-    now = docs.select(*given, F.col("text").alias(extra[0]), F.array().cast("array<long>").alias(extra[1]), F.array().cast("array<int>").alias(extra[2]))
-    for block in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
-        shared = spark.sparkContext.broadcast(sorted((r.item_id, r.text) for r in own.collect()))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, error_rate)
-            for b in batches:
-                found = [dict(zip(i, d, strict=True)) | dict(matcher.find(t.as_py())) for t, i, d in zip(b.column(extra[0]), b.column(extra[1]).to_pylist(), b.column(extra[2]).to_pylist(), strict=True)]
-                ids = [sorted(f) for f in found]
-                out = pa.RecordBatch.from_arrays([*(b.column(c) for c in [*given, extra[0]]), pa.array(ids, pa.list_(pa.int64())), pa.array([[f[i] for i in own] for f, own in zip(found, ids, strict=True)], pa.list_(pa.int32()))], [*given, *extra])
-                yield out.filter(pa.array([not f for f in found], pa.bool_())) if clean_only else out
-
-        now = now.mapInArrow(run, now.schema)
+    placed, blocks = _blocks(items, block_chars)
+
+    def shared_block(deal: int, part: int):
+        own = placed.where((F.col("deal") == deal) & (F.col("part") == part))
+        return spark.sparkContext.broadcast(sorted((r.item_id, r.text) for r in own.select("item_id", "text").collect()))
+
+    rows = docs.select(*given, F.col("text").alias("#text"))
+    results = "`#items` array<long>, `#distances` array<int>"
+    if len(blocks) <= 1:
+        shared = shared_block(*blocks[0]) if blocks else spark.sparkContext.broadcast([])
+        if clean_only:
+            return rows.mapInArrow(_finder(shared, error_rate, given, True), docs.select(*given).schema)
+        found = rows.mapInArrow(_finder(shared, error_rate, given, False), rows.drop("#text").withColumns({"#items": F.array().cast("array<long>"), "#distances": F.array().cast("array<int>")}).schema)
+        return found.select(*given, F.col("#items").alias("item_ids"), F.col("#distances").alias("distances"))
+    numbered = cut(rows.withColumn("#row", F.monotonically_increasing_id()))
+    hits = []
+    for block in blocks:
+        shared = shared_block(*block)
+        found = numbered.select("#row", "#text").mapInArrow(_finder(shared, error_rate, ["#row"], False), f"`#row` long, {results}")
+        hits.append(cut(found.where(F.size("#items") > 0).select("#row", F.explode(F.arrays_zip(F.col("#items").alias("item"), F.col("#distances").alias("distance"))).alias("hit")).select("#row", "hit.item", "hit.distance")))
+        shared.destroy()
+    every = hits[0]
+    for more in hits[1:]:
+        every = every.unionByName(more)
+    best = every.groupBy("#row", "item").agg(F.min("distance").alias("distance"))
+    listed = cut(best.groupBy("#row").agg(F.array_sort(F.collect_list(F.struct("item", "distance"))).alias("#hits")))
+    release(placed, *hits)
     if clean_only:
-        return now.select(*given)
-    return now.select(*given, F.col(extra[1]).alias("item_ids"), F.col(extra[2]).alias("distances"))
+        return numbered.join(listed.select("#row"), "#row", "left_anti").select(*given)
+    none = F.array().cast(listed.schema["#hits"].dataType)
+    held = numbered.drop("#text").join(listed, "#row", "left").withColumn("#hits", F.coalesce("#hits", none))
+    return held.select(*given, F.col("#hits.item").alias("item_ids"), F.col("#hits.distance").alias("distances"))

@@ -5,8 +5,11 @@ which is (|q|^2 + |x|^2 - d(q, x)^2) / 2, and a pivot table gives d(q, x) >= max
 d(x, p)| over all pivots p: an upper bound of the score. Within each batch a query's vectors are
 evaluated in order of their bounds until the bound falls under the k-th best score so far.
 
-Queries come in blocks of at most `query_block` rows of one length, which bounds what is
-broadcast; every block costs one scan. Each task keeps k scores a query and block, so a query
+Pivots are far apart: each next one is the row farthest from those before, of a bounded sample.
+
+Queries come in blocks of at most `query_block` rows of one length (counted after they are dealt by
+hash), which bounds what the driver holds and sends. Blocks run one after another, a scan each, and
+their answers are written before the next begins. Each task keeps k scores a query, so a query
 meets at most k rows a task in the final ranking, whatever the input holds.
 
 Edge cases: vectors null, or holding null or non-finite components, take no part, nor do rows
@@ -26,8 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 SCALE, LARGEST = 1024, 1 << 26
 STEP = 512
+SAMPLE = 2_048
 
 
 def integers(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -35,7 +41,8 @@ def integers(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     x = F.col(vector_col)
     whole = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     fits = F.forall(x, lambda v: F.abs(v.cast("double")) <= LARGEST / SCALE)
-    checked = F.when(fits, x).otherwise(F.raise_error(F.lit("vector component out of range")).cast(df.schema[vector_col].dataType))
+    # the range is judged by itself for rows that take part, whatever order filters are run in
+    checked = F.when(~F.coalesce(whole, F.lit(False)), F.lit(None)).when(fits, x).otherwise(F.raise_error(F.lit("vector component out of range")).cast(df.schema[vector_col].dataType))
     return df.where(whole).select(F.col(id_col).cast("long").alias("id"), F.transform(checked, lambda v: F.floor(v.cast("double") * SCALE).cast("int")).alias("v"))
 
 
@@ -47,6 +54,9 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 def _search(q_ids, q, q_table, x_ids, x, x_table, k, top) -> None:
     """Update top (query -> (scores, ids)) with the vectors of one batch."""
     x_norm, q_norm = (x * x).sum(1), (q * q).sum(1)
+    # products of whole numbers that stay under 2**53 are exact as floats, and faster
+    small = len(x) and len(q) and int(np.abs(x).max(initial=0)) * int(np.abs(q).max(initial=0)) * max(1, x.shape[1]) < 1 << 53
+    left, right = (x.astype(float), q.astype(float)) if small else (x, q)
     for a in range(len(q)):
         gap = np.abs(x_table - q_table[a]).max(1) if x_table.shape[1] else np.zeros(len(x))
         gap = np.maximum(gap - 1e-6 * (1 + q_table[a].max(initial=0)), 0)  # distances are rounded
@@ -54,40 +64,69 @@ def _search(q_ids, q, q_table, x_ids, x, x_table, k, top) -> None:
         scores, ids = top.get(a, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
         able = np.flatnonzero((x_ids != q_ids[a]) & (bound >= scores[-1] if len(scores) == k else True))
         able = able[np.argsort(-bound[able], kind="stable")]
-        for at in range(0, len(able), STEP):
+        at, step = 0, STEP
+        while at < len(able):
             if len(scores) == k and bound[able[at]] < scores[-1]:
                 break
-            part = able[at : at + STEP]
-            scores, ids = _best(np.concatenate([scores, x[part] @ q[a]]), np.concatenate([ids, x_ids[part]]), k)
+            part = able[at : at + step]
+            found, names = (left[part] @ right[a]).astype(np.int64), x_ids[part]
+            if len(scores) == k:
+                near = found >= scores[-1]
+                found, names = found[near], names[near]
+            if len(found):
+                scores, ids = _best(np.concatenate([scores, found]), np.concatenate([ids, names]), k)
+            at, step = at + step, 2 * step
         if len(scores):
             top[a] = scores, ids
 
 
+def _far_apart(rows: np.ndarray, pivots: int) -> np.ndarray:
+    """At most `pivots` rows, each the farthest from those before."""
+    chosen, gap = [0], _distances(rows, rows[:1])[:, 0]
+    while len(chosen) < pivots and gap.max() > 0:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, _distances(rows, rows[chosen[-1:]])[:, 0])
+    return rows[chosen]
+
+
+def _vectors(rows: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """ids and vectors of a bounded number of rows, on the driver."""
+    got = rows.select("id", "v").toArrow()
+    return np.asarray(got.column("id"), np.int64), np.asarray(got.column("v").combine_chunks().flatten(), np.int64).reshape(len(got), length)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 32, query_block: int = 16_384) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest scores of each query; both tables from integers()."""
     spark = vectors.sparkSession
     queries = queries.select("id", "v").distinct()
-    lengths = [r.n for r in queries.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()]
+    lengths = [(r.n, r["count"]) for r in queries.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()]
     parts = []
-    for length in lengths:
-        # `pivots` rows: those of smallest hash, as any choice gives valid bounds
-        chosen = vectors.where(F.size("v") == length).orderBy(F.xxhash64("id", F.lit(1)), "id", "v").limit(pivots).collect()
-        p = np.array([r.v for r in chosen], np.int64).reshape(len(chosen), length)
-        own = queries.where(F.size("v") == length)
-        blocks = -(-own.count() // query_block)
+    for length, total in lengths:
+        # any choice gives valid bounds
+        sample = _vectors(vectors.where(F.size("v") == length).orderBy(F.xxhash64("id", F.lit(1)), "id", "v").limit(SAMPLE), length)[1]
+        p = _far_apart(sample, pivots) if len(sample) else sample
+        own, blocks = queries.where(F.size("v") == length), 1 if total <= query_block else -(-2 * total // query_block)
+        block_of = lambda blocks: F.pmod(F.xxhash64("id", "v", F.lit(2)), F.lit(blocks))
+        while blocks > 1 and own.groupBy(block_of(blocks).alias("b")).count().agg(F.max("count")).first()[0] > query_block:
+            blocks *= 2
         for block in range(blocks):
-            mine = own if blocks == 1 else own.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(2 * blocks)).isin(2 * block, 2 * block + 1))
-            rows = sorted(mine.collect(), key=lambda r: (r.id, r.v))
-            q = np.array([r.v for r in rows], np.int64).reshape(len(rows), length)
-            shared = spark.sparkContext.broadcast((np.array([r.id for r in rows], np.int64), q, _distances(q, p), p))
-            parts.append(vectors.where(F.size("v") == length).mapInArrow(_searcher(shared, length, k), "query_id long, query_no int, vec_id long, score long").withColumn("part", F.lit(len(parts))))
+            ids, q = _vectors(own if blocks == 1 else own.where(block_of(blocks) == block), length)
+            order = np.lexsort((*q.T[::-1], ids))
+            ids, q = ids[order], q[order]
+            shared = spark.sparkContext.broadcast((ids, q, _distances(q, p), p))
+            found = vectors.where(F.size("v") == length).mapInArrow(_searcher(shared, length, k), "query_id long, query_no int, vec_id long, score long")
+            ranked = Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
+            found = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            if len(lengths) * blocks > 1:
+                found = cut(found)
+                shared.destroy()
+            parts.append(found)
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
-    ranked = Window.partitionBy("part", "query_no").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found
 
 
 def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:

@@ -44,6 +44,9 @@ def test_top_k_is_exact_with_ties_and_odd_vectors(spark):
     rows += [(300, None), (301, [1.0, None, 0.0, 0.0]), (302, [float("nan")] * 4), (None, [1.0] * 4), (400, [1.0, 2.0]), (0, rows[0][1])]
     v = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     got = topk.top_k(v, v.where("id % 100 = 0"), 5, pivots=6).collect()
+    blocked = topk.top_k(v, v.where("id % 10 = 0"), 5, pivots=6, query_block=4)
+    assert sorted(map(tuple, blocked.where("query_id % 100 = 0").collect())) == sorted(map(tuple, got))
+    assert blocked.select("query_id").distinct().count() == 30
     good = [(i, np.floor(np.array(x) * 1024).astype(int)) for i, x in rows if i is not None and x is not None and all(c is not None and np.isfinite(c) for c in x)]
     for q in {0, 100, 200, 400}:
         own = next(x for i, x in good if i == q)
@@ -164,8 +167,13 @@ def test_decontamination_matches_brute_force(spark):
         for i, t in enumerate(texts):
             want = {k: slow_distance(decontaminate.normal(x), decontaminate.normal(t)) for k, x in items[:4]}
             assert got[i] == {k: v for k, v in want.items() if v <= int(len(decontaminate.normal(items[k][1])) * 0.05)}
-    kept = decontaminate.matches(odd_docs(spark), table, columns=("doc_id", "text"), clean_only=True)
-    assert kept.count() == 7
+    _, blocks = decontaminate._blocks(table.where("item_id < 9").unionByName(spark.createDataFrame([(1, letters(300)), (1, letters(30))], "item_id long, text string")), 100)
+    assert len(blocks) > 3
+    for block in (2_000_000, 100):
+        kept = decontaminate.matches(odd_docs(spark), table, block_chars=block, columns=("doc_id", "text"), clean_only=True)
+        assert kept.count() == 7
+        clean = decontaminate.matches(docs_of(spark, texts), table, 0.05, block, clean_only=True)
+        assert sorted(r.doc_id for r in clean.collect()) == [0, 1, 2, 3, 6, 7]
 
 
 def test_language_fuses_evidence(spark):
