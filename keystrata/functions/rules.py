@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,8 +18,12 @@ def health_v2(status: Column, failed: Column) -> Column:
     return F.when(failed, "dead").when(status.between(200, 299), "alive").when(status == 401, "dead")
 
 
-def coalesce_chain(argument: Column, given: Column, environment: Column) -> Column:
-    return F.coalesce(argument, given, environment)
+def coalesce_chain(argument: Column, given: Column, environment: Column, hook: Callable[[Column], Column] | None = None) -> Column:
+    """The first of the three that isn't null; with a hook in their place, what it makes of the environment's.
+
+    A hook is applied last and its null stands: it rejects the row (filter on it).
+    """
+    return F.coalesce(argument, given, environment) if hook is None else hook(environment)
 
 
 def first_true_code(flags: list[Column], first: int = 150) -> Column:

@@ -36,11 +36,12 @@ def encode_component(text: Column) -> Column:
 
 
 def query_string(pairs: list[tuple[str, Column]]) -> Column:
-    """?k=v&... in the order given; '', null and false are dropped, 0 is kept."""
+    """?k=v&... in the order given; '', null and the boolean false are dropped; 0 and the text 'false' are kept."""
     items = []
     for key, value in pairs:
         as_text = value.cast("string")
-        items.append(F.when(value.isNull() | (as_text == "") | (as_text == "false"), None).otherwise(F.concat(encode_component(F.lit(key)), F.lit("="), encode_component(as_text))))
+        unset = (F.typeof(value) == "boolean") & (as_text == "false")
+        items.append(F.when(value.isNull() | (as_text == "") | unset, None).otherwise(F.concat(encode_component(F.lit(key)), F.lit("="), encode_component(as_text))))
     return F.concat(F.lit("?"), F.concat_ws("&", *items))
 
 
@@ -81,18 +82,34 @@ def fallback(*fields: Column, cut: int = 200) -> Column:
     return F.coalesce(*first, F.substring(last, 1, cut), F.lit(""))
 
 
-def widget_url(base: str, path: Column, kind: Column, no_branding: Column, params: list[tuple[str, Column]]) -> Column:
-    """base er/ path . kind ?, then &no_branding=1 if asked for and &name=value of each non-empty parameter."""
+def widget_url(base: str, path: Column, kind: Column, no_branding: Column, params: list[tuple[str, Column]], location: Column | None = None) -> Column:
+    """base er/ path . kind ?, then &no_branding=1 if asked for and &name=value of each non-empty parameter.
+
+    A null or empty path is the location's ('/' without one), a null or empty kind html.
+    """
+    path = F.coalesce(F.nullif(path, F.lit("")), F.lit("/") if location is None else location)
+    kind = F.coalesce(F.nullif(kind, F.lit("")), F.lit("html"))
     more = [F.when(F.coalesce(no_branding, F.lit(False)), "&no_branding=1").otherwise("")]
     more += [F.coalesce(F.concat(F.lit(f"&{name}="), encode_component(F.nullif(value, F.lit("")))), F.lit("")) for name, value in params]
-    return F.concat(F.lit(base), F.lit("er/"), encode_component(path), F.lit("."), encode_component(F.coalesce(kind, F.lit("html"))), F.lit("?"), *more)
+    return F.concat(F.lit(base), F.lit("er/"), encode_component(path), F.lit("."), encode_component(kind), F.lit("?"), *more)
 
 
 #: The health-check paths of the two endpoint kinds.
 HEALTH_PATHS = {"prowlarr": "/api/v1/health?apikey=", "jackett": "/api/v2.0/indexers/status:healthy/results?apikey="}
 
 
-def endpoint_url(protocol: Column, host: Column, kind: Column, key: Column) -> Column:
-    """Protocol ('' where the host brings its own), host, path by kind, key. A null key is empty."""
-    path = F.when(kind == "prowlarr", HEALTH_PATHS["prowlarr"]).otherwise(HEALTH_PATHS["jackett"])
-    return F.concat(F.coalesce(protocol, F.lit("")), host, path, F.coalesce(key, F.lit("")))
+def endpoint_url(protocol: str, host: Column, kind: Column, key: Column, selector: Column, own: dict[str, str], host_keys: dict[str, str]) -> Column:
+    """Protocol, host, path by kind, key.
+
+    own: kinds by selector of a user's own endpoints, which bring their protocol in the host.
+    The first kind takes its key; the second none, except the fixed key of its host
+    (host_keys), else its own if it is the user's own of that kind. A null key is empty.
+    """
+    first, second = HEALTH_PATHS
+    mine = F.coalesce(selector.isin(*own), F.lit(False))
+    keyed = F.coalesce(selector.isin(*(s for s, k in own.items() if k == second)), F.lit(False))
+    rest = F.when(keyed, F.coalesce(key, F.lit(""))).otherwise("")
+    for name, fixed in host_keys.items():
+        rest = F.when(host == name, fixed).otherwise(rest)
+    path = F.when(kind == first, F.concat(F.lit(HEALTH_PATHS[first]), F.coalesce(key, F.lit("")))).otherwise(F.concat(F.lit(HEALTH_PATHS[second]), rest))
+    return F.concat(F.when(mine, "").otherwise(protocol), host, path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keyed import first_per_key
+
 
 def id_split(rows: DataFrame, column: str, separator: str = "/") -> DataFrame:
     """One row a part of a composite id, as `part`, with its place."""
@@ -18,15 +20,44 @@ def range_bounds(text: Column) -> tuple[Column, Column]:
 
 
 def range_expand(rows: DataFrame, column: str) -> DataFrame:
-    """One row a point of each range."""
+    """One row a point of each range: for small ranges; in_ranges and range_tiling don't expand."""
     low, high = range_bounds(F.col(column))
     return rows.where(low <= high).select("*", F.explode(F.sequence(low, high)).alias("point"))
 
 
-def place_in_ranges(points: DataFrame, value: str, width: int) -> DataFrame:
-    """points with the fixed-width range that holds their value: arithmetic in place of a range join."""
-    low = F.floor((F.col(value) - 1) / width) * width + 1
-    return points.withColumn("range_low", low.cast("int")).withColumn("range_high", (low + width - 1).cast("int"))
+def in_ranges(points: DataFrame, value: str, ranges: DataFrame, low: str, high: str) -> DataFrame:
+    """points joined to each range low <= value <= high of whole numbers; any ranges, overlapping or not.
+
+    A range belongs to the level of the power of two that is its length at least, where it touches
+    two bins at most; a point meets one bin of each level there is (64 at most). So it's an equi-join
+    with two rows a range and one a point and level, and no range is expanded. Null matches nothing.
+    """
+    sized = ranges.where(F.col(low) <= F.col(high)).withColumn("#level", F.ceil(F.log2(F.col(high).cast("double") - F.col(low) + 1)).cast("int"))
+    levels = sorted(r[0] for r in sized.select("#level").distinct().collect())  # 64 numbers at most
+    if not levels:
+        levels = [0]
+    width = lambda level: F.pow(F.lit(2), level).cast("long")
+    bin_of = lambda x, level: F.floor(x / width(level)).cast("long")
+    bins = F.array_distinct(F.array(bin_of(F.col(low), F.col("#level")), bin_of(F.col(high), F.col("#level"))))
+    held = sized.withColumn("#bin", F.explode(bins))
+    asked = points.where(F.col(value).isNotNull()).withColumn("#level", F.explode(F.array(*map(F.lit, levels)))).withColumn("#bin", bin_of(F.col(value), F.col("#level")))
+    return asked.join(held, ["#level", "#bin"]).where((F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))).drop("#level", "#bin")
+
+
+def range_tiling(rows: DataFrame, group: str, low: str, high: str) -> DataFrame:
+    """Per group: points (sum of lengths), first and last, and how many ranges leave a gap to, or overlap, those before.
+
+    Ranges are ordered by low, then high; ranges without points are left out.
+    """
+    before = Window.partitionBy(group).orderBy(low, high).rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.where(F.col(low) <= F.col(high)).withColumn("#reach", F.max(high).over(before))
+    return seen.groupBy(group).agg(
+        F.sum(F.col(high).cast("long") - F.col(low) + 1).alias("points"),
+        F.min(low).alias("first"),
+        F.max(high).alias("last"),
+        F.count_if(F.col(low) > F.col("#reach") + 1).alias("gaps"),
+        F.count_if(F.col(low) <= F.col("#reach")).alias("overlaps"),
+    )
 
 
 def override(official: Column, qa: Column) -> tuple[Column, Column]:
@@ -61,10 +92,16 @@ def childless(parents: DataFrame, children: DataFrame, id_key: str, parent_key:
 
 
 def secondary_match(left: DataFrame, right: DataFrame, pair: list[str]) -> DataFrame:
-    """Inner join on a pair of keys; null never matches."""
+    """Inner join on a pair of keys; null never matches. To count matches, see secondary_counts."""
     return left.join(right, pair)
 
 
+def secondary_counts(left: DataFrame, right: DataFrame, pair: list[str], *by: str) -> DataFrame:
+    """Number of matches on a pair of keys, by some of them: both sides are counted first, so no pair of rows is made."""
+    a, b = (x.groupBy(*pair).agg(F.count("*").alias(n)) for x, n in ((left, "#a"), (right, "#b")))
+    return a.join(b, pair).groupBy(*by).agg(F.sum(F.col("#a") * F.col("#b")).alias("n"))
+
+
 def layer_union(layers: dict[str, DataFrame], include: list[str], class_column: str) -> DataFrame:
     """All layers with their name, columns missing in one null, of the included classes."""
     out: DataFrame | None = None
@@ -76,9 +113,17 @@ def layer_union(layers: dict[str, DataFrame], include: list[str], class_column:
     return out
 
 
-def curated_overlay(rows: DataFrame, curated: DataFrame, pair: list[str]) -> DataFrame:
-    """rows, and the curated rows whose pair of keys isn't there yet. Null pairs are kept."""
-    return rows.unionByName(curated.join(rows.select(*pair), pair, "left_anti"), allowMissingColumns=True)
+def curated_overlay(rows: DataFrame, curated: DataFrame, pair: list[str], order: list[str]) -> DataFrame:
+    """rows, overlaid by curated ones: a curated row replaces all rows of its pair of keys.
+
+    Of several curated rows of a pair the first by order (then by its other columns) counts. A pair
+    with a null matches nothing: such rows of both are kept each.
+    """
+    whole = F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull()
+    values = [c for c in curated.columns if c not in pair]
+    first = first_per_key(curated.where(whole), pair, [*order, *(v for v in values if v not in order)], values) if values else curated.where(whole).distinct()
+    kept = rows.join(first.select(*pair), pair, "left_anti")
+    return kept.unionByName(first, allowMissingColumns=True).unionByName(curated.where(~whole), allowMissingColumns=True)
 
 
 def status_counts(rows: DataFrame, *by: str) -> DataFrame:

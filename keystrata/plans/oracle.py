@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 _URGENT = "SELECT o_custkey AS c_custkey, * FROM orders WHERE o_orderpriority = '1-URGENT'"
-_RING = "list_transform(range(0, 32), lambda i: [embedding[2 * i + 1]::DOUBLE, embedding[2 * i + 2]::DOUBLE])"
+_RING = "list_transform(range(0, len(embedding) // 2), lambda i: [embedding[2 * i + 1]::DOUBLE, embedding[2 * i + 2]::DOUBLE])"
 _RULES = "(VALUES ('view', 'base-view', 'v'), ('click', 'base-click', 'c'), ('<default>', 'base-default', 'd')) r(k, base, code)"
 _TRISTATE = f"""
 SELECT c.c_custkey, c_name, CASE WHEN f.c_custkey IS NULL THEN 'error' WHEN o_orderstatus = 'P' THEN 'disabled' ELSE 'active' END AS status
@@ -36,7 +36,8 @@ _PAIRS = [
     ("p", "'/a b''(é)~*!/' || event_type", "TRUE"),
     ("e", "'true'", "event_type = 'click'"),
     ("b", "(user_id % 2)::VARCHAR", "TRUE"),
-    ("t", "props", "user_id % 3 <> 0 AND props IS NOT NULL AND props NOT IN ('', 'false')"),
+    ("t", "props", "user_id % 3 <> 0 AND props IS NOT NULL AND props <> ''"),
+    ("f", "CASE WHEN user_id % 2 = 0 THEN 'false' ELSE 'true' END", "TRUE"),
 ]
 _QUERY = "'?' || array_to_string(list_filter([" + ", ".join(f"CASE WHEN {cond} THEN '{k}=' || {enc(v)} END" for k, v, cond in _PAIRS) + "], lambda x: x IS NOT NULL), '&')"
 _HOSTS = "['localhost', 'notlocalhost', '172.15.0.1', '172.16.0.1', '10.0.0.1', 'a.example'][page_id % 6 + 1]"
@@ -60,7 +61,15 @@ def oracle_sql() -> dict[str, str]:
             WITH a AS (SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN url END AS s, CASE WHEN page_id % 10 <> 0 THEN url ELSE 'undefined' END AS c FROM pages),
             b AS (SELECT page_id, {_first("s", "https://www.", "https://")} AS s, {_first("c", "https://www.", "https://")} AS c FROM a)
             SELECT page_id, {_first("c", "http://", "https://")} AS url, {_first("s", "http://", "https://")} AS strict_url FROM b""",
-        "lookup_first": f"SELECT event_id, base FROM events JOIN {_RULES} ON nullif(event_type, 'error') = k",
+        "lookup_first": "SELECT event_id, CASE event_type WHEN 'view' THEN 'first' ELSE 'only' END AS base FROM events WHERE event_type IN ('view', 'click')",
+        "default_first": "SELECT event_id, CASE event_type WHEN 'view' THEN 'first' WHEN 'click' THEN 'only' ELSE 'default' END AS base FROM events WHERE event_type IN ('view', 'click', 'error')",
+        "callback_hook": "SELECT event_id, '/' || upper(event_type) AS p FROM events WHERE user_id % 3 <> 0",
+        "store_sink": "SELECT n_name AS key, CASE WHEN n_nationkey % 5 <> 0 THEN 'v' || n_regionkey END AS value FROM nation WHERE n_nationkey < 20",
+        "store_scan": "SELECT 'NATION_7' AS key, 'v' || n_regionkey AS value FROM nation WHERE n_nationkey = 7 UNION ALL SELECT * FROM (VALUES ('NATION_5', 'd'), ('NATION_21', 'd'), ('NATION_22', NULL))",
+        "json_documents": """
+            SELECT n_regionkey::BIGINT AS region, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::INTEGER AS pos, n_nationkey::BIGINT AS id, n_name AS name,
+              CASE WHEN n_nationkey % 2 = 0 THEN 'even' END AS note FROM nation""",
+        "manifest_scan": "SELECT file_no, 1 AS version, region::BIGINT AS region, count(*)::INTEGER AS n FROM nation JOIN (VALUES (0, 3), (1, 0), (2, 4)) f(file_no, region) ON n_regionkey = region GROUP BY file_no, region",
         "decision_overlay": f"""
             WITH j AS (SELECT event_id, base, code FROM events JOIN {_RULES} ON coalesce(nullif(nullif(event_type, 'error'), ''), '<default>') = k)
             SELECT event_id, 'url' AS key, base AS value FROM j UNION ALL SELECT event_id, 'key', code FROM j""",
@@ -96,19 +105,23 @@ def oracle_sql() -> dict[str, str]:
         "toggle_parity": "SELECT user_id, count(*) FILTER (event_type = 'click') % 2 = 1 AS flag FROM events GROUP BY user_id",
         "ring_area": f"""
             WITH t AS (SELECT vec_id, {_RING} AS r FROM embeddings)
-            SELECT vec_id, round(abs(list_sum(list_transform(range(1, 33), lambda i: r[i][1] * r[i % 32 + 1][2] - r[i % 32 + 1][1] * r[i][2]))) / 2, 6) AS area, 32 AS points FROM t""",
+            SELECT vec_id, round(abs(list_sum(list_transform(range(1, len(r) + 1), lambda i: r[i][1] * r[i % len(r) + 1][2] - r[i % len(r) + 1][1] * r[i][2]))) / 2, 6) AS area, len(r)::INTEGER AS points FROM t""",
         "ring_bbox": f"""
             WITH t AS (SELECT vec_id, {_RING} AS r FROM embeddings), u AS (SELECT vec_id, list_transform(r, lambda p: p[1]) AS x, list_transform(r, lambda p: p[2]) AS y FROM t)
             SELECT vec_id, list_min(x) AS min_x, list_min(y) AS min_y, list_max(x) AS max_x, list_max(y) AS max_y FROM u""",
         "axis_swap": """
             SELECT vec_id, CASE WHEN label % 2 = 0 THEN embedding[2] ELSE embedding[1] END::DOUBLE AS x0, CASE WHEN label % 2 = 0 THEN embedding[1] ELSE embedding[2] END::DOUBLE AS y0,
-              CASE WHEN label % 2 = 0 THEN embedding[64] ELSE embedding[63] END::DOUBLE AS x31 FROM embeddings""",
+              CASE WHEN label % 2 = 0 THEN embedding[len(embedding)] ELSE embedding[len(embedding) - 1] END::DOUBLE AS x_last FROM embeddings""",
         "point_check": "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_size END AS n, CASE WHEN p_size % 2 = 0 THEN 50 END AS m, CASE WHEN p_size % 2 = 0 THEN TRUE END AS agrees FROM part",
         "circle_radius": "SELECT p_partkey, round(sqrt(p_retailprice * 1000 / pi()), 6) AS radius FROM part",
         "unit_convert": "SELECT p_partkey, round(p_retailprice * 100, 2) AS ha, round(p_retailprice * 1000, 1) AS dka FROM part",
         "range_expand": """
-            WITH r AS (SELECT (i * 10 + 1)::INTEGER AS range_low, (i * 10 + 10)::INTEGER AS range_high FROM range(0, 100) t(i))
-            SELECT range_low, range_high, count(*) AS n, sum(p_size)::BIGINT AS total FROM part JOIN r ON p_size BETWEEN range_low AND range_high GROUP BY ALL""",
+            SELECT name, low, high, count(*) AS n, sum(p_size)::BIGINT AS total
+            FROM part JOIN (VALUES ('low', 1, 7), ('mid', 5, 20), ('one', 20, 20), ('wide', 13, 49), ('far', 48, 4000), ('below', 0, 2)) r(name, low, high) ON p_size BETWEEN low AND high GROUP BY ALL""",
+        "range_tiling": """
+            WITH r AS (SELECT o_custkey, o_orderkey % 1000 AS low, o_orderkey % 1000 + o_custkey % 40 - 3 AS high FROM orders),
+            s AS (SELECT *, max(high) OVER (PARTITION BY o_custkey ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r WHERE low <= high)
+            SELECT o_custkey, sum(high - low + 1)::BIGINT AS points, min(low) AS first, max(high) AS last, count(*) FILTER (low > reach + 1) AS gaps, count(*) FILTER (low <= reach) AS overlaps FROM s GROUP BY o_custkey""",
         "range_tiles": "SELECT p::INTEGER AS point, count(*) AS covers FROM range(1, 396) t(p) JOIN (VALUES (1, 160), (161, 395), (1, 193)) r(lo, hi) ON p BETWEEN lo AND hi GROUP BY p",
         "id_split": "WITH t AS (SELECT p_partkey, string_split(p_name, ' ') AS s FROM part) SELECT p_partkey, (unnest(range(1, len(s) + 1)) - 1)::INTEGER AS part_no, unnest(s) AS part FROM t",
         "orphans": f"SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM ({_URGENT}) u WHERE u.c_custkey = c.c_custkey)",
@@ -130,8 +143,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_custkey AS id, c_mktsegment AS class, c_acctbal AS area, 'customer' AS layer FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
             UNION ALL SELECT s_suppkey, 'BUILDING', NULL, 'supplier' FROM supplier WHERE s_nationkey < 12""",
         "curated_overlay": """
-            WITH r AS (SELECT p_brand AS osm_type, p_partkey AS osm_id, 'feature' AS origin FROM part), c AS (SELECT osm_type, osm_id * 2 AS osm_id, 'curated' AS origin FROM r WHERE osm_id % 5 = 0)
-            SELECT * FROM r UNION ALL SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.osm_type = c.osm_type AND r.osm_id = c.osm_id)""",
+            WITH r AS (SELECT p_brand AS osm_type, p_partkey AS osm_id, 'feature' AS origin FROM part), x AS (SELECT osm_type, osm_id + a AS osm_id FROM r, (VALUES (0), (10000000)) v(a) WHERE osm_id % 5 = 0)
+            SELECT osm_type, osm_id, CASE WHEN osm_id % 5 = 0 AND osm_id % 3 <> 0 THEN 'early' ELSE origin END AS origin FROM r
+            UNION ALL SELECT osm_type, osm_id, 'early' FROM x WHERE osm_id % 3 <> 0 AND osm_id >= 10000000
+            UNION ALL SELECT osm_type, NULL, o FROM x, (VALUES ('early'), ('late')) w(o) WHERE osm_id % 3 = 0""",
         "month_key": "SELECT 'gis-' || strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY ALL",
         "month_evict": "SELECT o_orderkey, 'gis-1998-03' AS month FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1998-03'",
         "throttle_first": """
@@ -144,8 +159,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT conv_id, turn, 'https://a.example/counter/' || {enc("'/a b/' || role")} || '.' || CASE WHEN turn > 2 THEN 'png' ELSE 'html' END || '?' || CASE WHEN turn = 0 THEN '&no_branding=1' ELSE '' END
               || CASE WHEN turn = 1 THEN '&style=a%26b%3Dc' ELSE '' END || CASE WHEN role <> 'user' THEN '&start=' || role ELSE '' END AS url FROM conversations""",
         "endpoint_url": """
-            SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN 'https://' WHEN s_nationkey % 3 = 0 THEN 'http://' ELSE '' END || 'h' || s_suppkey || '.example'
-              || CASE WHEN s_acctbal < 0 THEN '/api/v1/health?apikey=' ELSE '/api/v2.0/indexers/status:healthy/results?apikey=' END || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END AS url FROM supplier""",
+            SELECT s_suppkey, CASE WHEN s_nationkey % 3 = 0 THEN '' ELSE 'https://' END || 'h' || s_suppkey % 5 || '.example' || CASE
+                WHEN s_acctbal < 0 THEN '/api/v1/health?apikey=' || CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE s_name END
+                ELSE '/api/v2.0/indexers/status:healthy/results?apikey=' || CASE WHEN s_suppkey % 5 = 2 THEN '2' WHEN s_nationkey % 3 = 0 AND s_suppkey % 4 <> 0 THEN s_name ELSE '' END
+              END AS url FROM supplier""",
         "clamp_progress": "SELECT event_id, round(least(value / 150 * 100, 100))::INTEGER AS percent, 100 - round(least(value / 150 * 100, 100))::INTEGER AS left FROM events",
         "dictionary_lookup": """
             SELECT doc_id, d.lang, CASE WHEN doc_id % 2 = 0 THEN 'en' ELSE 'bg' END AS locale, t.label FROM documents d

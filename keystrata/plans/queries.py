@@ -9,6 +9,8 @@ from ..functions import geometry, rules, text, timing
 from ..operators import events as ev
 from ..operators import inventory as inv
 from ..operators import keyed, lookup
+from ..sources import documents as docs_
+from ..sources import store
 from ..sources.store import table
 
 
@@ -80,8 +82,18 @@ def _selected(s: SparkSession, d: str) -> DataFrame:
     return _events(s, d).select("event_id", F.nullif("event_type", F.lit("error")).alias("selector"))
 
 
+#: Fixed values of the checks: rules with repeated keys, by position.
+REPEATED = [(2, "view", "late"), (1, "view", "first"), (3, "click", "only"), (0, "<default>", "default"), (5, "<default>", "never")]
+
+
 def lookup_first(s: SparkSession, d: str) -> DataFrame:
-    return lookup.lookup(_selected(s, d), _rules(s), "selector", "k").select("event_id", "base")
+    rules_ = lookup.inline(s, ["pos", "k", "base"], REPEATED)
+    return lookup.lookup(_selected(s, d), rules_, "selector", "k", ["pos"]).select("event_id", "base")
+
+
+def default_first(s: SparkSession, d: str) -> DataFrame:
+    rules_ = lookup.inline(s, ["pos", "k", "base"], REPEATED)
+    return lookup.decision_overlay(_selected(s, d), rules_, "selector", "k", "<default>", ["pos"]).select("event_id", "base")
 
 
 def decision_overlay(s: SparkSession, d: str) -> DataFrame:
@@ -108,6 +120,13 @@ def health_classify(s: SparkSession, d: str) -> DataFrame:
     return _events(s, d).select("event_id", rules.health_v1(status, failed, latency).alias("v1"), rules.health_v2(status, failed).alias("v2"))
 
 
+def callback_hook(s: SparkSession, d: str) -> DataFrame:
+    """A hook in the place of the path: it gets the environment's, and its null rejects the hit."""
+    e = _events(s, d)
+    hooked = rules.coalesce_chain(F.lit(None), F.lit(None), F.concat(F.lit("/"), "event_type"), lambda p: F.when(F.col("user_id") % 3 != 0, F.upper(p)))
+    return e.select("event_id", hooked.alias("p")).where("p is not null")
+
+
 def zip_positions(s: SparkSession, d: str) -> DataFrame:
     rows = lookup.zip_positions(table(s, d, "embeddings"), F.slice("embedding", 1, 32), F.slice("embedding", 33, 32), "vec_id")
     return rows.select("vec_id", "pos", "ui_row", F.col("a").cast("double").alias("a"), F.col("b").cast("double").alias("b"))
@@ -136,7 +155,7 @@ def private_host(s: SparkSession, d: str) -> DataFrame:
 
 
 def query_string(s: SparkSession, d: str) -> DataFrame:
-    pairs = [("p", F.concat(F.lit("/a b'(é)~*!/"), F.col("event_type"))), ("e", F.col("event_type") == "click"), ("b", F.col("user_id") % 2), ("t", F.when(F.col("user_id") % 3 == 0, "").otherwise(F.col("props")))]
+    pairs = [("p", F.concat(F.lit("/a b'(é)~*!/"), F.col("event_type"))), ("e", F.col("event_type") == "click"), ("b", F.col("user_id") % 2), ("t", F.when(F.col("user_id") % 3 == 0, "").otherwise(F.col("props"))), ("f", F.when(F.col("user_id") % 2 == 0, "false").otherwise("true"))]
     return _events(s, d).select("event_id", text.query_string(pairs).alias("q"))
 
 
@@ -170,7 +189,7 @@ def toggle_parity(s: SparkSession, d: str) -> DataFrame:
 
 
 def _ring(of: str = "embedding"):
-    return F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.array(F.get(F.col(of), 2 * i).cast("double"), F.get(F.col(of), 2 * i + 1).cast("double")))
+    return F.transform(F.sequence(F.lit(0), F.floor(F.size(of) / 2).cast("int") - 1), lambda i: F.array(F.get(F.col(of), 2 * i).cast("double"), F.get(F.col(of), 2 * i + 1).cast("double")))
 
 
 def ring_area(s: SparkSession, d: str) -> DataFrame:
@@ -184,7 +203,7 @@ def ring_bbox(s: SparkSession, d: str) -> DataFrame:
 def axis_swap(s: SparkSession, d: str) -> DataFrame:
     order = F.when(F.col("label") % 2 == 0, "Y(E), X(N)").otherwise("X(N), Y(E)")
     swapped = table(s, d, "embeddings").select("vec_id", geometry.axis_swap(_ring(), order).alias("ring"))
-    return swapped.select("vec_id", F.col("ring")[0][0].alias("x0"), F.col("ring")[0][1].alias("y0"), F.col("ring")[31][0].alias("x31"))
+    return swapped.select("vec_id", F.col("ring")[0][0].alias("x0"), F.col("ring")[0][1].alias("y0"), F.element_at("ring", -1)[0].alias("x_last"))
 
 
 def point_check(s: SparkSession, d: str) -> DataFrame:
@@ -202,9 +221,20 @@ def unit_convert(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "part").select("p_partkey", F.round(ha, 2).alias("ha"), F.round(dka, 1).alias("dka"))
 
 
+#: Fixed values of the checks: irregular, overlapping, empty and odd ranges.
+SIZES = [("low", "1-7"), ("mid", "5-20"), ("one", "20-20"), ("wide", "13-49"), ("none", "9-3"), ("odd", "x"), ("far", "48-4000"), ("below", "0-2")]
+
+
 def range_expand(s: SparkSession, d: str) -> DataFrame:
-    placed = inv.place_in_ranges(table(s, d, "part").select("p_partkey", "p_size"), "p_size", 10)
-    return placed.groupBy("range_low", "range_high").agg(F.count("*").alias("n"), F.sum("p_size").alias("total"))
+    ranges = lookup.inline(s, ["name", "r"], SIZES)
+    low, high = inv.range_bounds(F.col("r"))
+    placed = inv.in_ranges(table(s, d, "part").select("p_partkey", "p_size"), "p_size", ranges.select("name", low.alias("low"), high.alias("high")), "low", "high")
+    return placed.groupBy("name", "low", "high").agg(F.count("*").alias("n"), F.sum("p_size").alias("total"))
+
+
+def range_tiling(s: SparkSession, d: str) -> DataFrame:
+    orders = table(s, d, "orders").select("o_custkey", (F.col("o_orderkey") % 1000).cast("long").alias("low"))
+    return inv.range_tiling(orders.withColumn("high", F.col("low") + F.col("o_custkey") % 40 - 3), "o_custkey", "low", "high")
 
 
 def range_tiles(s: SparkSession, d: str) -> DataFrame:
@@ -233,7 +263,7 @@ def parent_child(s: SparkSession, d: str) -> DataFrame:
 def secondary_match(s: SparkSession, d: str) -> DataFrame:
     left = table(s, d, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("nation"), F.floor("c_acctbal").alias("bal"))
     right = table(s, d, "supplier").select("s_suppkey", F.nullif("s_nationkey", F.lit(3)).alias("nation"), F.floor("s_acctbal").alias("bal"))
-    return inv.secondary_match(left.withColumn("bal", F.col("bal") % 50), right.withColumn("bal", F.col("bal") % 50), ["nation", "bal"]).groupBy("nation").agg(F.count("*").alias("n"))
+    return inv.secondary_counts(left.withColumn("bal", F.col("bal") % 50), right.withColumn("bal", F.col("bal") % 50), ["nation", "bal"], "nation")
 
 
 def reconcile(s: SparkSession, d: str) -> DataFrame:
@@ -263,8 +293,10 @@ def layer_union(s: SparkSession, d: str) -> DataFrame:
 
 def curated_overlay(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "part").select(F.col("p_brand").alias("osm_type"), F.col("p_partkey").alias("osm_id"), F.lit("feature").alias("origin"))
-    curated = rows.where("osm_id % 5 = 0").withColumn("osm_id", F.col("osm_id") * 2).withColumn("origin", F.lit("curated"))
-    return inv.curated_overlay(rows, curated, ["osm_type", "osm_id"])
+    # of every fifth part one that is there and one that isn't, both twice, and some without a key
+    curated = rows.where("osm_id % 5 = 0").withColumn("osm_id", F.explode(F.array("osm_id", F.col("osm_id") + 10_000_000))).withColumn("origin", F.explode(F.array(F.lit("late"), F.lit("early"))))
+    curated = curated.withColumn("osm_id", F.nullif("osm_id", F.when(F.col("osm_id") % 3 == 0, F.col("osm_id"))))
+    return inv.curated_overlay(rows, curated, ["osm_type", "osm_id"], ["origin"])
 
 
 def month_key(s: SparkSession, d: str) -> DataFrame:
@@ -293,13 +325,16 @@ def enum_dispatch(s: SparkSession, d: str) -> DataFrame:
 
 def url_builder(s: SparkSession, d: str) -> DataFrame:
     params = [("style", F.when(F.col("turn") == 1, "a&b=c")), ("start", F.nullif("role", F.lit("user")))]
-    url = text.widget_url("https://a.example/count", F.concat(F.lit("/a b/"), F.col("role")), F.when(F.col("turn") > 2, "png"), F.col("turn") == 0, params)
+    url = text.widget_url("https://a.example/count", F.concat(F.lit("/a b/"), F.col("role")), F.when(F.col("turn") > 2, "png").when(F.col("turn") == 2, ""), F.col("turn") == 0, params)
     return table(s, d, "conversations").select("conv_id", "turn", url.alias("url"))
 
 
 def endpoint_url(s: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("s_acctbal") < 0, "prowlarr").otherwise("jackett")
-    url = text.endpoint_url(F.when(F.col("s_nationkey") % 2 == 0, "https://").when(F.col("s_nationkey") % 3 == 0, "http://"), F.concat(F.lit("h"), F.col("s_suppkey").cast("string"), F.lit(".example")), kind, F.nullif("s_name", F.when(F.col("s_suppkey") % 3 == 0, F.col("s_name"))))
+    selector = F.when(F.col("s_nationkey") % 3 == 0, F.concat(F.lit("own_"), kind)).otherwise(F.col("s_nationkey").cast("string"))
+    host = F.concat(F.lit("h"), (F.col("s_suppkey") % 5).cast("string"), F.lit(".example"))
+    key = F.nullif("s_name", F.when(F.col("s_suppkey") % 4 == 0, F.col("s_name")))
+    url = text.endpoint_url("https://", host, kind, key, selector, {"own_jackett": "jackett", "own_prowlarr": "prowlarr"}, {"h2.example": "2"})
     return table(s, d, "supplier").select("s_suppkey", url.alias("url"))
 
 
@@ -336,8 +371,56 @@ def route_live(s: SparkSession, d: str) -> DataFrame:
     return inv.route_live(_events(s, d).select("event_id", "event_type"), F.col("event_type") == "view").select("event_id", "route")
 
 
+def _written(s: SparkSession, d: str) -> str:
+    """A (key, value) store, written twice as a whole: the second replaces the first."""
+    path = store.scratch(s)
+    store.put(table(s, d, "nation").select(F.col("n_name").alias("key"), F.lit("old").alias("value")), path)
+    nation = table(s, d, "nation").where("n_nationkey < 20").select(F.col("n_name").alias("key"), F.when(F.col("n_nationkey") % 5 != 0, F.concat(F.lit("v"), F.col("n_regionkey").cast("string"))).alias("value"))
+    store.put(nation, path)
+    return path
+
+
+def store_sink(s: SparkSession, d: str) -> DataFrame:
+    return s.read.schema("key string, value string").parquet(_written(s, d))
+
+
+def store_scan(s: SparkSession, d: str) -> DataFrame:
+    """A key that is there, one without a value, one absent, and one absent without a default."""
+    held = s.read.schema("key string, value string").parquet(_written(s, d))
+    asked = [("NATION_7", "d"), ("NATION_5", "d"), ("NATION_21", "d"), ("NATION_22", None)]
+    parts = [store.get(held, key, default).select(F.lit(key).alias("key"), "value") for key, default in asked]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+_INVENTORY = "version int, region bigint, features array<struct<id:bigint, name:string, note:string>>"
+
+
+def _inventory(s: SparkSession, d: str) -> str:
+    """A document a region, and an index that lists three of them in an order of its own."""
+    path = store.scratch(s)
+    nation = table(s, d, "nation")
+    feature = F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 2 == 0, "even").alias("note"))
+    docs = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(feature)).alias("features")).select(F.lit(1).alias("version"), F.col("n_regionkey").alias("region"), "features")
+    docs_.write_documents(path, {f"region-{i}.json": docs.where(F.col("region") == i) for i in range(5)})
+    index = s.range(1).select(F.array(*(F.lit(f"data/region-{i}.json") for i in (3, 0, 4))).alias("files"))
+    docs_.write_documents(path, {"index.json": index})
+    return path
+
+
+def json_documents(s: SparkSession, d: str) -> DataFrame:
+    path = _inventory(s, d)
+    found = docs_.documents(s, [f"{path}/region-{i}.json" for i in range(5)], _INVENTORY)
+    return docs_.exploded(found, "features", "region").select("region", "pos", "id", "name", "note")
+
+
+def manifest_scan(s: SparkSession, d: str) -> DataFrame:
+    found = docs_.from_manifest(s, f"{_inventory(s, d)}/index.json", _INVENTORY)
+    return found.select("file_no", "version", "region", F.size("features").alias("n"))
+
+
 def queries() -> dict:
     own = (
+        store_scan, store_sink, json_documents, manifest_scan, callback_hook, default_first, range_tiling,
         remove_key_nullsafe, contains_key, status_binary, status_tristate, guarded_append, append_outcome, load_guard, write_barrier,
         replace_first, chained_rewrite, lookup_first, decision_overlay, settings_unpivot, fold_to_map, health_classify, zip_positions,
         coalesce_chain, first_true_code, reject_reason, private_host, query_string, query_param, canonical_path, json_allowlist,

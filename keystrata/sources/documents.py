@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The shapes of the shipped inventories.
-SITES = "id STRING, name STRING, type STRING, osmType STRING, osmId BIGINT, lon DOUBLE, lat DOUBLE, source STRING"
+#: The shape of the shipped inventories' features.
 FEATURE = "parentId STRING, name STRING, component STRING, geometryStatus STRING, osmType STRING, osmId BIGINT, evidence STRING, note STRING, lon DOUBLE, lat DOUBLE, areaDka DOUBLE, sourceCrs STRING"
 
 
@@ -45,5 +42,18 @@ def from_manifest(spark: SparkSession, index_path: str, schema: str, field: str
     return documents(spark, paths, schema).withColumn("file_no", F.array_position(names, F.element_at(F.split("path", "/"), -1)).cast("int") - 1)
 
 
-def to_json_text(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False)
+def write_documents(folder: str, documents: dict[str, DataFrame]) -> None:
+    """Write each named DataFrame's rows, one JSON object each, as folder/name; one object makes one document.
+
+    Names stay as given, so an index can list them. Each is written by one task: documents are small.
+    """
+    for name, rows in documents.items():
+        context = rows.sparkSession.sparkContext
+        made = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}")
+        rows.coalesce(1).write.mode("overwrite").json(made.toString())
+        files = made.getFileSystem(context._jsc.hadoopConfiguration())
+        part = next(p for p in (f.getPath() for f in files.listStatus(made)) if p.getName().startswith("part-"))
+        target = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        files.delete(target, True)
+        files.rename(part, target)
+        files.delete(made, True)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder name under spark.checkpoint.dir, which a cluster shares; a local session may go without."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='keystrata-')}/{uuid.uuid4().hex}"
+
+
 def get(store: DataFrame, key: str, default: str | None = None) -> DataFrame:
     """One row with the value of key in a (key, value) table, or the default: absent and null alike."""
     return store.where(F.col("key").eqNullSafe(key)).agg(F.coalesce(F.max("value"), F.lit(default).cast("string")).alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,9 @@ def test_health_versions(spark):
 def test_query_strings(spark):
     q = text.query_string([("b", F.lit(0)), ("e", F.lit(False)), ("t", F.lit("")), ("n", F.lit(None).cast("string")), ("p", F.lit("/a b"))])
     assert column(spark, q) == "?b=0&p=%2Fa%20b"
+    assert column(spark, text.query_string([("s", F.lit("false")), ("b", F.lit(False))])) == "?s=false"
+    assert column(spark, text.widget_url("x", F.lit("/a"), F.lit(""), F.lit(False), [])) == "xer/%2Fa.html?"
+    assert column(spark, text.widget_url("x", F.lit(""), F.lit("png"), F.lit(True), [], F.lit("/here"))) == "xer/%2Fhere.png?&no_branding=1"
     assert column(spark, text.encode_component(F.col("x")), x="a b!'()*~-_.é/+") == "a%20b!'()*~-_.%C3%A9%2F%2B"
     assert column(spark, text.query_param(F.col("q"), "a"), q="?A=1&a=2") == "1"
     assert column(spark, text.query_param(F.col("q"), "z"), q="?A=1") is None
@@ -174,3 +178,92 @@ def test_lookup_takes_the_first_rule_of_a_repeated_key(spark):
     assert [(r.id, r.url) for r in lookup.lookup(rows, rules_table, "sel", "k", ["at"]).collect()] == [(1, "soon")]
     assert {(r.id, r.url) for r in lookup.decision_overlay(rows, rules_table, "sel", "k", "<default>").collect()} == {(1, "soon"), (2, "z")}
     assert lookup.decision_overlay(rows, rules_table, "sel", "k", "<default>", ["url"]).where("id = 2").first().url == "a"
+
+
+def test_endpoint_keys(spark):
+    own, fixed = {"mine_j": "jackett", "mine_p": "prowlarr"}, {"h2.example": "2"}
+
+    def url(host, kind, key, selector):
+        return column(spark, text.endpoint_url("https://", F.lit(host), F.lit(kind), F.lit(key), F.lit(selector), own, fixed))
+
+    first, second = "/api/v1/health?apikey=", "/api/v2.0/indexers/status:healthy/results?apikey="
+    assert url("h.example", "prowlarr", "k", "other") == f"https://h.example{first}k"
+    assert url("http://h.example", "prowlarr", "k", "mine_p") == f"http://h.example{first}k"
+    assert url("h.example", "jackett", "k", "other") == f"https://h.example{second}"
+    assert url("http://h.example", "jackett", "k", "mine_j") == f"http://h.example{second}k"
+    assert url("h2.example", "jackett", "k", "mine_j") == f"h2.example{second}2"
+    assert url("h.example", "jackett", None, None) == f"https://h.example{second}"
+
+
+def test_hook_gets_the_environment_and_may_reject(spark):
+    chain = lambda hook: rules.coalesce_chain(F.lit("arg"), F.lit(None), F.lit("env"), hook)
+    assert column(spark, chain(None)) == "arg"
+    assert column(spark, chain(F.upper)) == "ENV"
+    assert column(spark, chain(lambda x: F.nullif(x, F.lit("env")))) is None
+
+
+#: An open ring in metres, its area in dka and its box.
+RING = [
+    (4524101.82, 9431680.69), (4523654.81, 9432386.93), (4523652.11, 9434282.66), (4523858.87, 9434800.91), (4524503.3, 9434806.23),
+    (4524506.01, 9436001.18), (4523144.74, 9437999.2), (4522026.7, 9437668.02), (4521795.83, 9435270.99), (4519788.19, 9435482.92),
+    (4519617.69, 9435100.29), (4520201.71, 9434306.81), (4521926.99, 9434306.67), (4522557.74, 9431667.52),
+]
+
+
+def test_golden_ring(spark):
+    ring = F.lit([list(p) for p in RING])
+    assert column(spark, geometry.ring_area_dka(ring)) == 13700.769
+    assert tuple(column(spark, geometry.bbox(ring))) == (4519617.69, 9431667.52, 4524506.01, 9437999.2)
+    assert column(spark, F.size(ring)) == 14
+    swapped = geometry.axis_swap(F.lit([[y, x] for x, y in RING]), F.lit("Y(E), X(N)"))
+    assert column(spark, geometry.ring_area_dka(swapped)) == 13700.769
+    assert [round(column(spark, u), 2) for u in geometry.km2_units(F.lit(467.7558))] == [46775.58, 467755.8]
+
+
+def test_range_join_matches_brute_force(spark):
+    rng = random.Random(3)
+    made = [(i, a := rng.randint(-50, 300), a + rng.choice([-1, 0, 1, 7, 64, 500])) for i in range(60)] + [(99, None, 5)]
+    values = [None, *(rng.randint(-60, 900) for _ in range(200))]
+    points, ranges = spark.createDataFrame([(v,) for v in values], "v long"), spark.createDataFrame(made, "i int, low long, high long")
+    got = sorted((r.v, r.i) for r in inventory.in_ranges(points, "v", ranges, "low", "high").collect())
+    assert got == sorted((v, i) for v in values if v is not None for i, low, high in made if low is not None and low <= v <= high)
+    assert inventory.in_ranges(points, "v", ranges.where("false"), "low", "high").count() == 0
+
+
+def test_tiling_of_contours(spark):
+    rows = spark.createDataFrame([("c", 1, 160), ("c", 161, 395), ("d", 1, 193), ("d", 150, 160), ("d", 200, 210), ("e", 3, 1)], "g string, low int, high int")
+    got = {r.g: tuple(r)[1:] for r in inventory.range_tiling(rows, "g", "low", "high").collect()}
+    assert got == {"c": (395, 1, 395, 0, 0), "d": (215, 1, 210, 1, 1)}
+
+
+def test_curated_rows_replace_others_once(spark):
+    rows = spark.createDataFrame([("way", 1, "old"), ("way", 1, "old too"), ("way", 2, "kept"), (None, 3, "free")], "t string, i int, n string")
+    curated = spark.createDataFrame([("way", 1, "b"), ("way", 1, "a"), ("node", 9, "new"), (None, 3, "x"), (None, 3, "x")], "t string, i int, n string")
+    got = inventory.curated_overlay(rows, curated, ["t", "i"], ["n"]).collect()
+    assert sorted(r.n for r in got) == ["a", "free", "kept", "new", "x", "x"]
+
+
+def test_secondary_counts_are_those_of_the_join(spark):
+    rng = random.Random(1)
+    left, right = (spark.createDataFrame([(rng.choice([1, 2, None]), rng.randrange(3)) for _ in range(40)], "a int, b int") for _ in range(2))
+    want = {r.a: r["count"] for r in inventory.secondary_match(left, right, ["a", "b"]).groupBy("a").count().collect()}
+    assert {r.a: r.n for r in inventory.secondary_counts(left, right, ["a", "b"], "a").collect()} == want
+
+
+def test_store_column_and_written_documents(spark, tmp_path):
+    values = F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit(None).cast("string"))
+    assert [column(spark, store.get_column(values, k, "d")) for k in "abc"] == ["1", "d", "d"]
+    one = spark.range(1).select(F.lit("x").alias("name"))
+    documents.write_documents(str(tmp_path / "docs"), {"one.json": one, "two.json": one})
+    documents.write_documents(str(tmp_path / "docs"), {"one.json": one.withColumn("name", F.lit("y"))})
+    found = documents.documents(spark, [str(tmp_path / "docs" / n) for n in ("one.json", "two.json")], "name string")
+    assert sorted(r.name for r in found.collect()) == ["x", "y"]
+
+
+def test_streaming_throttle(spark, tmp_path):
+    rows = spark.sql("select 'k' as k, timestamp_millis(id * 30) as ts from range(4)")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    q = hits.throttled(stream, "k", "ts").writeStream.format("memory").outputMode("complete").queryName("throttled").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted(r.n for r in spark.table("throttled").collect()) == [1, 1, 2]
