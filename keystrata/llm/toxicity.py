@@ -29,10 +29,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _SPACE, _VALUES, _power_table, buffers, cut, mix64, release, runs
+from .common import _SPACE, _VALUES, _power_table, buffers, mix64, runs
 
 BITS = 20
 PREFIXES = (5, 6, 7, 8)
@@ -173,13 +174,17 @@ def _loss(margin: np.ndarray, label: np.ndarray) -> float:
 
 
 def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: int = 2_048, pairs_kept: int = 128, least: float = 12.0, ridges: tuple[float, ...] = (2e-4, 3e-3)) -> Model:
-    """The machine of a sample in memory: distinct (row, bucket) pairs, rows in order, and both kinds of labels."""
+    """The machine of a sample in memory: distinct (row, bucket) pairs, rows in order, and both kinds of labels.
+
+    To spare memory, bucket (int32) is overwritten.
+    """
     seen = np.bincount(bucket, minlength=1 << BITS)
     slot = np.where(seen >= 2, np.cumsum(seen >= 2) - 1, -1).astype(np.int32)
     names = np.flatnonzero(seen >= 2)
     size, seen, n = len(names), seen[names], len(label)
-    shared = slot[bucket] >= 0
-    row, term = row[shared], slot[bucket[shared]]
+    np.take(slot, bucket, out=bucket, mode="clip")
+    shared = bucket >= 0
+    row, term = row[shared], bucket[shared]
     grown = np.sqrt((explore(row, term, label, size)[:, 1:] ** 2).sum(1) * seen) if size else np.zeros(0)
     toxic = np.bincount(term, label[row], size)
     n1 = label.sum()
@@ -235,16 +240,25 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, sample_
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("doc_id", "toxic", "at")), lists], ["doc_id", "toxic", "at", "terms"])
 
-    taken = cut(sample.select("doc_id", "toxic", "at", "text").mapInArrow(gather, "doc_id long, toxic int, at long, terms array<int>"))
+    # two passes over a bounded table: how much there is, and what is taken
+    taken = sample.select("doc_id", "toxic", "at", "text").mapInArrow(gather, "doc_id long, toxic int, at long, terms array<int>").persist(StorageLevel.DISK_ONLY)
     sizes = taken.select("at", F.size("terms").alias("n")).toPandas().sort_values("at")
-    within = sizes["at"].to_numpy()[np.cumsum(sizes["n"].to_numpy()) <= sample_pairs]
-    got = taken.where(F.col("at") <= int(within[-1])).select("toxic", "at", "terms").toArrow().sort_by("at") if len(within) else taken.limit(0).toArrow()
-    release(taken)
-    label = (np.asarray(got.column("toxic")) != 0).astype(float)
+    within = np.cumsum(sizes["n"].to_numpy()) <= sample_pairs
+    last, total = (int(sizes["at"].to_numpy()[within][-1]), int(sizes["n"].to_numpy()[within].sum())) if within.any() else (-(2**63), 0)
+    parts = taken.where(F.col("at") <= last).orderBy("at").select("toxic", "terms").toArrow().to_batches()
+    taken.unpersist()
+    label = (np.concatenate([np.zeros(0, np.int32), *(np.asarray(p.column("toxic")) for p in parts)]) != 0).astype(float)
     if not len(label) or label.min() == label.max():
         return Model(empty.slot, 30.0 if len(label) and label.max() else -30.0, np.zeros(1), np.zeros((1, 1)))
-    bucket = np.asarray(got.column("terms").combine_chunks().flatten())
-    row = np.repeat(np.arange(len(got), dtype=np.int32), np.asarray(pa.compute.list_value_length(got.column("terms")), np.int64))
+    bucket, counts, at = np.empty(total, np.int32), [], 0
+    for p in parts:
+        own = p.column("terms")
+        counts.append(np.asarray(pa.compute.list_value_length(own), np.int64))
+        flat = np.asarray(own.flatten())
+        bucket[at : at + len(flat)] = flat
+        at += len(flat)
+    del parts, p, own, flat
+    row = np.repeat(np.arange(len(label), dtype=np.int32), np.concatenate(counts))
     return learn(row, bucket, label)
 
 
