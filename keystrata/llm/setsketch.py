@@ -17,7 +17,7 @@ become likelier with similarity (locality-sensitive). The steps:
    left. Buckets of up to `SMALL` members are paired by a join, again on registers first; larger
    ones are first narrowed in tiles of registers to the members with a likely partner elsewhere,
    and those compared in tiles of full sets, bounded by rows and by bytes, which give only the
-   links that join components. Every join with a centre or a bucket deals hot keys over several
+   links that join components. A pair that shares several large buckets is met in the first only. Every join with a centre or a bucket deals hot keys over several
    tasks. No bucket is capped.
 5. Every link is confirmed on the full sets; links are joined into components.
 
@@ -47,7 +47,7 @@ from .common import buffers, cut, mix64, release, runs, shingles, spread, stream
 from .components import components
 
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-TILE, SMALL, TILE_BYTES = 4_096, 32, 8 << 20
+SMALL, TILE, SET_TILE, TILE_BYTES = 32, 16_384, 2_048, 8 << 20
 FEW = 1_000_000
 
 
@@ -193,23 +193,31 @@ def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return spread(left, b, "b", F.col("a"), *_tally(pairs), how="left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
+def _first_here(large: np.ndarray, x: int, others: np.ndarray, at: int) -> np.ndarray:
+    """Those of others that share no earlier large bucket with x than the one of band number `at`."""
+    shared = (large[others] == large[x]) & (large[x] != 0)
+    return others[shared.argmax(1) == at]
+
+
 def _narrow(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFrame:
-    """Members of a tile that have a likely partner in another component."""
+    """Members of a tile that have a likely partner in another component, met here first."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
     k = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), m)
-    n, block, part = group["n_shingles"].to_numpy(), group["block"].to_numpy(), group["component"].to_numpy()
+    n, block, part, large = group["n_shingles"].to_numpy(), group["block"].to_numpy(), group["component"].to_numpy(), np.stack(group["large"].to_numpy())
+    at = int(np.flatnonzero(large[0] == group["band"].iloc[0])[0])
     wanted = np.zeros(len(group), bool)
     for x in np.flatnonzero(block == i):
-        others = np.flatnonzero((block == j) & (part != part[x]) & (100 * np.minimum(n[x], n) >= percent * np.maximum(n[x], n)))
+        others = np.flatnonzero((block == j) & (part != part[x]) & ((np.arange(len(n)) > x) | (i != j)) & (100 * np.minimum(n[x], n) >= percent * np.maximum(n[x], n)))
+        others = _first_here(large, x, others, at)
         if len(others):
             near = others[reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)]
             wanted[near] = True
             wanted[x] |= len(near) > 0
-    return group.loc[wanted, ["band", "c"]]
+    return group.loc[wanted, ["band", "c", "component", "n_shingles", "registers", "large"]]
 
 
 def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFrame:
-    """Verified links between a tile's components, one for each two components joined."""
+    """Verified links between a tile's components, of pairs met here first; one for each two components joined."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
     group = group.sort_values(["block", "c"], kind="stable")
     k = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), m)
@@ -218,6 +226,8 @@ def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFra
     names, member = np.unique(np.frombuffer(b"".join(group["members"]), np.uint64), return_inverse=True)
     held = np.zeros(len(names), bool)
     labels, part = np.unique(group["component"].to_numpy(), return_inverse=True)
+    large = np.stack(group["large"].to_numpy())
+    at = int(np.flatnonzero(large[0] == group["band"].iloc[0])[0])
     joined = np.arange(len(labels))
     found = []
     for x in np.flatnonzero(block == i):
@@ -225,6 +235,7 @@ def _tile(group: pd.DataFrame, percent: int, least: float, m: int) -> pd.DataFra
         others = np.flatnonzero((block == j) & (now != now[x]) & ((np.arange(len(ids)) > x) | (i != j)))
         # sizes too far apart can't reach the similarity
         others = others[100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others])]
+        others = _first_here(large, x, others, at)
         if len(others):
             others = others[reaches(k[x], k[others], n[x].astype(float), n[others].astype(float), least)]
         if not len(others):
@@ -247,17 +258,20 @@ def _tiled(rows: DataFrame, tiles: DataFrame) -> DataFrame:
     return placed.withColumn("pair", F.explode(pair)).select("*", "pair.i", "pair.j").drop("pair", "tiles")
 
 
-def _from_large(placed: DataFrame, large: DataFrame, facts: DataFrame, sets_of, percent: int, least: float, m: int) -> DataFrame:
+def _from_large(placed: DataFrame, large: DataFrame, classes: DataFrame, sets_of, percent: int, least: float, m: int) -> DataFrame:
     """Links between components that share a large bucket; large: band, n of each."""
     tiles = large.select("band", "n", (F.floor(F.col("n") / TILE) + 1).cast("int").alias("tiles"))
-    known = _tiled(placed.select("band", "c", "component"), tiles).join(facts, "c")
-    wanted = cut(known.groupBy("band", "i", "j").applyInPandas(lambda g: _narrow(g, percent, least, m), "band long, c long").distinct())
-    sized = wanted.join(facts.select("c", "n_shingles"), "c").groupBy("band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
-    tiles = cut(sized.select("band", "n", (F.greatest(F.floor(F.col("n") / TILE), F.floor(F.col("size") * 8 / TILE_BYTES)) + 1).cast("int").alias("tiles")))
-    rows = wanted.join(placed.select("band", "c", "component"), ["band", "c"])
-    whole = _tiled(rows, tiles).join(facts, "c").join(sets_of(wanted.select("c").distinct()), "c")
+    rows = cut(spread(placed.select("band", "c", "component"), tiles, "band", F.col("c"), tiles.select("band", "n")).select("band", "c", "component"))
+    # each class with the large buckets it is in, in their places among its bands; a pair is met in the first it shares
+    own = rows.groupBy("c").agg(F.collect_set("band").alias("own"))
+    facts = cut(classes.join(own, "c").select("c", "registers", "n_shingles", F.transform("bands", lambda b: F.when(F.array_contains("own", b), b).otherwise(F.lit(0).cast("long"))).alias("large")))
+    schema = "band long, c long, component long, n_shingles long, registers binary, large array<long>"
+    wanted = cut(_tiled(rows, tiles).join(facts, "c").groupBy("band", "i", "j").applyInPandas(lambda g: _narrow(g, percent, least, m), schema).dropDuplicates(["band", "c"]))
+    sized = wanted.groupBy("band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    tiles = cut(sized.select("band", "n", (F.greatest(F.floor(F.col("n") / SET_TILE), F.floor(F.col("size") * 8 / TILE_BYTES)) + 1).cast("int").alias("tiles")))
+    whole = _tiled(wanted, tiles).join(sets_of(wanted.select("c").distinct()), "c")
     links = cut(whole.groupBy("band", "i", "j").applyInPandas(lambda g: _tile(g, percent, least, m), "a long, b long"))
-    release(wanted, tiles)
+    release(rows, facts, wanted, tiles)
     return links
 
 
@@ -306,7 +320,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         links = links.unionByName(verified(few, cut(sets_of(few.select(F.explode(F.array("a", "b")).alias("c")).distinct())), percent))
     large = open_.where(F.col("n") > SMALL)
     if not large.isEmpty():
-        links = links.unionByName(_from_large(placed, large, facts, sets_of, percent, least, m))
+        links = links.unionByName(_from_large(placed, large, classes, sets_of, percent, least, m))
     linked = cut(components(links))
     groups = cut(classes.join(linked, F.col("c") == F.col("node"), "left").select("digest", "id", "rows", F.coalesce("component", "c").alias("group")))
     release(shared, members, stars, likely, sets, best, first, rest, second, placed, open_, few)

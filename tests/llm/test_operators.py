@@ -352,6 +352,7 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, small):
     texts += ["", None, " \t", "Solo", "solo", "a B", "A b", texts[0]]
     monkeypatch.setattr(setsketch, "SMALL", small)
     monkeypatch.setattr(setsketch, "TILE", 16)
+    monkeypatch.setattr(setsketch, "SET_TILE", 8)
     got = {r.id: r for r in setsketch.near_duplicates(docs_of(spark, texts), width=2).collect()}
     part, sizes = brute_classes(texts, 2)
     assert [got[i].component_id for i in range(len(texts))] == part
