@@ -215,7 +215,7 @@ def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: in
     return Model(slot, *fit(*of(chosen)[:2], label, max(1, len(chosen)), ridge=ridge))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, sample_pairs: int = 12_000_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, sample_pairs: int = 6_000_000) -> Model:
     """Fit on at most sample_rows labelled documents and sample_pairs pairs of a document and a term."""
     counted = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.avg((F.col("toxic") != 0).cast("int")).alias("share"))
     own = counted.select("doc_id", (F.col("share") >= 0.5).cast("int").alias("toxic"), F.xxhash64("doc_id", F.lit(5)).alias("at"))
