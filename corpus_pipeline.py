@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystrata.llm import decontaminate, mixing, packing, setsketch, toxicity
-from keystrata.llm.common import cut, table
+from keystrata.llm.common import cut, spread, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that score under 0.5; the model learns from the labels of documents given."""
+    """Keep documents that score under 0.5; the model learns from the labels of documents given.
+
+    Null and empty texts score the model's bias and so stay where clean ones are the most; a score
+    of 0.5 is toxic. Rows with null id are scored, never learnt from; repeated rows fare alike.
+    Without labels all stay. An empty table gives an empty one; other columns than those of
+    documents are left out.
+    """
     model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return toxicity.score(docs.select(*COLUMNS), model, COLUMNS, kept=True).select(*COLUMNS)
 
@@ -30,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = cut(setsketch.near_duplicates(docs, width=5).where("group is not null").groupBy("id", "mark").agg(F.min("group").alias("group"), F.count("*").alias("rows")))
     first = found.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "mark")).alias("first")).select("group", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
-    judged = cut(found.join(first, "group").select(F.col("id").alias("#id"), F.col("mark").alias("#mark"), "rows", (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).alias("#stays")))
+    judged = cut(spread(found, first, "group", F.struct("id", "mark")).select(F.col("id").alias("#id"), F.col("mark").alias("#mark"), "rows", (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).alias("#stays")))
     marked = docs.select(*COLUMNS).withColumn("#own", F.xxhash64("text", F.lit(7)))
     same = F.col("doc_id").eqNullSafe(F.col("#id")) & (F.col("#own") == F.col("#mark"))
     left = marked.join(judged.where("not `#stays`").select("#id", "#mark"), same, "left_anti")
@@ -42,17 +48,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item within its edit budget."""
+    """Drop documents that hold a benchmark item within its edit budget, a distance of just the budget included.
+
+    Null and empty texts hold nothing and stay; null, empty and blank items are in nothing. Repeated
+    rows fare alike. An empty table gives an empty one, an empty benchmark drops nothing.
+    """
     return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"), columns=COLUMNS, clean_only=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each whole or partial time a document is taken, n_chars made to fit."""
+    """The mix: a row for each whole or partial time a document is taken, n_chars made to fit.
+
+    Null and empty texts have no words and are never taken; a null source is a source, the last.
+    Rows whose keys tie go by id and size; repeated rows are rows each. An empty table gives an
+    empty one.
+    """
     mix = mixing.copies(mixing.mixed(docs.select(*COLUMNS)))
     return mix.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed rows of token ids of all texts; each row of docs has a number of its own in `texts`.
+
+    Null and empty texts give no tokens; null ids stay null; repeated rows are packed each. Pieces of
+    one length go in the order of docs. An empty table gives an empty one.
+    """
     return packing.packed(docs)
 
 
