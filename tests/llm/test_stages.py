@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from keystrata.llm import queries
-from tests.llm.test_operators import DOCS, FOLDER, odd_docs
+from keystrata.llm import decontaminate, mixing, packing, queries, tokenizing, toxicity
+from tests.llm.test_operators import DOCS, FOLDER, WORD, brute_classes, odd_docs, slow_distance
 
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -65,3 +67,70 @@ def test_stage_of_odd_and_empty_rows(spark, empty, odd, name, stage):
 def test_pipeline_of_empty_and_odd_tables(spark, empty, odd):
     assert corpus_pipeline.run(spark, empty).count() == 0
     assert corpus_pipeline.run(spark, odd).count() > 0
+
+
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """Documents with toxic ones, near copies and a benchmark passage; and their tables."""
+    rng, at = random.Random(11), tmp_path_factory.mktemp("planted")
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(20, 60))) for _ in range(120)]
+    texts = [f"{t} vile {t[:20]}" if i % 6 == 0 else t for i, t in enumerate(texts)]
+    for i in range(1, 40, 3):
+        own = texts[i].split()
+        own[-1] = "other"
+        texts.append(" ".join(own))
+    texts += [texts[2], texts[2].upper()]
+    item = " ".join(rng.choices(words, k=12))
+    texts += [f"{texts[4]} {item} end", f"start {item[:9]}z{item[10:]} {texts[5]}", None, "", "  "]
+    docs = spark.createDataFrame([(i, t, "en", "ab"[i % 2], len(t or "")) for i, t in enumerate(texts)], DOCS)
+    spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(0, 120)], "doc_id long, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    return docs, str(at), texts, item
+
+
+def kept(stage, spark, planted):
+    return sorted(r.doc_id for r in stage(spark, planted[0], planted[1]).collect())
+
+
+def test_stage_toxicity_drops_what_scores_high(spark, planted):
+    docs, at, texts, _ = planted
+    model = toxicity.train(docs, spark.read.parquet(f"{at}/labels.parquet"))
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    got = kept(corpus_pipeline.toxic, spark, planted)
+    assert got == [i for i in range(len(texts)) if scored[i] < 0.5]
+    assert not any(i in got for i in range(0, 120, 6)) and len(got) > 110
+
+
+def test_stage_near_duplicates_matches_brute_force(spark, planted):
+    part, _ = brute_classes(planted[2], 5)
+    assert kept(corpus_pipeline.near_duplicates, spark, planted) == [i for i, p in enumerate(part) if i == p]
+    assert len(set(part)) < len(part) - 8
+
+
+def test_stage_decontamination_matches_brute_force(spark, planted):
+    _, _, texts, item = planted
+    budget = int(len(decontaminate.normal(item)) * 0.05)
+    clean = [i for i, t in enumerate(texts) if slow_distance(decontaminate.normal(item), decontaminate.normal(t)) > budget]
+    assert kept(corpus_pipeline.decontaminated, spark, planted) == clean and len(clean) == len(texts) - 2
+
+
+def test_stage_mixing_takes_what_is_planned(spark, planted):
+    docs, at, texts, _ = planted
+    plan = {r.doc_id: r for r in mixing.mixed(docs).collect()}
+    got: dict = {}
+    for r in corpus_pipeline.mixture(spark, docs, at).collect():
+        assert r.n_chars == len(r.text) and texts[r.doc_id].startswith(r.text)
+        got.setdefault(r.doc_id, []).append(len(WORD.findall(r.text)))
+    for i, r in plan.items():
+        whole, part = divmod(r.taken, r["size"]) if r["size"] else (0, 0)
+        assert sorted(got.get(i, [])) == sorted([r["size"]] * whole + [part] * (part > 0))
+
+
+def test_stage_token_ids_round_trip(spark, planted):
+    docs, at, texts, _ = planted
+    pieces: dict = {}
+    for r in packing.segments(corpus_pipeline.tokens(spark, docs, at)).collect():
+        pieces.setdefault((r.doc_id, r.text), []).append((r.piece, r.ids))
+    back = {i: tokenizing.encoding().decode([t for _, p in sorted(x) for t in p]) for (i, _), x in pieces.items()}
+    assert back == {i: t for i, t in enumerate(texts) if t}
