@@ -48,7 +48,7 @@ from .components import components
 
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
 SMALL, TILE, SET_TILE, TILE_BYTES = 32, 16_384, 2_048, 8 << 20
-FEW = 1_000_000
+FEW, PAIR_ROWS = 1_000_000, 1_000
 
 
 def registers(sets: np.ndarray, first: np.ndarray, m: int) -> np.ndarray:
@@ -305,9 +305,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
     sets = cut(sets_of(likely.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
     best = cut(likely.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")))
-    first = cut(verified(best, sets, percent))
+    first = cut(verified(best, sets, percent), PAIR_ROWS)
     rest = cut(apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), components(first)))
-    second = cut(verified(rest, sets, percent))
+    second = cut(verified(rest, sets, percent), PAIR_ROWS)
     links = first.unionByName(second)
     known = components(links)
     placed = cut(members.select("band", "c", "n").join(known, F.col("c") == F.col("node"), "left").select("band", "c", "n", F.coalesce("component", "c").alias("component")))
@@ -317,7 +317,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     seen = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     few = cut(scored(cut(few.join(seen, ["a", "b"], "left_anti")), facts, least, m).select("a", "b"))
     if not few.isEmpty():
-        links = links.unionByName(verified(few, cut(sets_of(few.select(F.explode(F.array("a", "b")).alias("c")).distinct())), percent))
+        links = links.unionByName(cut(verified(few, cut(sets_of(few.select(F.explode(F.array("a", "b")).alias("c")).distinct())), percent), PAIR_ROWS))
     large = open_.where(F.col("n") > SMALL)
     if not large.isEmpty():
         links = links.unionByName(_from_large(placed, large, classes, sets_of, percent, least, m))
