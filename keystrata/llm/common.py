@@ -32,20 +32,19 @@ def _shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame, arrow_rows: int | None = None) -> DataFrame:
+def cut(df: DataFrame, arrow_rows: int = 2_000) -> DataFrame:
     """Write df once, as a Parquet table in the session's spark.checkpoint.dir, and read it from there.
 
     Lineage ends there, later steps read only the columns they need, and the planner knows the
     table's true size. Only a local session (as in tests) gets a folder of its own where none is
     set; a cluster's executors share no temporary folder, so there an unset folder is an error.
 
-    arrow_rows: rows of a batch sent to Python while it is written, fewer where rows are wide.
+    arrow_rows: most rows of a batch sent to Python while it is written, fewer where rows are wide.
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     given = spark.conf.get(ARROW_ROWS)
-    if arrow_rows:
-        spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(given)) if int(given) > 0 else arrow_rows))
+    spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(given)) if int(given) > 0 else arrow_rows))
     try:
         df.write.parquet(path)
     finally:

@@ -127,6 +127,7 @@ def sketch(given: DataFrame, width: int = 2, bands: int = 32, rows: int = 5) ->
                     ],
                     ["id", "mark", "n_shingles", "digest", "registers", "bands"],
                 )
+        pa.default_memory_pool().release_unused()
 
     return given.select("id", "mark", "text").mapInArrow(run, "id long, mark long, n_shingles long, digest binary, registers binary, bands array<long>")
 
@@ -142,6 +143,7 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
                 raw = pa.py_buffer(sets.tobytes())
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer((first * 8).tobytes()), raw]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column("c").slice(i, j - i), packed], ["c", "members"])
+        pa.default_memory_pool().release_unused()
 
     return texts.select("c", "text").mapInArrow(run, "c long, members binary")
 
@@ -180,6 +182,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     left, right = sets.select(F.col("c").alias("a"), F.col("members").alias("x")), sets.select(F.col("c").alias("b"), F.col("members").alias("y"))
     pairs = pairs.select("a", "b")

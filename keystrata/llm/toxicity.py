@@ -279,5 +279,6 @@ def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",),
                 out[i:j] = shared.value.score(data[at[i] : at[j]], at[i : j + 1] - at[i])
             given = pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(out)], [*columns, "score"])
             yield given.filter(pa.array(out < 0.5)) if kept else given
+        pa.default_memory_pool().release_unused()
 
     return docs.select(*asked).mapInArrow(run, schema)
