@@ -515,7 +515,7 @@ def test_chat_splits_a_long_conversation(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        cells = chat._cells(turns, chat.token_cost)
+        cells = chat._cells(turns, chat.token_cost, None)
         assert cells.where("conv_id = 7").select("cell").distinct().count() > 4
         got = {}
         for r in sorted(chat.windows(turns, 400, 60).collect(), key=lambda r: r.window):
