@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 18
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of a few numbers that make a file of some megabytes.
+FILE_ROWS = 1 << 18
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -32,7 +34,7 @@ def _shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame, arrow_rows: int = 2_000) -> DataFrame:
+def cut(df: DataFrame, arrow_rows: int = 2_000, most: int | None = None) -> DataFrame:
     """Write df once, as a Parquet table in the session's spark.checkpoint.dir, and read it from there.
 
     Lineage ends there, later steps read only the columns they need, and the planner knows the
@@ -40,8 +42,12 @@ def cut(df: DataFrame, arrow_rows: int = 2_000) -> DataFrame:
     set; a cluster's executors share no temporary folder, so there an unset folder is an error.
 
     arrow_rows: most rows of a batch sent to Python while it is written, fewer where rows are wide.
+    most: no more rows than this are written, a few numbers each; they go to one file for each FILE_ROWS
+    of them, so a small table isn't dealt over as many files as there are shuffle partitions.
     """
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(max(1, -(-most // FILE_ROWS)))
     path = f"{_shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     given = spark.conf.get(ARROW_ROWS)
     spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(given)) if int(given) > 0 else arrow_rows))

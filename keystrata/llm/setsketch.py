@@ -292,29 +292,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     classes = filled.groupBy("digest").agg(named, F.first("registers").alias("registers"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("rows"))
     # numbered as written: the number is the same for all that read it
     classes = cut(classes.select(F.monotonically_increasing_id().alias("c"), "digest", "rep.id", "rep.mark", "registers", "bands", "n_shingles", "rows"))
-    facts = classes.select("c", "registers", "n_shingles")
+    facts, found = classes.select("c", "registers", "n_shingles"), classes.count()
     buckets = classes.select(F.explode("bands").alias("band"), "c")
     shared = cut(buckets.groupBy("band").agg(F.min("c").alias("hub"), F.min_by("c", F.xxhash64("c")).alias("hub2"), F.count("*").alias("n")).where("n > 1"))
-    members = cut(spread(buckets, shared, "band", F.col("c"), shared.select("band", "n"), classes.count() * bands))
-    stars = cut(members.select("c", F.explode(F.array("hub", "hub2")).alias("b")).where("c <> b").select(F.col("c").alias("a"), "b").distinct())
+    members = cut(spread(buckets, shared, "band", F.col("c"), shared.select("band", "n"), found * bands))
+    stars = cut(members.select("c", F.explode(F.array("hub", "hub2")).alias("b")).where("c <> b").select(F.col("c").alias("a"), "b").distinct(), most=2 * members.count())
     likely = cut(scored(stars, facts, least, m))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """Full sets of the classes wanted (c), each from one row of its class."""
-        wanted = cut(wanted.join(classes.select("c", "id", "mark"), "c").select("c", F.col("id").alias("#id"), F.col("mark").alias("#mark")))
+        wanted = cut(wanted.join(classes.select("c", "id", "mark"), "c").select("c", F.col("id").alias("#id"), F.col("mark").alias("#mark")), most=found)
         named = F.broadcast(wanted) if wanted.count() <= FEW else wanted  # three numbers a row
         texts = given.join(named, given.id.eqNullSafe(F.col("#id")) & (given.mark == F.col("#mark")))
         return full_sets(texts, width).groupBy("c").agg(F.first("members").alias("members"))
 
     sets = cut(sets_of(likely.select(F.explode(F.array("a", "b")).alias("c")).distinct()))
-    best = cut(likely.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")))
+    pairs = likely.count()
+    best = cut(likely.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")), most=pairs)
     first = cut(verified(best, sets, percent), PAIR_ROWS)
-    rest = cut(apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), components(first)))
+    rest = cut(apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), components(first)), most=pairs)
     second = cut(verified(rest, sets, percent), PAIR_ROWS)
     links = first.unionByName(second)
     known = components(links)
     placed = cut(members.select("band", "c", "n").join(known, F.col("c") == F.col("node"), "left").select("band", "c", "n", F.coalesce("component", "c").alias("component")))
-    open_ = cut(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("n").alias("n")).where("low <> high").select("band", "n"))
+    open_ = cut(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("n").alias("n")).where("low <> high").select("band", "n"), most=shared.count())
     few = placed.join(open_.where(F.col("n") <= SMALL).select("band"), "band")
     few = few.alias("l").join(few.alias("r"), F.expr("l.band = r.band and l.component < r.component")).select(F.greatest("l.c", "r.c").alias("a"), F.least("l.c", "r.c").alias("b")).distinct()
     seen = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
