@@ -34,9 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     of one id with different texts are grouped by text, so those not linked stay, too. Rows
     alike in id and text are one group, of which the smallest in all columns stays.
     """
-    found = cut(setsketch.near_duplicates(docs, width=5).where("group is not null").groupBy("id", "mark").agg(F.min("group").alias("group"), F.count("*").alias("rows")))
+    found = cut(setsketch.near_duplicates(docs, width=5).where("group is not null").groupBy("id", "mark").agg(F.min("group").alias("group"), F.count("*").alias("rows")), most=docs.count())
     first = found.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "mark")).alias("first")).select("group", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
-    judged = cut(spread(found, first, "group", F.struct("id", "mark")).select(F.col("id").alias("#id"), F.col("mark").alias("#mark"), "rows", (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).alias("#stays")))
+    judged = cut(spread(found, first, "group", F.struct("id", "mark")).select(F.col("id").alias("#id"), F.col("mark").alias("#mark"), "rows", (F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).alias("#stays")), most=found.count())
     marked = docs.select(*COLUMNS).withColumn("#own", F.xxhash64("text", F.lit(7)))
     same = F.col("doc_id").eqNullSafe(F.col("#id")) & (F.col("#own") == F.col("#mark"))
     left = marked.join(judged.where("not `#stays`").select("#id", "#mark"), same, "left_anti")
