@@ -24,7 +24,7 @@ ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FILE_ROWS = 1 << 18
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         configured = context.getConf().get("spark.checkpoint.dir", None)
@@ -48,7 +48,7 @@ def cut(df: DataFrame, arrow_rows: int = 2_000, most: int | None = None) -> Data
     spark = df.sparkSession
     if most is not None:
         df = df.coalesce(max(1, -(-most // FILE_ROWS)))
-    path = f"{_shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     given = spark.conf.get(ARROW_ROWS)
     spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(given)) if int(given) > 0 else arrow_rows))
     try:

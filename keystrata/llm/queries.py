@@ -1,4 +1,4 @@
-"""The queries op1 to op10 over whole tables, and the SQL that checks those SQL can express."""
+"""The queries op1 to op13 over whole tables, and the SQL that checks those SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, chat, decontaminate, langid, linededup, mixing, packing, setsketch, topk, toxicity
+from . import attribution, chat, clickdedup, decontaminate, langid, linededup, mixing, negatives, packing, setsketch, simhash, topk, toxicity
 from .common import table
 
 HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
@@ -63,8 +63,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), columns=("doc_id",))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.labelled(table(spark, sf_dir, "embeddings"), label)
+    return negatives.mine(rows, rows.where("id % 100 = 0"))
+
+
+def op13_click_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clickdedup.expiring_windows(clickdedup.copies(table(spark, sf_dir, "clicks")))
+
+
 def queries() -> dict:
-    own = (op1_topk, op2_packing, op3_token_counts, op4_decontaminate, op5_language, op6_toxicity, op7_near_duplicates, op8_chat, op9_line_dedup, op10_mixing)
+    own = (op1_topk, op2_packing, op3_token_counts, op4_decontaminate, op5_language, op6_toxicity, op7_near_duplicates, op8_chat, op9_line_dedup, op10_mixing, op11_simhash, op12_hard_negatives, op13_click_dedup)
     return {f.__name__: f for f in own}
 
 
@@ -174,5 +188,22 @@ SELECT doc_id, size, source_size, target, (epochs * size + least(size, greatest(
 """
 
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (SELECT DISTINCT vec_id, label, e FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = v.label AS alike, v.vec_id, list_inner_product(a.e, v.e)::BIGINT AS score FROM a JOIN v ON len(a.e) = len(v.e)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.*, vec_id AS negative_id, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": _TOPK, "op7_near_duplicates": _NEAR, "op8_chat": _CHAT, "op9_line_dedup": _LINES, "op10_mixing": _MIX}
+    return {"op1_topk": _TOPK, "op7_near_duplicates": _NEAR, "op8_chat": _CHAT, "op9_line_dedup": _LINES, "op10_mixing": _MIX, "op12_hard_negatives": _NEGATIVES}
