@@ -59,6 +59,7 @@ STREAMING = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 
