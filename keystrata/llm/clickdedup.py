@@ -60,6 +60,10 @@ STREAMING = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # each start opens the stores anew, so none is kept open for it
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 
