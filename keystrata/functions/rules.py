@@ -35,8 +35,10 @@ def first_true_code(flags: list[Column], first: int = 150) -> Column:
 
 
 def reject_reason(prerendered: Column, framed: Column, local_host: Column, local_file: Column, disabled: Column, allow_frame: Column, allow_local: Column) -> Column:
-    """First reason not to count a hit; null means count it. Two switches lift two of the rules."""
-    return F.when(prerendered, "prerender").when(framed & ~allow_frame, "frame").when(local_host & ~allow_local, "localhost").when(local_file & ~allow_local, "localfile").when(disabled, "disabled")
+    """First reason not to count a hit; null means count it. Two switches lift two of the rules; a null flag or switch is off."""
+    on = lambda flag: F.coalesce(flag, F.lit(False))
+    no_frame, no_local = ~on(allow_frame), ~on(allow_local)
+    return F.when(on(prerendered), "prerender").when(on(framed) & no_frame, "frame").when(on(local_host) & no_local, "localhost").when(on(local_file) & no_local, "localfile").when(on(disabled), "disabled")
 
 
 def truthy(token: Column) -> Column:
@@ -55,6 +57,21 @@ def dispatch(kind: Column, tags: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), kind)
 
 
+def _percent(share: Column) -> Column:
+    """Rounded, halves up; null stays null."""
+    return F.floor(share + 0.5).cast("int")
+
+
+def _share(elapsed: Column, duration: float) -> Column:
+    share = elapsed / duration * 100
+    return F.when(share.isNotNull(), F.least(share, F.lit(100.0)))
+
+
 def progress(elapsed: Column, duration: float) -> Column:
-    """Integer percent, at most 100."""
-    return F.round(F.least(elapsed / duration * 100, F.lit(100.0))).cast("int")
+    """Integer percent done, at most 100."""
+    return _percent(_share(elapsed, duration))
+
+
+def remaining(elapsed: Column, duration: float) -> Column:
+    """Integer percent left, 0 at least: what is left is rounded, not what is done."""
+    return _percent(100 - _share(elapsed, duration))

@@ -64,14 +64,55 @@ def host_without_www(host: Column) -> Column:
     return F.regexp_replace(host, r"^www\.", "")
 
 
+def hostname(url: Column) -> Column:
+    """Host of a url in lower case, without user and port."""
+    return F.lower(F.regexp_replace(F.regexp_replace(host_of(url), "^.*@", ""), ":[0-9]*$", ""))
+
+
+def without_dots(path: Column) -> Column:
+    """A path with its . and .. steps taken."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    walked = F.aggregate(parts, F.array().cast("array<string>"), lambda done, p: F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(p == ".", done).otherwise(F.concat(done, F.array(p))))
+    return F.when(F.contains(path, F.lit("/.")), F.concat(F.array_join(walked, "/"), F.when(last.isin(".", ".."), "/").otherwise(""))).otherwise(path)
+
+
+def resolved(link: Column, location: Column) -> Column:
+    """A link as a whole url, seen from location: with a scheme or host of its own, from the root, a query, or relative."""
+    scheme, host = F.regexp_extract(location, "^([A-Za-z][A-Za-z0-9+.-]*:)//", 1), host_of(location)
+    path = F.regexp_extract(location, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    origin = F.concat(scheme, F.lit("//"), host)
+    folder = F.concat(F.regexp_extract(path, "^(.*)/[^/]*$", 1), F.lit("/"))
+    own = F.regexp_extract(link, r"^([^?#]*)", 1)
+    rest = F.substring(link, F.char_length(own) + 1, F.char_length(link))
+    return (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+        .when((link == "") | F.startswith(link, F.lit("#")), F.concat(origin, path, query_of(location)))
+        .when(F.startswith(link, F.lit("?")), F.concat(origin, path, link))
+        .when(F.startswith(link, F.lit("/")), F.concat(origin, without_dots(own), rest))
+        .otherwise(F.concat(origin, without_dots(F.concat(folder, own)), rest))
+    )
+
+
 def canonical_path(canonical: Column, location: Column) -> Column:
-    """Path and query of the canonical url if its host, less www., is the location's; else the location's. Empty is '/'."""
-    own = host_without_www(host_of(canonical)) == host_without_www(host_of(location))
-    chosen = F.when(F.coalesce(own, F.lit(False)), canonical).otherwise(location)
+    """Path and query of the canonical link if its host is the location's; else the location's. Empty is '/'.
+
+    Hosts are compared in lower case, without port and a leading www.; a relative link has the location's.
+    """
+    link = resolved(canonical, location)
+    own = host_without_www(hostname(link)) == host_without_www(hostname(location))
+    chosen = F.when(F.coalesce(own, F.lit(False)), link).otherwise(location)
     path = F.regexp_extract(chosen, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1)
     return F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
 
 
+def suffix(*keys: Column, seed: str = "") -> Column:
+    """Base-36 text of a hash of keys and a seed: as good as random, but the same each time (null is empty)."""
+    given = F.concat_ws("|", F.lit(seed), *(F.coalesce(k.cast("string"), F.lit("")) for k in keys))
+    return F.lower(F.conv(F.substring(F.md5(given), 1, 12), 16, 36))
+
+
 def private_host(host: Column) -> Column:
     return host.rlike(PRIVATE)
 

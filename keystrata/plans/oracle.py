@@ -30,7 +30,6 @@ def _param(name: str) -> str:
     return f"substr(list_filter(string_split(substr({query}, 2), '&'), lambda x: starts_with(lower(x), '{name}='))[1], {len(name) + 2})"
 
 
-_HOST = "regexp_extract({}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
 _PATH = "coalesce(nullif(regexp_extract({}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1), ''), '/')"
 _PAIRS = [
     ("p", "'/a b''(é)~*!/' || event_type", "TRUE"),
@@ -90,15 +89,19 @@ def oracle_sql() -> dict[str, str]:
         "coalesce_chain": "SELECT * FROM (SELECT event_id, coalesce(nullif(event_type, 'error'), CASE WHEN user_id % 2 = 0 THEN 'environment' END) AS p FROM events) WHERE p IS NOT NULL",
         "first_true_code": "SELECT event_id, CASE WHEN event_type = 'error' THEN 150 WHEN value > 150 THEN 151 WHEN user_id % 3 = 0 THEN 152 WHEN event_type = 'click' THEN 154 ELSE 0 END AS code FROM events",
         "reject_reason": """
-            WITH t AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'prerender' WHEN user_id % 5 = 0 AND user_id % 2 <> 0 THEN 'frame' WHEN value < 5 AND user_id % 3 <> 0 THEN 'localhost'
-              WHEN value < 10 AND user_id % 3 <> 0 THEN 'localfile' WHEN user_id % 7 = 0 THEN 'disabled' END AS reason FROM events)
+            WITH f AS (SELECT event_id, event_type = 'error' AND event_id % 11 <> 0 AS prerender, user_id % 5 = 0 AND event_id % 13 <> 0 AS frame, value < 5 AND event_id % 17 <> 0 AS host,
+              value < 10 AND event_id % 19 <> 0 AS file, user_id % 7 = 0 AND event_id % 23 <> 0 AS off, user_id % 2 = 0 AND event_id % 3 <> 0 AS may_frame, user_id % 3 = 0 AND event_id % 4 <> 0 AS may_local FROM events),
+            t AS (SELECT event_id, CASE WHEN prerender THEN 'prerender' WHEN frame AND NOT may_frame THEN 'frame' WHEN host AND NOT may_local THEN 'localhost'
+              WHEN file AND NOT may_local THEN 'localfile' WHEN off THEN 'disabled' END AS reason FROM f)
             SELECT event_id, reason, reason IS NULL AS counted FROM t""",
         "private_host": rf"SELECT page_id, {_HOSTS} AS host, regexp_matches({_HOSTS}, '(localhost$|^127\.|^10\.|^172\.(1[6-9]|2[0-9]|3[0-1])\.|^192\.168\.|^0\.0\.0\.0$)') AS private FROM pages",
         "query_string": f"SELECT event_id, {_QUERY} AS q FROM events",
         "query_param": f"SELECT page_id, {_param('utm_source')} AS source, {_param('page')} AS page FROM pages",
         "canonical_path": f"""
-            WITH t AS (SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN regexp_replace(url, '://www\\.', '://') WHEN 1 THEN 'https://a.example/other?x=1' END AS c FROM pages)
-            SELECT page_id, {_PATH.format(f"CASE WHEN regexp_replace({_HOST.format('c')}, '^www\\.', '') = regexp_replace({_HOST.format('url')}, '^www\\.', '') THEN c ELSE url END")} AS path, '/' AS root FROM t""",
+            WITH t AS (SELECT page_id, {_PATH.format("url")} AS own, coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/') AS p FROM pages)
+            SELECT page_id, CASE page_id % 12 WHEN 1 THEN '/Capitals?x=1' WHEN 2 THEN '/port' WHEN 4 THEN '/root?x=1' WHEN 5 THEN regexp_replace(p, '[^/]*$', '') || 'beside?x=2'
+              WHEN 6 THEN coalesce(nullif(regexp_extract(regexp_replace(p, '/[^/]*$', ''), '^(.*)/[^/]*$', 1), ''), '') || '/up/here' WHEN 7 THEN p || '?q=3'
+              WHEN 9 THEN '/scheme' WHEN 10 THEN '?only=query' ELSE own END AS path, '/' AS root FROM t""",
         "json_allowlist": "SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN json_extract_string(props, '$.k') END AS k, NULL::VARCHAR AS z FROM events",
         "bind_once": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1",
         "first_visible": "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE event_type = 'view') WHERE rn = 1",
@@ -122,7 +125,16 @@ def oracle_sql() -> dict[str, str]:
             WITH r AS (SELECT o_custkey, o_orderkey % 1000 AS low, o_orderkey % 1000 + o_custkey % 40 - 3 AS high FROM orders),
             s AS (SELECT *, max(high) OVER (PARTITION BY o_custkey ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r WHERE low <= high)
             SELECT o_custkey, sum(high - low + 1)::BIGINT AS points, min(low) AS first, max(high) AS last, count(*) FILTER (low > reach + 1) AS gaps, count(*) FILTER (low <= reach) AS overlaps FROM s GROUP BY o_custkey""",
-        "range_tiles": "SELECT p::INTEGER AS point, count(*) AS covers FROM range(1, 396) t(p) JOIN (VALUES (1, 160), (161, 395), (1, 193)) r(lo, hi) ON p BETWEEN lo AND hi GROUP BY p",
+        "range_tiles": """
+            WITH r AS (SELECT vendor_id % 90 + 1 AS lo, vendor_id % 90 + vendor_id % 37 - 1 AS hi FROM vendors)
+            SELECT p::INTEGER AS point, count(*) AS covers FROM r JOIN range(1, 200) t(p) ON p BETWEEN lo AND hi GROUP BY p""",
+        "interval_coverage": """
+            WITH i AS (SELECT client_id, datediff('day', DATE '2024-01-01', sold_at::DATE) AS low, datediff('day', DATE '2024-01-01', sold_at::DATE) + priority * 2 - 3 AS high FROM sales WHERE client_id IS NOT NULL AND sold_at IS NOT NULL),
+            s AS (SELECT *, max(high) OVER (PARTITION BY client_id ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM i WHERE low <= high),
+            n AS (SELECT *, count(*) FILTER (reach IS NULL OR low > reach + 1) OVER (PARTITION BY client_id ORDER BY low, high ROWS UNBOUNDED PRECEDING) AS no FROM s),
+            m AS (SELECT client_id, no, min(low) AS low, max(high) AS high FROM n GROUP BY client_id, no)
+            SELECT client_id, TRUE AS covered, low, high FROM m
+            UNION ALL SELECT client_id, FALSE, high + 1, next - 1 FROM (SELECT *, lead(low) OVER (PARTITION BY client_id ORDER BY no) AS next FROM m) WHERE next IS NOT NULL""",
         "id_split": "WITH t AS (SELECT p_partkey, string_split(p_name, ' ') AS s FROM part) SELECT p_partkey, (unnest(range(1, len(s) + 1)) - 1)::INTEGER AS part_no, unnest(s) AS part FROM t",
         "orphans": f"SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM ({_URGENT}) u WHERE u.c_custkey = c.c_custkey)",
         "childless": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
@@ -163,7 +175,39 @@ def oracle_sql() -> dict[str, str]:
                 WHEN s_acctbal < 0 THEN '/api/v1/health?apikey=' || CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE s_name END
                 ELSE '/api/v2.0/indexers/status:healthy/results?apikey=' || CASE WHEN s_suppkey % 5 = 2 THEN '2' WHEN s_nationkey % 3 = 0 AND s_suppkey % 4 <> 0 THEN s_name ELSE '' END
               END AS url FROM supplier""",
-        "clamp_progress": "SELECT event_id, round(least(value / 150 * 100, 100))::INTEGER AS percent, 100 - round(least(value / 150 * 100, 100))::INTEGER AS left FROM events",
+        "clamp_progress": """
+            WITH t AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN event_id % 200 * 0.75::DOUBLE ELSE value END / 150 * 100 AS p FROM events)
+            SELECT event_id, CASE WHEN p > 100 THEN 100 ELSE floor(p + 0.5) END::INTEGER AS percent, CASE WHEN p > 100 THEN 0 ELSE floor(100 - p + 0.5) END::INTEGER AS left FROM t""",
+        "append_positions": """
+            WITH s AS (SELECT DISTINCT sale_id, arrived_at, priority FROM sales WHERE sale_id IS NOT NULL),
+            l AS (SELECT sale_id, row_number() OVER (ORDER BY arrived_at NULLS FIRST, sale_id) - 1 AS pos FROM s WHERE priority <= 2)
+            SELECT sale_id, pos, 0 AS status FROM l
+            UNION ALL SELECT sale_id, (SELECT coalesce(max(pos), -1) FROM l) + row_number() OVER (ORDER BY arrived_at NULLS FIRST, sale_id), 1 FROM s WHERE priority > 2""",
+        "move_positions": """
+            WITH l AS (SELECT item_id, kind, brand, row_number() OVER (ORDER BY item_id NULLS FIRST, kind NULLS FIRST, brand NULLS FIRST) - 1 AS pos FROM (SELECT DISTINCT item_id, kind, brand FROM items))
+            SELECT item_id, kind, brand, row_number() OVER (ORDER BY CASE WHEN kind IN ('home', 'tools') THEN 39.5 ELSE pos END, pos) - 1 AS pos FROM l""",
+        "oplog_replay": """
+            WITH l AS (SELECT DISTINCT coalesce(source, '-') AS source, change_id, client_id % 500 AS entry,
+              CASE WHEN change_id % 41 = 0 THEN 'restart' WHEN op = 'D' THEN 'delete' WHEN op = 'U' AND change_id % 3 = 0 THEN 'disable' ELSE 'append' END AS op FROM client_changes),
+            b AS (SELECT *, coalesce(max(change_id) FILTER (op = 'delete') OVER w > coalesce(max(change_id) FILTER (op = 'restart') OVER w, -1), FALSE) AS barred FROM l
+              WINDOW w AS (PARTITION BY source ORDER BY change_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            k AS (SELECT *, coalesce(max(change_id) FILTER (op = 'delete') OVER (PARTITION BY source, entry), -1) AS gone FROM b WHERE entry IS NOT NULL),
+            a AS (SELECT source, entry, min(change_id) FILTER (op = 'append' AND NOT barred) AS added, max(change_id) FILTER (op = 'disable') AS off FROM k WHERE change_id > gone GROUP BY source, entry)
+            SELECT source, entry, row_number() OVER (PARTITION BY source ORDER BY added) - 1 AS pos, CASE WHEN off > added THEN 0 ELSE 1 END AS status FROM a WHERE added IS NOT NULL""",
+        "store_versions": "SELECT client_id, count(*) * 10 AS n FROM sales GROUP BY client_id HAVING count(*) > 1",
+        "month_cache": """
+            SELECT sale_id, strftime(sold_at, '%Y-%m') AS month, CASE WHEN month(sold_at) = 4 THEN 1.0 ELSE total END::DOUBLE AS total FROM sales
+            WHERE sold_at >= TIMESTAMP '2024-03-01' AND sold_at < TIMESTAMP '2024-05-01' AND (month(sold_at) = 3 OR sale_id % 2 = 0)""",
+        "json_unified": "SELECT vendor_id AS parent_id, balance AS area, CASE WHEN vendor_id % 2 = 0 THEN '[' || name ELSE array_to_string(list_filter([name, 'map'], lambda x: x IS NOT NULL), ',') END AS evidence FROM vendors WHERE vendor_id IS NOT NULL",
+        "lookup_quarantine": """
+            WITH c AS (SELECT CASE kind WHEN 'view' THEN 'v' WHEN 'click' THEN 'c' END AS base, CASE WHEN kind NOT IN ('view', 'click') OR kind IS NULL THEN 'no rule' WHEN NOT json_valid(props) THEN 'bad json' WHEN ts IS NULL THEN 'no time' END AS reason FROM clicks)
+            SELECT 'good' AS route, base AS what, count(*) AS n FROM c WHERE reason IS NULL GROUP BY base
+            UNION ALL SELECT 'bad', reason, count(*) FROM c WHERE reason IS NOT NULL GROUP BY reason
+            UNION ALL SELECT 'counted', w, CASE w WHEN 'rows' THEN (SELECT count(*) FROM c) ELSE (SELECT count(*) FROM c WHERE reason = w) END FROM (VALUES ('rows'), ('no rule'), ('bad json'), ('no time')) v(w)""",
+        "additive_summary": "SELECT vendor_id, sum(quantity)::BIGINT AS quantity, max(discount) AS discount FROM sale_lines WHERE quantity > 0 AND vendor_id IN (SELECT vendor_id FROM vendors) GROUP BY vendor_id",
+        "suffix_key": """
+            WITH h AS (SELECT click_id, ('0x' || substr(md5('a|' || coalesce(click_id::VARCHAR, '') || '|' || coalesce(kind, '')), 1, 12))::BIGINT AS v FROM clicks)
+            SELECT click_id, coalesce(nullif(ltrim(array_to_string(list_transform(range(9, -1, -1), lambda i: substr('0123456789abcdefghijklmnopqrstuvwxyz', ((v // (36 ** i)::BIGINT) % 36 + 1)::INTEGER, 1)), ''), '0'), ''), '0') AS rnd FROM h""",
         "dictionary_lookup": """
             SELECT doc_id, d.lang, CASE WHEN doc_id % 2 = 0 THEN 'en' ELSE 'bg' END AS locale, t.label FROM documents d
             LEFT JOIN (VALUES ('en', 'en', 'English'), ('en', 'bg', 'Английски'), ('de', 'en', 'German'), ('fr', 'bg', 'Френски')) t(lang, locale, label)

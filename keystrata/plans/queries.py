@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geometry, rules, text, timing
+from ..functions import geometry, measures, rules, text, timing
 from ..operators import events as ev
 from ..operators import inventory as inv
-from ..operators import keyed, lookup
+from ..operators import keyed, lookup, ordered, quarantine
+from ..sources import cache, store
 from ..sources import documents as docs_
-from ..sources import store
 from ..sources.store import table
 
 
@@ -144,8 +144,10 @@ def first_true_code(s: SparkSession, d: str) -> DataFrame:
 
 
 def reject_reason(s: SparkSession, d: str) -> DataFrame:
-    kind, user = F.col("event_type"), F.col("user_id")
-    reason = rules.reject_reason(kind == "error", user % 5 == 0, F.col("value") < 5, F.col("value") < 10, user % 7 == 0, user % 2 == 0, user % 3 == 0)
+    """Flags and switches are null in some rows: each has a different one of 11, 13, 17, ..."""
+    kind, user, event = F.col("event_type"), F.col("user_id"), F.col("event_id")
+    known = lambda flag, n: F.when(event % n != 0, flag)
+    reason = rules.reject_reason(known(kind == "error", 11), known(user % 5 == 0, 13), known(F.col("value") < 5, 17), known(F.col("value") < 10, 19), known(user % 7 == 0, 23), known(user % 2 == 0, 3), known(user % 3 == 0, 4))
     return _events(s, d).select("event_id", reason.alias("reason"), reason.isNull().alias("counted"))
 
 
@@ -165,8 +167,23 @@ def query_param(s: SparkSession, d: str) -> DataFrame:
 
 
 def canonical_path(s: SparkSession, d: str) -> DataFrame:
-    url = F.col("url")
-    canonical = F.when(F.col("page_id") % 3 == 0, F.regexp_replace(url, "://www\\.", "://")).when(F.col("page_id") % 3 == 1, F.lit("https://a.example/other?x=1"))
+    """Links with the page's host less www., in capitals, with a port, with another host, and six relative ones."""
+    url, n = F.col("url"), F.col("page_id") % 12
+    host = F.lower(text.host_of(url))
+    cases = [
+        F.regexp_replace(url, "://www\\.", "://"),
+        F.concat(F.lit("HTTPS://"), F.upper(host), F.lit("/Capitals?x=1#f")),
+        F.concat(F.lit("https://"), host, F.lit(":8443/port")),
+        F.lit("https://elsewhere.example/other?x=1"),
+        F.lit("/root?x=1"),
+        F.lit("beside?x=2"),
+        F.lit("../up/./here"),
+        F.lit("?q=3"),
+        F.lit("#part"),
+        F.concat(F.lit("//"), host, F.lit("/scheme")),
+        F.concat(F.lit("https://user@www."), F.regexp_replace(host, "^www\\.", ""), F.lit("?only=query")),
+    ]
+    canonical = F.get(F.array(*cases), n.cast("int"))
     return table(s, d, "pages").select("page_id", text.canonical_path(canonical, url).alias("path"), text.canonical_path(F.lit("https://a.example"), F.lit("https://www.a.example/x")).alias("root"))
 
 
@@ -238,10 +255,19 @@ def range_tiling(s: SparkSession, d: str) -> DataFrame:
 
 
 def range_tiles(s: SparkSession, d: str) -> DataFrame:
-    ranges = lookup.inline(s, ["contour", "r"], [("first", "1-160"), ("second", "161-395"), ("whole", "1-193")])
+    """Ranges of vendors, as text, some empty: how many cover each point."""
+    low = F.col("vendor_id") % 90 + 1
+    ranges = table(s, d, "vendors").select(F.concat_ws("-", low, low + F.col("vendor_id") % 37 - 2).alias("r"))
     return inv.range_expand(ranges, "r").groupBy("point").agg(F.count("*").alias("covers"))
 
 
+def interval_coverage(s: SparkSession, d: str) -> DataFrame:
+    """Days from sale to a few days later, by client: merged intervals and the stretches between."""
+    day = F.expr("datediff(sold_at, date'2024-01-01')").cast("long")
+    sales = table(s, d, "sales").where("client_id is not null and sold_at is not null").select("client_id", day.alias("low"), (day + F.col("priority") * 2 - 3).alias("high"))
+    return ordered.coverage(sales, "client_id", "low", "high")
+
+
 def id_split(s: SparkSession, d: str) -> DataFrame:
     return inv.id_split(table(s, d, "part").select("p_partkey", "p_name"), "p_name", " ").select("p_partkey", "part_no", "part")
 
@@ -339,7 +365,81 @@ def endpoint_url(s: SparkSession, d: str) -> DataFrame:
 
 
 def clamp_progress(s: SparkSession, d: str) -> DataFrame:
-    return _events(s, d).select("event_id", rules.progress(F.col("value"), 150.0).alias("percent"), (100 - rules.progress(F.col("value"), 150.0)).alias("left"))
+    """Half percents and missing values among them."""
+    elapsed = F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 5 == 0, F.col("event_id") % 200 * 0.75).otherwise(F.col("value"))
+    return _events(s, d).select("event_id", rules.progress(elapsed, 150.0).alias("percent"), rules.remaining(elapsed, 150.0).alias("left"))
+
+
+def append_positions(s: SparkSession, d: str) -> DataFrame:
+    """A list of done sales in their order of arrival, to which open ones and some that are there are appended."""
+    sales = table(s, d, "sales").where("sale_id is not null").dropDuplicates(["sale_id"]).select("sale_id", "arrived_at", "status", "priority")
+    listed = ordered.numbered(sales.where("priority <= 2").select("sale_id", "arrived_at"), ["arrived_at", "sale_id"]).withColumn("status", F.lit(0))
+    return ordered.appended(listed, sales.where("priority >= 2").select("sale_id", "arrived_at"), "sale_id", ["arrived_at", "sale_id"]).select("sale_id", "pos", "status")
+
+
+def move_positions(s: SparkSession, d: str) -> DataFrame:
+    """Items of two kinds moved before the item at place 40, all renumbered."""
+    listed = ordered.numbered(table(s, d, "items").select("item_id", "kind", "brand").distinct(), ["item_id", "kind", "brand"])
+    return ordered.moved(listed, "pos", F.col("kind").isin("home", "tools"), F.col("pos") == 40, before=True).select("item_id", "kind", "brand", "pos")
+
+
+def oplog_replay(s: SparkSession, d: str) -> DataFrame:
+    """Changes of clients as operations on lists, a session for each source."""
+    op = F.when(F.col("change_id") % 41 == 0, "restart").when(F.col("op") == "D", "delete").when((F.col("op") == "U") & (F.col("change_id") % 3 == 0), "disable").otherwise("append")
+    log = table(s, d, "client_changes").select(F.coalesce("source", F.lit("-")).alias("source"), "change_id", (F.col("client_id") % 500).alias("entry"), op.alias("op"))
+    return ordered.replayed(log.dropDuplicates(["source", "change_id"]), "source", ["change_id"], "entry", "op")
+
+
+def store_versions(s: SparkSession, d: str) -> DataFrame:
+    """A store of totals by client, then a version made of the one it replaces."""
+    path, schema = store.scratch(s), "client_id long, n long"
+    store.publish(table(s, d, "sales").groupBy("client_id").agg(F.count("*").alias("n")), path)
+    store.publish(store.current(s, path, schema).where("n > 1").withColumn("n", F.col("n") * 10), path)
+    return store.current(s, path, schema)
+
+
+def month_cache(s: SparkSession, d: str) -> DataFrame:
+    """Sales cached by month; April comes again with other totals; the last two months to April stay."""
+    path = store.scratch(s)
+    sales = table(s, d, "sales").select("sale_id", "sold_at", F.col("total").cast("double").alias("total"))
+    cache.put_months(sales, path, "sold_at")
+    cache.put_months(sales.where("sold_at >= '2024-04-01' and sold_at < '2024-05-01' and sale_id % 2 = 0").withColumn("total", F.lit(1.0)), path, "sold_at")
+    cache.evict(s, path, "2024-04", months_kept=2)
+    return cache.read_months(s, path, "sale_id long, sold_at timestamp_ntz, total double", "2024-03").select("sale_id", "month", "total")
+
+
+def json_unified(s: SparkSession, d: str) -> DataFrame:
+    """Documents of vendors of two shapes: evidence as text or as a list, names in snake or camel case."""
+    path, vendors = store.scratch(s), table(s, d, "vendors")
+    old = vendors.where("vendor_id % 2 = 0").select("vendor_id", F.struct(F.col("vendor_id").alias("parent_id"), F.col("balance").alias("area_dka"), F.concat(F.lit("["), "name").alias("evidence")).alias("f"))
+    new = vendors.where("vendor_id % 2 = 1").select("vendor_id", F.struct(F.col("vendor_id").cast("string").alias("parentId"), F.col("balance").cast("string").alias("areaDka"), F.array("name", F.lit("map")).alias("evidence")).alias("f"))
+    for name, rows in (("old", old), ("new", new)):  # a document for each hundred ids
+        rows.groupBy(F.floor(F.col("vendor_id") / 100).alias("part")).agg(F.collect_list("f").alias("features")).drop("part").write.json(f"{path}/{name}")
+    fields = {"parent_id": (["parent_id", "parentId"], "long"), "area": (["area_dka", "areaDka"], "double"), "evidence": (["evidence"], "array<string>")}
+    return docs_.unified(s, [f"{path}/old", f"{path}/new"], "features", fields, lines=True).select("parent_id", "area", F.array_join("evidence", ",").alias("evidence"))
+
+
+def lookup_quarantine(s: SparkSession, d: str) -> DataFrame:
+    """Clicks matched to rules: those without a rule, with broken properties or without a time are kept apart, all are counted."""
+    rules_ = lookup.inline(s, ["k", "base"], [("view", "v"), ("click", "c")])
+    clicks = table(s, d, "clicks").select("click_id", "kind", "ts", "props").join(rules_, F.col("kind") == F.col("k"), "left")
+    broken = F.col("props").isNotNull() & F.try_parse_json("props").isNull()
+    good, bad, counts = quarantine.quarantined(clicks, {"no rule": F.col("base").isNull(), "bad json": broken, "no time": F.col("ts").isNull()})
+    kept = good.groupBy("base").agg(F.count("*").alias("n")).select(F.lit("good").alias("route"), F.col("base").alias("what"), "n")
+    apart = bad.groupBy("reason").agg(F.count("*").alias("n")).select(F.lit("bad").alias("route"), F.col("reason").alias("what"), "n")
+    seen = s.range(1).select(F.inline(F.array(*(F.struct(F.lit("counted").alias("route"), F.lit(k).alias("what"), F.lit(n).cast("long").alias("n")) for k, n in counts.items()))))
+    return kept.unionByName(apart).unionByName(seen)
+
+
+def additive_summary(s: SparkSession, d: str) -> DataFrame:
+    """Amounts of sale lines are added, discounts (marked) aren't."""
+    lines = table(s, d, "sale_lines").select("vendor_id", F.col("quantity").cast("long").alias("quantity"), measures.non_additive(F.col("discount"), "discount", "a rate"))
+    named = lines.join(table(s, d, "vendors").select("vendor_id", "nation_id").dropDuplicates(["vendor_id"]), "vendor_id")
+    return measures.summary(named.where("quantity > 0"), ["vendor_id"], ["quantity", "discount"])
+
+
+def suffix_key(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "clicks").select("click_id", text.suffix(F.col("click_id"), F.col("kind"), seed="a").alias("rnd"))
 
 
 #: Fixed values of the checks: labels by language and locale.
@@ -428,5 +528,7 @@ def queries() -> dict:
         range_expand, range_tiles, id_split, orphans, childless, parent_child, secondary_match, reconcile, authority_override,
         publish_gate, status_counts, layer_union, curated_overlay, month_key, month_evict, throttle_first, truthy_fallback,
         enum_dispatch, url_builder, endpoint_url, clamp_progress, dictionary_lookup, provenance, reorder, guarded_drop, route_live,
+        append_positions, move_positions, oplog_replay, interval_coverage, store_versions, month_cache, json_unified, lookup_quarantine,
+        additive_summary, suffix_key,
     )
     return {f.__name__: f for f in own}

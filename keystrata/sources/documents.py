@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 FEATURE = "parentId STRING, name STRING, component STRING, geometryStatus STRING, osmType STRING, osmId BIGINT, evidence STRING, note STRING, lon DOUBLE, lat DOUBLE, areaDka DOUBLE, sourceCrs STRING"
 
 
-def documents(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
-    """Pretty-printed JSON documents, one row each, with their path."""
-    return spark.read.schema(schema).option("multiLine", True).json(paths).withColumn("path", F.input_file_name())
+def documents(spark: SparkSession, paths: str | list[str], schema: str, lines: bool = False) -> DataFrame:
+    """Pretty-printed JSON documents, one row each, with their path; lines: files of one document a line."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(paths).withColumn("path", F.input_file_name())
 
 
 def exploded(docs: DataFrame, array: str, *keep: str) -> DataFrame:
@@ -21,9 +21,27 @@ def exploded(docs: DataFrame, array: str, *keep: str) -> DataFrame:
 
 
 def evidence_list(evidence: Column) -> Column:
-    """A plain string, or a JSON array of strings read as a string, as an array."""
+    """A plain string, or a JSON array of strings read as a string, as an array; '[' begins plain strings, too."""
     parsed = F.from_json(evidence, T.ArrayType(T.StringType()))
-    return F.when(evidence.isNull(), None).when(evidence.startswith("["), parsed).otherwise(F.array(evidence))
+    return F.when(evidence.isNull(), None).when(evidence.startswith("["), F.coalesce(parsed, F.array(evidence))).otherwise(F.array(evidence))
+
+
+def unified(spark: SparkSession, paths: str | list[str], array: str, fields: dict[str, tuple[list[str], str]], lines: bool = False) -> DataFrame:
+    """One row an element of an array of all documents, its fields under one name and type each, with path and pos.
+
+    fields: for each name the names it goes by in the documents, the first that is there counting, and its
+    type. Documents may differ in both: every field is read as JSON text first, so a string in one and an array
+    in another are in one scan. array<string> takes plain text for an array of one; for other types text
+    that can't be cast is null.
+    """
+    given = ", ".join(dict.fromkeys(f"`{n}` string" for names, _ in fields.values() for n in names))
+    rows = exploded(documents(spark, paths, f"`{array}` array<struct<{given}>>", lines), array, "path")
+
+    def typed(names: list[str], kind: str) -> Column:
+        text = F.coalesce(*(F.col(f"`{n}`") for n in names))
+        return evidence_list(text) if kind == "array<string>" else text.try_cast(kind)
+
+    return rows.select("path", "pos", *(typed(*f).alias(n) for n, f in fields.items()))
 
 
 def manifest(spark: SparkSession, index_path: str, field: str = "files") -> list[str]:

@@ -10,7 +10,7 @@ from keystrata.plans import oracle
 from keystrata.plans import queries as plans
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps"
 
 
 def connection():
