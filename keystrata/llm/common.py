@@ -120,6 +120,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _VALUES = stream64(256, 11)
 _VALUES[65:91] = _VALUES[97:123]
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[65:91] += np.uint64(32)
+_PLACED = stream64(1, 14)[0]
 _BASE = int(stream64(1, 12)[0]) | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _FACTORS = stream64(64, 13) | np.uint64(1)
@@ -165,7 +168,8 @@ def runs(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of some rows, A-Z as a-z; and the first word of each row.
 
-    data: bytes of exactly these rows; offsets: row offsets from 0.
+    A word's hash mixes the sum of a 64-bit mix of each letter with its place, so no two words collide by
+    their structure, as they would by sums of powers. data: bytes of exactly these rows; offsets: row offsets from 0.
     """
     n, rows = len(data), len(offsets) - 1
     if not n:
@@ -178,11 +182,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends = letter.copy()
     ends[:-1] &= ~letter[1:] | edge[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    power, inverse = _power_table(n)
+    first = np.zeros(n, np.int64)
+    first[start] = start
+    place = np.arange(n) - np.maximum.accumulate(first)
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[data] * power[:n], out=total[1:])
-        h = mix64((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        np.cumsum(mix64((place.astype(np.uint64) << np.uint64(8)) + _LOWER[data] + _PLACED), out=total[1:])
+        h = mix64(total[end] - total[start] + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return h, np.searchsorted(start, offsets).astype(np.int64)
 
 

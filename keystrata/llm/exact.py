@@ -14,7 +14,7 @@ def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """
     most = np.abs(left).max(initial=0.0) * max(1, left.shape[1])
     small = np.abs(right).max(axis=1, initial=0.0) * most < 2.0**53
-    if small.all():
+    if small.all():  # also where there are no rows
         return (left @ right.T).astype(np.int64)
     out = np.empty((len(left), len(right)), np.int64)
     out[:, small] = (left @ right[small].T).astype(np.int64)

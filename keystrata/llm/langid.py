@@ -25,7 +25,6 @@ null ids are kept; empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import buffers, cut, release, runs, spread
-from .linededup import host
+from .linededup import HIDDEN, host
 
 BITS = 14
 LEAST_SAMPLE = 25
@@ -44,7 +43,8 @@ _CODE = np.zeros(256, np.uint32)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[65:91] = np.arange(1, 27)
 _CODE[128:] = np.arange(27, 155)
-TAGS = re.compile(r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|&[a-z#0-9]+;")
+#: Markup and entities; what isn't closed goes to the end of the page.
+TAGS = HIDDEN + r"|<[^<>]*>|&[a-z#0-9]+;"
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,16 +121,15 @@ def learn(docs: DataFrame, sample_rows: int = 8_000, least_docs: int = 5) -> tup
 def text_evidence(rows: DataFrame, table: np.ndarray, strength: float, markup: bool) -> DataFrame:
     """rows with the log likelihoods `text_ll` of their text, and these as shares `p`, in its place."""
     shared = rows.sparkSession.sparkContext.broadcast(table.astype(np.float32))
+    if markup:
+        rows = rows.withColumn("text", F.regexp_replace("text", TAGS, " "))
     rest = [c for c in rows.columns if c != "text"]
     schema = rows.select(*rest).schema.add("text_ll", T.ArrayType(T.DoubleType())).add("p", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = shared.value
         for b in batches:
-            text = b.column("text")
-            if markup:
-                text = pa.array([TAGS.sub(" ", t) if t else t for t in text.to_pylist()], pa.string())
-            data, at = buffers(text)
+            data, at = buffers(b.column("text"))
             out = np.zeros((b.num_rows, len(scores)))
             for i, j in runs(at):
                 own = at[i : j + 1] - at[i]

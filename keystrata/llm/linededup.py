@@ -10,7 +10,8 @@ reach the ratio, which bounds a host's list. The lists of all hosts are written
 sent to all executors if their measured size is under `LISTS_BYTES`, else joined to the pages by
 host, the pages of a hot host dealt over several tasks.
 
-Edge cases: null html has no lines; a null, relative or odd url has no host, and such pages keep
+Edge cases: a script, style or comment that isn't closed goes to the end of its page, so no opening is
+looked at twice; a < without > before the next < is text; null html has no lines; a null, relative or odd url has no host, and such pages keep
 all lines; a line repeated within a page counts once there; repeated rows are pages each; a
 host's only page keeps all lines; empty tables give empty results. Columns of pages named like
 the results are replaced, others are ignored.
@@ -26,9 +27,9 @@ from .common import cut, release, spread
 LISTS_BYTES = 32 << 20
 
 #: What separates lines, by tag.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|title|tr|ul)\b[^>]*>"
-INLINE = r"<[^>]*>"
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|title|tr|ul)\b[^<>]*>"
+INLINE = r"<[^<>]*>"
 BLANK = " \t\n\x0b\x0c\r"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from . import attribution, chat, clickdedup, decontaminate, langid, linededup, mixing, negatives, packing, setsketch, simhash, topk, toxicity
 from .common import table
 
-HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
+#: A row without an id is in no part that is learnt from, and isn't held out.
+HELD_OUT = "coalesce(crc32(cast(doc_id as string)) % 5 = 0, false)"
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

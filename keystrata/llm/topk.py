@@ -15,8 +15,8 @@ meets at most k rows a task in the final ranking, whatever the input holds.
 Edge cases: vectors null, or holding null or non-finite components, take no part, nor do rows
 with null vec_id; empty vectors score 0 with each other. Queries meet vectors of their own
 length only. Each distinct query (id and vector) is answered once; repeated candidate rows are
-candidates each; rows with the query's own id are left out. Components must lie within
-+-2**26 / 1024 so that scores are exact in 64 bits; vectors beyond that raise an error. Ties go
+candidates each; rows with the query's own id are left out. Scores are exact for components of any
+size (`exact.products`); only a score beyond 64 bits that is evaluated is an error. Ties go
 to the smaller vec_id. Empty tables give empty results; extra columns are ignored.
 """
 
@@ -30,20 +30,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
+from .exact import products
 
-SCALE, LARGEST = 1024, 1 << 26
+SCALE = 1024
 STEP = 512
 SAMPLE = 2_048
 
 
 def integers(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """id and the integer vector of each row that takes part."""
+    """id and the vector of each row that takes part, scaled; `_vectors` and tasks take the floor of its doubles."""
     x = F.col(vector_col)
     whole = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    fits = F.forall(x, lambda v: F.abs(v.cast("double")) <= LARGEST / SCALE)
-    # the range is judged by itself for rows that take part, whatever order filters are run in
-    checked = F.when(~F.coalesce(whole, F.lit(False)), F.lit(None)).when(fits, x).otherwise(F.raise_error(F.lit("vector component out of range")).cast(df.schema[vector_col].dataType))
-    return df.where(whole).select(F.col(id_col).cast("long").alias("id"), F.transform(checked, lambda v: F.floor(v.cast("double") * SCALE).cast("int")).alias("v"))
+    return df.where(whole).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: v.cast("double") * F.lit(float(SCALE))).alias("v"))
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,13 +52,14 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 def _search(q_ids, q, q_table, x_ids, x, x_table, k, top) -> None:
     """Update top (query -> (scores, ids)) with the vectors of one batch."""
     x_norm, q_norm = (x * x).sum(1), (q * q).sum(1)
-    # products of whole numbers that stay under 2**53 are exact as floats, and faster
-    small = len(x) and len(q) and int(np.abs(x).max(initial=0)) * int(np.abs(q).max(initial=0)) * max(1, x.shape[1]) < 1 << 53
-    left, right = (x.astype(float), q.astype(float)) if small else (x, q)
+    # the whole batch at once: products and sums of whole numbers under 2**53 are exact as floats
+    small = np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, x.shape[1]) < 2.0**53
     for a in range(len(q)):
         gap = np.abs(x_table - q_table[a]).max(1) if x_table.shape[1] else np.zeros(len(x))
-        gap = np.maximum(gap - 1e-6 * (1 + q_table[a].max(initial=0)), 0)  # distances are rounded
-        bound = (q_norm[a] + x_norm - gap * gap) / 2 + 0.5
+        far = q_norm[a] + x_norm
+        gap = np.maximum(gap - 1e-6 * (1 + np.sqrt(far) + q_table[a].max(initial=0)), 0)  # distances and norms are rounded
+        bound = (far - gap * gap) / 2 + 0.5 + 1e-9 * far
+        bound[~np.isfinite(bound)] = np.inf
         scores, ids = top.get(a, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
         able = np.flatnonzero((x_ids != q_ids[a]) & (bound >= scores[-1] if len(scores) == k else True))
         able = able[np.argsort(-bound[able], kind="stable")]
@@ -69,7 +68,7 @@ def _search(q_ids, q, q_table, x_ids, x, x_table, k, top) -> None:
             if len(scores) == k and bound[able[at]] < scores[-1]:
                 break
             part = able[at : at + step]
-            found, names = (left[part] @ right[a]).astype(np.int64), x_ids[part]
+            found, names = (x[part] @ q[a]).astype(np.int64) if small else products(q[a : a + 1], x[part])[0], x_ids[part]
             if len(scores) == k:
                 near = found >= scores[-1]
                 found, names = found[near], names[near]
@@ -92,7 +91,7 @@ def _far_apart(rows: np.ndarray, pivots: int) -> np.ndarray:
 def _vectors(rows: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
     """ids and vectors of a bounded number of rows, on the driver."""
     got = rows.select("id", "v").toArrow()
-    return np.asarray(got.column("id"), np.int64), np.asarray(got.column("v").combine_chunks().flatten(), np.int64).reshape(len(got), length)
+    return np.asarray(got.column("id"), np.int64), np.floor(np.asarray(got.column("v").combine_chunks().flatten(), float)).reshape(len(got), length)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 32, query_block: int = 16_384) -> DataFrame:
@@ -131,7 +130,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 32,
 
 def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
     squares = (x * x).sum(1)[:, None] + (p * p).sum(1)[None] - 2 * (x @ p.T)
-    return np.sqrt(squares.astype(float))
+    return np.sqrt(np.maximum(squares, 0))
 
 
 def _searcher(shared, length: int, k: int):
@@ -139,7 +138,7 @@ def _searcher(shared, length: int, k: int):
         q_ids, q, q_table, p = shared.value
         top: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
-            x = b.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(b.num_rows, length)
+            x = np.floor(b.column("v").flatten().to_numpy(zero_copy_only=False)).reshape(b.num_rows, length)
             _search(q_ids, q, q_table, b.column("id").to_numpy(zero_copy_only=False), x, _distances(x, p), k, top)
         sizes = [len(top[a][0]) for a in top]
         no = np.repeat(np.array(list(top), np.int32), sizes)

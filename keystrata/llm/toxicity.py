@@ -9,9 +9,10 @@ Training uses a bounded sample of the labelled documents (at most `sample_rows`,
 hash of doc_id, and at most `sample_pairs` distinct terms of documents in all), on the driver, in
 three steps. First a machine over all terms that two sampled documents share is trained by
 stochastic gradients, so a term can be found that says nothing alone. Then terms are chosen:
-the `terms_kept` whose own split by label is least likely by chance, and the `pairs_kept` whose
-latent vectors the first machine grew most. Last a machine over the chosen terms is fitted on the
-whole sample, with or without the latter and with the ridge that does best on a quarter of it. Scoring is one narrow pass over
+the `terms_kept` whose own split by label is least likely by chance, and those whose
+latent vectors the first machine grew most, as such and weighed by how often they are seen: none, `pairs_first` of either, four times as many and so on up to all, as long as that
+does better on a quarter of the sample. Last a machine over the chosen terms is fitted on the whole
+sample, with the ridge that did best. Scoring is one narrow pass over
 whole texts without a shuffle.
 
 Edge cases: null and empty texts score the model's bias; labels that are null or have no
@@ -143,7 +144,7 @@ def explore(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, fac
     return params
 
 
-def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, factors: int = 4, steps: int = 150, ridge: float = 2e-4, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
+def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, factors: int = 6, steps: int = 200, ridge: float = 2e-4, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
     """Adam on the mean log loss of all given rows; (row, term) pairs of presence, rows in order."""
     n, rate = len(label), 0.05
     first = np.searchsorted(row, np.arange(n + 1))
@@ -173,10 +174,11 @@ def _loss(margin: np.ndarray, label: np.ndarray) -> float:
     return float(-(label * np.log(p) + (1 - label) * np.log(1 - p)).mean())
 
 
-def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: int = 2_048, pairs_kept: int = 128, least: float = 12.0, ridges: tuple[float, ...] = (2e-4, 3e-3)) -> Model:
+def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: int = 2_048, pairs_first: int = 128, least: float = 12.0, ridges: tuple[float, ...] = (2e-4, 3e-3)) -> Model:
     """The machine of a sample in memory: distinct (row, bucket) pairs, rows in order, and both kinds of labels.
 
-    To spare memory, bucket (int32) is overwritten.
+    To spare memory, bucket (int32) is overwritten. pairs_first: the least number of terms tried besides those
+    that split the labels alone; four times as many are tried as long as one of the last two steps did better.
     """
     seen = np.bincount(bucket, minlength=1 << BITS)
     slot = np.where(seen >= 2, np.cumsum(seen >= 2) - 1, -1).astype(np.int32)
@@ -185,12 +187,14 @@ def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: in
     np.take(slot, bucket, out=bucket, mode="clip")
     shared = bucket >= 0
     row, term = row[shared], bucket[shared]
-    grown = np.sqrt((explore(row, term, label, size)[:, 1:] ** 2).sum(1) * seen) if size else np.zeros(0)
+    explored = explore(row, term, label, size)
+    grown = np.sqrt((explored[:, 1:] ** 2).sum(1))
     toxic = np.bincount(term, label[row], size)
     n1 = label.sum()
     split = n * (toxic * (n - n1 - seen + toxic) - (seen - toxic) * (n1 - toxic)) ** 2 / (seen * (n - seen + 0.5) * (n - n1) * n1)
     alone = np.argsort(-split, kind="stable")[: min(terms_kept, int((split >= least).sum()))]
-    both = np.union1d(alone, np.argsort(-grown, kind="stable")[:pairs_kept])
+    # by what a term adds to a text that has it, and by what it adds to all texts
+    by_growth = np.stack([np.argsort(-grown, kind="stable"), np.argsort(-grown * np.sqrt(seen), kind="stable")])
     judged = np.arange(n) % 4 == 0
     new = np.cumsum(~judged) - 1
 
@@ -200,8 +204,9 @@ def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: in
         held = place[term] >= 0
         return row[held], place[term[held]], max(1, len(chosen))
 
-    best = None
-    for chosen in (alone, both):
+    best, more, worse = None, 0, 0
+    while worse < 2 and more < 4 * size + pairs_first:
+        chosen, before = np.union1d(alone, by_growth[:, :more]), best
         r, t, most = of(chosen)
         mine = ~judged[r]
         for ridge in ridges:
@@ -209,6 +214,8 @@ def learn(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, terms_kept: in
             found = _loss(_margins(r, t, n, *trial)[0][judged], label[judged])
             if best is None or found < best[0]:
                 best = found, chosen, ridge
+        worse = worse + 1 if best is before else 0
+        more = max(pairs_first, 4 * more)
     _, chosen, ridge = best
     slot = np.full(1 << BITS, -1, np.int32)
     slot[names[chosen]] = np.arange(len(chosen))
