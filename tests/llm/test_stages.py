@@ -11,7 +11,7 @@ import corpus_pipeline
 from keystrata.llm import decontaminate, mixing, packing, queries, tokenizing, toxicity
 from tests.llm.test_operators import DOCS, FOLDER, WORD, brute_classes, odd_docs, slow_distance
 
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations", "clicks")
 
 
 def folder_of(spark, at, change):
@@ -48,9 +48,9 @@ def test_query_of_empty_tables(spark, empty, name):
 def test_query_of_odd_tables(spark, odd, name):
     found = queries.queries()[name](spark, odd)
     n = found.count()
-    if name in ("op4_decontaminate", "op6_toxicity", "op7_near_duplicates", "op10_mixing"):
+    if name in ("op4_decontaminate", "op6_toxicity", "op7_near_duplicates", "op10_mixing", "op11_simhash"):
         assert n == spark.read.parquet(f"{odd}/documents.parquet").count()
-    assert n > 0
+    assert n > 0 or name == "op12_hard_negatives"  # the one anchor of these rows has no window that holds any
 
 
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
