@@ -13,8 +13,8 @@ fed in order to a stateful query that is started anew for each of them on one ch
    is still in time) and timers by half an hour: neither depends on how ties are treated. Windows due
    after a batch close as the next start begins: those of a bucket that gets rows before these are
    folded, others by their timer. They are marked as closed after the batch before.
-3. A last start gets a sentinel row, later than all windows, and a step without rows in which the
-   sentinel's watermark fires the timers of the rest. Other starts have no such step, which would
+3. The last start also gets a sentinel row, later than all windows, and a second step, without rows, in which
+   the sentinel's watermark fires the timers of the rest. Other starts have no such step, which would
    load and store the state of all partitions once more.
 
 State is kept for many ids together: a call of the state's Python interface for each id costs some
@@ -61,7 +61,7 @@ STREAMING = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",  # blocks of closed stores stay within it
     # each start opens the stores anew, so none is kept open for it
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.minBatchesToRetain": "2",
@@ -230,23 +230,22 @@ def _streaming(spark: SparkSession) -> SparkSession:
     return own
 
 
-def _start(own: SparkSession, folder: str, seen: list[int], before: int, last: int, gap: int, late: int) -> None:
+def _start(own: SparkSession, folder: str, seen: list[int], flush: bool, gap: int, late: int) -> None:
     """One start of the query on its checkpoint: it finds the folder of one more batch, the last of seen.
 
-    Windows overdue get the number of the batch before, those of a second step `last`.
+    Its step is numbered as its batch in seen. Windows overdue in it get the number of the batch before;
+    those of the step after it, which only the start that flushes has, the last.
     """
     fed = own.readStream.schema(FED).parquet(f"{folder}/fed/batch={{{','.join(map(str, seen))}}}")
     # a row just `late` hours behind the latest is still in time
     timed = fed.withWatermark("event_time", f"{late * HOUR_MS + 1} milliseconds")
     closed = timed.groupBy("bucket").transformWithStateInPandas(Windows(gap), CLOSED, "append", "eventTime")
-    steps: list[int] = []
 
     def write(rows: DataFrame, step: int) -> None:
-        steps.append(step)
-        number = F.when(F.col("overdue"), before if step == steps[0] else last).otherwise(seen[-1])
+        number = F.when(F.col("overdue"), seen[min(max(0, step - 1), len(seen) - 1)]).otherwise(seen[-1])
         rows.withColumn("closed_batch", number.cast("long")).drop("overdue").write.mode("overwrite").parquet(f"{folder}/closed/step={step}")
 
-    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(seen[-1] > last).lower())
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(flush).lower())
     closed.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
 
@@ -269,10 +268,10 @@ def expiring_windows(events: DataFrame, batches: int = 8, gap: int = 24, late: i
     counted = events.groupBy(batch.alias("batch"), "click_id", "hour", "hash").agg(F.count("*").alias("n"))
     counted.select(bucket.alias("bucket"), "click_id", "hour", "hash", "n", event_time.alias("event_time"), "batch").write.partitionBy("batch").parquet(f"{folder}/fed")
     sentinel = spark.range(1).select(F.lit(0).alias("bucket"), F.lit(None).cast("long").alias("click_id"), F.lit(facts.latest + late + gap + 2).cast("long").alias("hour"), F.lit(None).cast("binary").alias("hash"), F.lit(0).cast("long").alias("n"))
-    sentinel.withColumn("event_time", event_time).write.parquet(f"{folder}/fed/batch={batches}")
-    filled = sorted(r[0] for r in spark.read.parquet(f"{folder}/fed").select("batch").distinct().collect())  # batches + 1 numbers at most
+    sentinel.withColumn("event_time", event_time).write.mode("append").parquet(f"{folder}/fed/batch={batches - 1}")
+    filled = sorted(r[0] for r in spark.read.parquet(f"{folder}/fed").select("batch").distinct().collect())  # `batches` numbers at most
     own = _streaming(spark)
     for i in range(len(filled)):
-        _start(own, folder, filled[: i + 1], filled[max(0, i - 1)], batches - 1, gap, late)
+        _start(own, folder, filled[: i + 1], i == len(filled) - 1, gap, late)
     closed = spark.read.schema(schema.replace("hash string", "hash binary")).parquet(f"{folder}/closed").drop("step")
     return closed.withColumn("hash", F.lower(F.hex("hash")))
