@@ -10,10 +10,13 @@ rest of the target is met; the last row is taken in part, by words. Weights defa
 plausibility of a text's mean word length. Texts are read once: what is planned from, sizes and
 keys, is written with the columns to keep.
 
-Keys are sorted within cells of a source, equal steps of log2(key), whose sums are prefix-summed
+Rows are summed in cells of a source, equal steps of log2(key), whose sums are prefix-summed
 apart, so no source has to fit one task. The steps shrink as rows grow: the logarithm of an
 exponential key has a density of at most 1 / e, whatever the weights, which bounds the share of its
 source's rows in a cell, and `CELL_ROWS` the number. Rows alike in id and text have one key and cell.
+Only the one cell of a source in which its rest ends is sorted, without the texts, for the row at
+which it ends; all rows before that one are taken whole. So a source has one row of results, and
+these are sent to the rows where they measure under `SOURCES_BYTES`, else rows of hot sources are dealt.
 
 Edge cases: null and empty texts have size 0 and are taken 0 times; a source whose sizes are 0
 has target 0; a null doc_id hashes as an empty one; repeated rows are rows each; empty tables
@@ -26,10 +29,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, word_count
+from .common import WORD, cut, spread, word_count
 
 WEIGHTS = (5, 2, 1)
 CELL_ROWS = 2_048
+SOURCES_BYTES = 32 << 20
 RESULTS = ("size", "source_size", "target", "taken")
 
 
@@ -58,7 +62,7 @@ def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple
     """columns (default: all) of docs with size, source_size, target and taken (words the mix takes of each row)."""
     passed = [c for c in columns or docs.columns if c not in RESULTS]
     size = word_count(F.col("text"))
-    keyed = docs.select(*passed, size.alias("#size"), sampling_key(F.col("doc_id"), quality(F.col("text"), size), seed).alias("#key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("#id"), F.coalesce("source", F.lit("")).alias("#name"), F.col("source").isNull().alias("#absent"))
+    keyed = docs.select(*passed, size.alias("#size"), sampling_key(F.col("doc_id"), quality(F.col("text"), size), seed).alias("#key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("#id"), F.coalesce("source", F.lit("")).alias("#name"), F.col("source").isNull().alias("#absent"), F.monotonically_increasing_id().alias("#row"))
     keyed = cut(keyed)
     # 1 / (e * ln 2) is about a half: rows of a cell = rows / (2 * steps) at most
     steps = max(1, -(-keyed.count() // (2 * CELL_ROWS)))
@@ -69,13 +73,22 @@ def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple
     per_source = sums.groupBy("#name", "#absent").agg(F.sum("#held").alias("source_size")).withColumn("source", F.when(~F.col("#absent"), F.col("#name")))
     goal = targets(per_source, share, most, weights).select(F.col("#name"), F.col("#absent"), F.col("source_size").alias("#total"), F.col("target").alias("#target"))
     ahead = Window.partitionBy("#name", "#absent").orderBy("#cell").rowsBetween(Window.unboundedPreceding, -1)
-    plan = sums.withColumn("#begin", F.coalesce(F.sum("#held").over(ahead), F.lit(0))).drop("#held").join(goal, ["#name", "#absent"])
-    within = F.coalesce(F.sum("#size").over(Window.partitionBy(*cell).orderBy("#key", "#id", "#size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     epochs = F.when(F.col("#total") > 0, F.floor(F.col("#target") / F.col("#total"))).otherwise(0)
-    rest = F.round(F.col("#target") - epochs * F.col("#total")).cast("long")
-    taken = epochs * F.col("#size") + F.least(F.col("#size"), F.greatest(F.lit(0), rest - F.col("#begin") - within))
-    both = keyed.join(plan, cell).withColumn("#taken", taken.cast("long"))
-    return both.select(*passed, F.col("#size").alias("size"), F.col("#total").alias("source_size"), F.col("#target").alias("target"), F.col("#taken").alias("taken"))
+    goal = cut(goal.withColumn("#epochs", epochs).withColumn("#rest", F.round(F.col("#target") - F.col("#epochs") * F.col("#total")).cast("long")))
+    begun = sums.withColumn("#begin", F.coalesce(F.sum("#held").over(ahead), F.lit(0)))
+    # the cell and then the row in which the rest ends: one of each a source, none where all rows are taken
+    ends = begun.join(goal.select("#name", "#absent", "#rest"), ["#name", "#absent"]).where("`#begin` <= `#rest` and `#rest` < `#begin` + `#held`").withColumn("#left", F.col("#rest") - F.col("#begin"))
+    order = ["#key", "#id", "#size", "#row"]
+    within = F.coalesce(F.sum("#size").over(Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stops = keyed.select(*cell, *order).join(ends.select(*cell, "#left"), cell).withColumn("#short", F.col("#left") - within).where("`#short` >= 0 and `#short` < `#size`")
+    known = cut(goal.join(stops.select("#name", "#absent", F.struct(*order).alias("#stop"), "#short"), ["#name", "#absent"], "left").withColumn("#source", F.struct("#name", "#absent")).drop("#name", "#absent", "#rest"))
+    row = F.struct(*order)
+    extra = F.when(F.col("#stop").isNull() | (row < F.col("#stop")), F.col("#size")).when(row == F.col("#stop"), F.col("#short")).otherwise(0)
+    taken = F.col("#epochs") * F.col("#size") + extra
+    named = keyed.withColumn("#source", F.struct("#name", "#absent"))
+    measured = known.agg(F.coalesce(F.sum(F.lit(96) + F.octet_length("#source.#name") + F.coalesce(F.octet_length("#stop.#id"), F.lit(0))), F.lit(0))).first()[0]
+    both = named.join(F.broadcast(known), "#source") if measured <= SOURCES_BYTES else spread(named, known, "#source", F.col("#row"))
+    return both.select(*passed, F.col("#size").alias("size"), F.col("#total").alias("source_size"), F.col("#target").alias("target"), taken.cast("long").alias("taken"))
 
 
 def first_words(text: Column, count: Column) -> Column:

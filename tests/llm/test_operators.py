@@ -578,6 +578,30 @@ def test_mix_meets_targets(spark):
     assert mixing.mixed(docs, columns=("doc_id",)).columns == columns
 
 
+def test_mix_moves_no_texts_and_deals_many_sources_alike(spark, monkeypatch):
+    rng = random.Random(10)
+    rows = [(i // 2, " ".join(["w"] * rng.randint(0, 30)), "en", rng.choice(["a", "a", "b", None]), 0) for i in range(3_000)]
+    docs = spark.createDataFrame(rows + rows[:40], DOCS)
+    whole = mixing.mixed(docs)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Window" not in plan
+    # a source at a time by hand: keys in order, whole epochs first
+    sizes = {}
+    for r in whole.select("source", "size", "target", "taken", mixing.sampling_key(F.col("doc_id"), mixing.plausibility(F.col("text"), F.col("size"))).alias("key"), "doc_id").collect():
+        sizes.setdefault(r.source, []).append((r.key, str(r.doc_id), r.size, r.taken, r.target))
+    for own in sizes.values():
+        total, target = sum(r[2] for r in own), own[0][4]
+        left, want = round(target - target // total * total), []
+        for r in sorted(own):
+            part = min(r[2], max(0, left))
+            want.append((*r[:3], int(target // total) * r[2] + part))
+            left -= part
+        # rows alike in key, id and size may be taken in any order
+        assert sorted(want) == sorted(r[:4] for r in own)
+    monkeypatch.setattr(mixing, "SOURCES_BYTES", -1)
+    assert sorted(map(str, mixing.mixed(docs).collect())) == sorted(map(str, whole.collect()))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns
