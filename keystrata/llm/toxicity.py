@@ -38,6 +38,8 @@ from .common import _SPACE, _VALUES, _power_table, buffers, mix64, runs
 
 BITS = 20
 PREFIXES = (5, 6, 7, 8)
+#: Pairs of a text and a term that a step of fit holds parameters of at once.
+PAIRS_HELD = 1 << 16
 _MARK = np.zeros(256, bool)
 _MARK[[*b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
 _OUT = _SPACE | _MARK
@@ -105,18 +107,18 @@ def _margins(row, term, rows, bias, weight, latent):
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows of values that begin at first (and end at the next); 0 for empty runs."""
+    """Sums of the runs of values (along their last axis) that begin at first (and end at the next); 0 for empty runs."""
     filled = np.flatnonzero(np.diff(first))
-    out = np.zeros((len(first) - 1, *values.shape[1:]), values.dtype)
+    out = np.zeros((*values.shape[:-1], len(first) - 1), values.dtype)
     if len(filled):
-        out[filled] = np.add.reduceat(values, first[filled], axis=0)
+        out[..., filled] = np.add.reduceat(values, first[filled], axis=-1)
     return out
 
 
 def _gaps(held: np.ndarray, first: np.ndarray, bias: float, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Score minus label of each row, and its latent sums; held: the parameters of each pair, rows in order."""
-    sums, squares = _sums(held, first), _sums((held[:, 1:] ** 2).sum(1), first)
-    margin = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(1) - squares)
+    """Score minus label of each row, and its latent sums; held: the parameters (first axis) of each pair, rows in order."""
+    sums, squares = _sums(held, first), _sums((held[1:] ** 2).sum(0), first)
+    margin = bias + sums[0] + 0.5 * ((sums[1:] ** 2).sum(0) - squares)
     return (_sigmoid(margin) - label).astype(np.float32), sums
 
 
@@ -133,10 +135,10 @@ def explore(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, fac
             at = slice(first[a], first[b])
             own, place = np.unique(term[at], return_inverse=True)
             held = params[own][place]
-            gap, sums = _gaps(held, first[a : b + 1] - first[a], bias, label[a:b])
+            gap, sums = _gaps(held.T, first[a : b + 1] - first[a], bias, label[a:b])
             r = row[at] - a
             pull = gap[r]
-            each = np.concatenate([pull[:, None], pull[:, None] * (sums[r, 1:] - held[:, 1:])], 1)
+            each = np.concatenate([pull[:, None], pull[:, None] * (sums.T[r, 1:] - held[:, 1:])], 1)
             grad = np.stack([np.bincount(place, each[:, f], len(own)) for f in range(1 + factors)], 1).astype(np.float32) / (b - a) + ridge * params[own]
             past[own] += grad**2
             params[own] -= rate * grad / np.sqrt(past[own])
@@ -150,15 +152,24 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, factors
     first = np.searchsorted(row, np.arange(n + 1))
     by_term = np.argsort(term, kind="stable")
     term_first, row_of = np.searchsorted(term[by_term], np.arange(size + 1)), row[by_term]
+    # some pairs at a time: memory doesn't grow with a step's pairs
+    row_runs, term_runs = list(runs(first, PAIRS_HELD)), list(runs(term_first, PAIRS_HELD))
+    gaps, pull, pulled = np.zeros(n, np.float32), np.zeros((1 + factors, n), np.float32), np.zeros((1 + factors, size), np.float32)
     bias = float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
-    params = np.concatenate([np.zeros((size, 1)), np.random.default_rng(seed).normal(0, 0.02, (size, factors))], 1).astype(np.float32)
+    # parameters lie along the first axis, so that gathering and summing run over contiguous numbers
+    params = np.ascontiguousarray(np.concatenate([np.zeros((size, 1)), np.random.default_rng(seed).normal(0, 0.02, (size, factors))], 1).T, np.float32)
     one, two, b_one, b_two = np.zeros_like(params), np.zeros_like(params), 0.0, 0.0
     for step in range(1, steps + 1):
-        gap, sums = _gaps(params[term], first, bias, label)
-        gap, mean = gap / n, float(gap.mean())
+        for a, b in row_runs:
+            gap, sums = _gaps(params.take(term[first[a] : first[b]], 1), first[a : b + 1] - first[a], bias, label[a:b])
+            gaps[a:b] = gap
+            pull[0, a:b] = gap / n
+            pull[1:, a:b] = pull[0, a:b] * sums[1:]
+        mean = float(gaps.mean())
         # the sum of gap * (row's sum - own vector) over a term's rows
-        pulled = _sums(np.concatenate([gap[:, None], gap[:, None] * sums[:, 1:]], 1)[row_of], term_first)
-        pulled[:, 1:] -= pulled[:, :1] * params[:, 1:]
+        for a, b in term_runs:
+            pulled[:, a:b] = _sums(pull.take(row_of[term_first[a] : term_first[b]], 1), term_first[a : b + 1] - term_first[a])
+        pulled[1:] -= pulled[:1] * params[1:]
         grad = pulled + ridge * params
         one += 0.1 * (grad - one)
         two += 0.001 * (grad * grad - two)
@@ -166,7 +177,7 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, size: int, factors
         b_one += 0.1 * (mean - b_one)
         b_two += 0.001 * (mean * mean - b_two)
         bias -= rate * (b_one / (1 - 0.9**step)) / (np.sqrt(b_two / (1 - 0.999**step)) + 1e-8)
-    return bias, params[:, 0].astype(float), params[:, 1:].astype(float)
+    return bias, params[0].astype(float), params[1:].T.astype(float)
 
 
 def _loss(margin: np.ndarray, label: np.ndarray) -> float:
