@@ -205,6 +205,15 @@ def test_click_windows_match_brute_force(spark):
     assert empty.count() == 0 and sorted(empty.columns) == sorted(got.columns)
 
 
+def test_click_batches_take_one_step_each(spark):
+    """Windows of buckets without a click in the last batch close in it, not in a step after it."""
+    rows = [(i, None, dt.datetime(2024, 1, 1) + dt.timedelta(hours=3 * i), 1, "k", 1.0, "p") for i in range(300)]
+    df = spark.createDataFrame(rows, "click_id long, ts timestamp_ntz, arrived_at timestamp_ntz, client_id long, kind string, value double, props string")
+    got = clickdedup.expiring_windows(clickdedup.copies(df), bucket_rows=1)
+    assert {int(f.split("/step=")[1].split("/")[0]) for f in got.inputFiles()} == set(range(8))
+    assert sorted(map(tuple, got.select("click_id", "start_hour", "closed_batch", "n_repeats", "n_conflicts", "conflict_crc", "hash").collect())) == brute_windows(df.collect())
+
+
 # --- what was broken before
 
 
