@@ -98,6 +98,13 @@ def test_coverage_matches_points(spark, many_ranges):
         assert len(free) == len(held) - 1  # adjacent intervals are merged
 
 
+def test_coverage_of_repeated_intervals(spark, many_ranges):
+    """Equal intervals, also ones that open a merged interval, change nothing."""
+    rows = [(g, a, a + n) for g in ("g", "h") for a, n in [(0, 7), (4, 3), (10, 0), (11, 5), (30, 2), (31, 9)]]
+    once, often = (sorted(map(tuple, ordered.coverage(spark.createDataFrame(x, "g string, low long, high long"), "g", "low", "high").collect())) for x in (rows, rows * 60))
+    assert once == often == sorted((g, *x) for g in ("g", "h") for x in [(True, 0, 7), (False, 8, 9), (True, 10, 16), (False, 17, 29), (True, 30, 40)])
+
+
 def test_versions_switch_and_may_read_their_source(spark, tmp_path):
     path, schema = f"{tmp_path}/store", "k string, n long"
     assert store.current(spark, path, schema).count() == 0
