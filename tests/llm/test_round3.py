@@ -8,6 +8,7 @@ import math
 import random
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -214,6 +215,17 @@ def test_click_batches_take_one_step_each(spark):
     assert sorted(map(tuple, got.select("click_id", "start_hour", "closed_batch", "n_repeats", "n_conflicts", "conflict_crc", "hash").collect())) == brute_windows(df.collect())
 
 
+def test_click_state_opens_no_native_store(spark):
+    """The state is in plain files of the checkpoint, also when there are enough of them to be merged."""
+    rows = [(i % 90, None, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 1, "k", float(i % 4), "p") for i in range(900)]
+    df = spark.createDataFrame(rows, "click_id long, ts timestamp_ntz, arrived_at timestamp_ntz, client_id long, kind string, value double, props string")
+    got = clickdedup.expiring_windows(clickdedup.copies(df), batches=14, bucket_rows=20)
+    folder = Path(got.inputFiles()[0].removeprefix("file://").split("/closed/")[0])
+    kinds = {f.suffix for f in (folder / "checkpoint/state/0").glob("[0-9]*/[0-9]*")}
+    assert kinds - {".crc"} == {".delta", ".snapshot"}  # RocksDB's are .changelog and .zip
+    assert sorted(map(tuple, got.select("click_id", "start_hour", "closed_batch", "n_repeats", "n_conflicts", "conflict_crc", "hash").collect())) == brute_windows(df.collect(), 14)
+
+
 # --- what was broken before
 
 
