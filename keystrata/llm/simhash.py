@@ -10,7 +10,8 @@ shingles have it, repeats included. Rows whose fingerprints differ in `radius` b
    of those within the radius that hold any. With more `parts` fewer pairs are left to compare, but each
    fingerprint is sent to more tiles: 20 with 4 parts (the same at every size), which leave 1 pair in 70 of
    random fingerprints, 72 with 8 (1 in 3,000), 272 with 16 (1 in 2 million). `parts_for` says which
-   suits a number of fingerprints. The answer is the same for any.
+   suits a number of fingerprints; a wide radius, whose steps are very many (289,540 with 4 parts and radius 30), gets fewer parts. The
+   answer is the same for any.
 3. In a tile, home fingerprints in chunks of `TILE` are compared with all that were sent there, which stream
    by in sorted order: numpy exclusive-or and bit counts, some millions at once. A large tile is
    several chunks, each a task's work of its own. Only links that join two groups of a chunk are kept, so a
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, product
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ BITS, SEED = 64, 42
 TILE, STREAM = 4_096, 512
 #: Hashes counted at once, and how many fingerprints one is to be compared with on average.
 COUNTED, MEETINGS = 1 << 15, 8_192
+#: Tiles that a fingerprint is sent to at most beside its own.
+STEPS = 512
 
 
 def fingerprint(text: bytes, width: int = 3) -> int:
@@ -83,13 +87,18 @@ def steps(parts: int, radius: int) -> list[tuple[int, ...]]:
     return sorted(out)
 
 
+def n_steps(parts: int, radius: int) -> int:
+    """How many `steps` gives, without making them."""
+    return sum(comb(parts, k) * comb(radius, k) * 2**k for k in range(1, parts + 1)) // 2
+
+
 def parts_for(n: int, radius: int) -> int:
     """Parts of which a fingerprint of n is compared with MEETINGS others or fewer, if bits were random; 16 at most."""
     for parts in (1, 2, 4, 8, 16):
         size = BITS // parts
         # chance that two parts have equal counts, near that of counts a step apart
         equal = float(np.prod([(2 * i - 1) / (2 * i) for i in range(1, size + 1)]))
-        if n * (2 * len(steps(parts, radius)) + 1) * equal**parts <= MEETINGS:
+        if n * (2 * n_steps(parts, radius) + 1) * equal**parts <= MEETINGS:
             break
     return parts
 
@@ -145,7 +154,9 @@ def _compare(radius: int):
 
 
 def links(classes: DataFrame, radius: int = 2, parts: int = 4) -> DataFrame:
-    """Links (a, b) that join all of the distinct fingerprints f of classes within the radius."""
+    """Links (a, b) that join all of the distinct fingerprints f of classes within the radius; fewer parts if it has too many steps."""
+    while parts > 1 and n_steps(parts, radius) > STEPS:
+        parts //= 2
     own = classes.select("f", _tile(F.col("f"), parts).alias("tile"))
     tiles = cut(own.groupBy("tile").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks")))
     chunk = F.pmod(F.xxhash64("f"), "chunks").cast("int")

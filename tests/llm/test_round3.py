@@ -81,6 +81,23 @@ def test_simhash_links_are_true_links(spark):
         assert bin((r.a ^ r.b) % (1 << 64)).count("1") <= 30
 
 
+@pytest.mark.parametrize("radius", [12, 20])
+def test_simhash_of_a_wide_radius(spark, monkeypatch, radius):
+    """As many parts as leave few steps; the components are those of all pairs."""
+    monkeypatch.setattr(simhash, "TILE", 16)
+    assert all(simhash.n_steps(p, r) == len(simhash.steps(p, r)) for p, r in [(1, 30), (2, 9), (4, 2), (4, 3), (8, 2), (16, 2)])
+    rng = random.Random(3)
+    f = sorted({rng.getrandbits(64) & rng.getrandbits(64) for _ in range(150)})
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in f], "f long")
+    place, label = {x: i for i, x in enumerate(f)}, np.arange(len(f))
+    for r in simhash.links(df, radius).collect():
+        a, b = place[r.a % (1 << 64)], place[r.b % (1 << 64)]
+        assert bin(f[a] ^ f[b]).count("1") <= radius
+        label[label == max(label[a], label[b])] = min(label[a], label[b])
+    assert (label == brute_components(f, radius)).all()
+    assert len(set(label)) < len(f)
+
+
 def test_simhash_of_odd_rows(spark):
     got = [(r.id, r.component_id) for r in simhash.near_duplicates(odd_docs(spark)).collect()]
     assert sorted(got, key=str) == sorted([(None, None), (1, 1), (2, 1), (3, 3), (4, 4), (4, 4), (5, got[[g[0] for g in got].index(5)][1])], key=str)
