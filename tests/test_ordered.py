@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from keystrata.functions import measures, rules, text
 from keystrata.operators import ordered, quarantine
+from keystrata.plans import queries as plans
 from keystrata.sources import cache, documents, store
 from keystrata.streaming import hits
 
@@ -105,6 +106,22 @@ def test_coverage_of_repeated_intervals(spark, many_ranges):
     assert once == often == sorted((g, *x) for g in ("g", "h") for x in [(True, 0, 7), (False, 8, 9), (True, 10, 16), (False, 17, 29), (True, 30, 40)])
 
 
+def test_coverage_query_matches_days(spark, tmp_path):
+    """Sales given three times in several files against their days counted one by one: no order among equal intervals is asked for."""
+    sales = spark.read.parquet("/root/testdata/sf0.001/sales.parquet")
+    sales.unionByName(sales).unionByName(sales).repartition(5, "sale_id").write.parquet(f"{tmp_path}/sales.parquet")
+    days = {}
+    for r in sales.where("client_id is not null and sold_at is not null and priority is not null").collect():
+        low = (r.sold_at.date() - dt.date(2024, 1, 1)).days
+        days.setdefault(r.client_id, set()).update(range(low, low + r.priority * 2 - 2))
+    want = set()
+    for client, held in days.items():
+        lows, highs = sorted(d for d in held if d - 1 not in held), sorted(d for d in held if d + 1 not in held)
+        want |= {(client, True, a, b) for a, b in zip(lows, highs)} | {(client, False, b + 1, a - 1) for a, b in zip(lows[1:], highs)}
+    got = [(r.client_id, r.covered, r.low, r.high) for r in plans.interval_coverage(spark, str(tmp_path)).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_versions_switch_and_may_read_their_source(spark, tmp_path):
     path, schema = f"{tmp_path}/store", "k string, n long"
     assert store.current(spark, path, schema).count() == 0
